@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import QUERIES, SQL
 
-MODULES = ["cleaning"]
+MODULES = ["cleaning", "ads"]
 
 
 def _load() -> None:

@@ -102,7 +102,8 @@ def delivery_kpis_valid_only(spark, sf):
 @query("hourly_summary", delivery_sql("""
 SELECT CAST(date_trunc('hour', ingestion_time) AS TIMESTAMP) AS ingestion_hour, count(*) AS total_deliveries,
   round(sum(delivery_time_minutes) / count(delivery_time_minutes)::DOUBLE, 2) AS avg_delivery_time,
-  round(sum(CAST(delivery_person_rating AS DECIMAL(6,2)))::DOUBLE / count(delivery_person_rating), 2) AS avg_rating,
+  ((2 * sum(CAST(round(delivery_person_rating * 100) AS BIGINT)) + count(delivery_person_rating))
+    // (2 * count(delivery_person_rating))) / 100.0::DOUBLE AS avg_rating,
   count(*) FILTER (WHERE is_festival = 'Yes') AS festival_deliveries,
   count(*) FILTER (WHERE multiple_deliveries > 1) AS multi_delivery_count
 FROM silver WHERE data_quality_score >= 0.5 GROUP BY 1"""))
