@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import epoch_us, micros, time_bucket
+from ..session import materialize
 
 DEFAULT_BLOCK = "1 day"
 DEFAULT_FOLD_LIMIT = 20_000
@@ -32,25 +33,26 @@ def cooldown(
 ) -> DataFrame:
     """The alerts that pass: the first per key, then each one more than ``period`` after the last that passed.
 
-    Of several alerts at one instant the least by ``tiebreak`` (default: all columns) passes.
+    Of several alerts at one instant the least by ``tiebreak`` (default: all columns) passes. The
+    alerts are used several times, so they are first written to the shared folder: the rules that
+    produced them run once.
     """
     c, width = micros(period), micros(block)
     if width < c:
         raise ValueError("block must be at least one period")
     rest = [x for x in alerts.columns if x not in keys]
     ties = tiebreak or [x for x in rest if x != ts]
-    points = (
+    points = materialize(
         alerts.where(F.col(ts).isNotNull())
         .groupBy(*keys, epoch_us(ts).alias("_t"))
         .agg(F.min_by(F.struct(*rest), F.struct(*ties)).alias("_row"))
-        .select(*keys, "_t", time_bucket("_t", width).alias("_block"), "_row")
-    )
-    times = alerts.where(F.col(ts).isNotNull()).select(*keys, epoch_us(ts).alias("_t")).distinct()
-    times = times.withColumn("_block", time_bucket("_t", width))
+        .withColumn("_block", time_bucket("_t", width)), "cooldown")
+    times = points.select(*keys, "_t", "_block")
     runs = _runs(times, keys, c)
     tagged = times.join(runs, [*keys, "_block"])
-    passed = _fold_short_runs(tagged.where(F.col("_run_n") <= fold_limit), keys, c).unionByName(
-        _walk_long_runs(tagged.where(F.col("_run_n") > fold_limit), keys, c, width))
+    passed = _fold_short_runs(tagged.where(F.col("_run_n") <= fold_limit), keys, c)
+    if not runs.where(F.col("_run_n") > fold_limit).isEmpty():
+        passed = passed.unionByName(_walk_long_runs(tagged.where(F.col("_run_n") > fold_limit), keys, c, width))
     return (
         points.join(passed, [*keys, "_t"])
         .select(*[F.col(x) if x in keys else F.col("_row")[x].alias(x) for x in alerts.columns])

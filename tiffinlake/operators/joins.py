@@ -9,7 +9,7 @@ DEFAULT_BROADCAST_MB = 10
 
 def planned_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for the optimized plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def measured_bytes(df: DataFrame) -> int:

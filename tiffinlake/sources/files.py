@@ -105,9 +105,13 @@ def _overwrite_present(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
-def load_dimension(spark: SparkSession, path: str, schema: T.StructType, target: str | None = None) -> DataFrame:
-    """A JSON-array file as a dimension; with ``target`` it replaces the table there."""
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+def load_dimension(spark: SparkSession, path: str, schema: T.StructType, target: str | None = None,
+                   multi_line: bool = True) -> DataFrame:
+    """A JSON-array file (or, without ``multi_line``, JSON lines) as a dimension; with ``target`` it replaces the table there.
+
+    A JSON array is read by one task; larger dimensions should arrive as JSON lines, which split.
+    """
+    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     if target:
         df.write.mode("overwrite").parquet(target)
         return spark.read.schema(schema).parquet(target)
