@@ -14,8 +14,17 @@ DELIVERY_CSV_COLUMNS = [
 ]
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "decimal(12,2)": T.DecimalType(12, 2), "decimal(10,2)": T.DecimalType(10, 2),
+    "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name type, ..."`` as a schema, without needing a running session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (f.split() for f in spec.split(", "))])
 
 
 DELIVERY_CSV = T.StructType([T.StructField(c, T.StringType()) for c in DELIVERY_CSV_COLUMNS])
@@ -82,7 +91,8 @@ FOODS = _struct(
 
 USERS_CSV = _struct("id int, name string, age int, salary int, department string")
 
-USER_DOCUMENT = _struct(
-    "results array<struct<name: struct<first: string, last: string>, email: string, "
-    "location: struct<country: string>>>"
-)
+USER_DOCUMENT = T.StructType([T.StructField("results", T.ArrayType(T.StructType([
+    T.StructField("name", _struct("first string, last string")),
+    T.StructField("email", T.StringType()),
+    T.StructField("location", _struct("country string")),
+])))])

@@ -14,6 +14,12 @@ HOUR_KEYS = ["year", "month", "day", "hour"]
 # About 128 MB of JSON at the 0.7 KB an event takes.
 BRONZE_RECORDS_PER_FILE = 180_000
 
+# The JSON writer's default cuts timestamps to milliseconds.
+JSON_TIME = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -77,7 +83,7 @@ def write_bronze_jsonl(events: DataFrame, base: str, ts: str = "ingestion_time")
     out = with_hour(events.withColumn("_ts", F.col(ts).cast("timestamp")), "_ts").drop("_ts")
     (
         rebalanced(out, HOUR_KEYS).write.mode("append").partitionBy(*HOUR_KEYS)
-        .option("maxRecordsPerFile", BRONZE_RECORDS_PER_FILE).json(f"{base}/bronze")
+        .option("maxRecordsPerFile", BRONZE_RECORDS_PER_FILE).options(**JSON_TIME).json(f"{base}/bronze")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators.aggregates import revenue_by
 from ..schemas import STREAM_ORDER
 from ..sources.bronze import ingest_bronze
+from ..sources.files import JSON_TIME
 from ..sources.streams import batch_sink, file_sink, parse_json_lines
 from ..sources.tables import append_idempotent, write_table
 from .windows import dedup_stream
@@ -20,7 +21,7 @@ def parse_orders(messages: DataFrame) -> DataFrame:
 
 
 def stream_to_bronze(orders: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    return file_sink(orders, path, checkpoint, "json")
+    return file_sink(orders, path, checkpoint, "json").options(**JSON_TIME)
 
 
 def stream_to_silver(orders: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes") -> DataStreamWriter:

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import QUERIES, SQL
 
-MODULES = ["cleaning", "ads", "fraudwatch", "joining", "storage"]
+MODULES = ["cleaning", "ads", "fraudwatch", "joining", "storage", "streams"]
 
 
 def _load() -> None:
