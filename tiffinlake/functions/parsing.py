@@ -25,8 +25,13 @@ def _present(c: Column | str) -> Column:
 
 
 def safe_double(c: Column | str) -> Column:
-    """Text to double; missing tokens and garbage become null."""
-    return _present(c).try_cast("double")
+    """Text to double; missing tokens and garbage become null.
+
+    A failing ``try_cast`` throws and catches inside the JVM, so text that starts like no number
+    (outside the byte range of sign, point and digits) is turned away by a plain comparison.
+    """
+    text = _present(c)
+    return F.when((text >= "+") & (text < ":"), text.try_cast("double"))
 
 
 def safe_int(c: Column | str) -> Column:
@@ -49,16 +54,14 @@ def parse_order_time(order_date: Column | str, order_time: Column | str) -> Colu
     """
     day = F.try_to_timestamp(F.trim(_col(order_date)), F.lit("dd-MM-yyyy"))
     text = F.trim(_col(order_time))
-    hour = F.regexp_extract(text, r"^(\d{1,2}):(\d{1,2})$", 1).try_cast("int")
-    minute = F.regexp_extract(text, r"^(\d{1,2}):(\d{1,2})$", 2).try_cast("int")
-    fraction = safe_double(text)
-    fraction_minutes = F.pmod(
-        F.bround(fraction * MINUTES_PER_DAY).try_cast("bigint"), F.lit(MINUTES_PER_DAY)
-    )
+    parts = F.substring_index(text, ":", 1), F.substring_index(text, ":", -1)
+    hour, minute = (F.when(text.contains(":"), p).try_cast("int") for p in parts)
+    is_clock = hour.between(0, 23) & minute.between(0, 59) & (F.concat_ws(":", *parts) == text) & ~text.contains("+")
+    wrapped = F.pmod(F.bround(safe_double(text) * MINUTES_PER_DAY).try_cast("bigint"), F.lit(MINUTES_PER_DAY))
     minutes = (
         F.when(text == "24:00", F.lit(MINUTES_PER_DAY))
-        .when((hour < 24) & (minute < 60), hour * 60 + minute)
-        .when(~text.contains(":"), fraction_minutes)
+        .when(is_clock, hour * 60 + minute)
+        .when(~text.contains(":"), wrapped)
     )
     return day + F.make_dt_interval(mins=F.coalesce(minutes.cast("int"), F.lit(0)))
 
@@ -66,8 +69,7 @@ def parse_order_time(order_date: Column | str, order_time: Column | str) -> Colu
 def item_from_ad(ad_id: Column | str) -> Column:
     """Item id named by an ad id: all digits, or ``food_<digits>``; otherwise null."""
     ad = _col(ad_id)
-    digits = F.regexp_extract(ad, r"^(?:food_)?(\d+)$", 1)
-    return digits.try_cast("bigint")
+    return F.nullif(F.regexp_extract(ad, r"^(?:food_)?(\d+)$", 1), F.lit("")).try_cast("bigint")
 
 
 def item_of_click(item_id: Column | str, ad_id: Column | str) -> Column:

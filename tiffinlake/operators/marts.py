@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import ratio
 from .ads import ATTRIBUTION_WINDOW, ads_attribution
-from .ranking import add_rank
+from .ranking import add_ranks
 
 
 def daily_gmv(orders: DataFrame, date: dt.date | str | None = None, extended: bool = False) -> DataFrame:
@@ -72,10 +72,9 @@ def item_performance(clicks: DataFrame, orders: DataFrame, foods: DataFrame | No
                           F.try_divide(F.sum("value").cast("double"), F.sum("n").cast("double")).alias("avg_price"))
     )
     items = base.join(buyers, by, "left").withColumn("unique_buyers", F.coalesce("unique_buyers", F.lit(0)))
-    ranked = items.where("date is not null and item_id is not null")
-    for value, out in [("total_revenue", "rank_by_revenue"), ("order_count", "rank_by_orders"),
-                       ("conversion_rate", "rank_by_conversion"), ("click_count", "rank_by_clicks")]:
-        ranked = add_rank(ranked, ["date"], value, out)
+    ranked = add_ranks(items.where("date is not null and item_id is not null"), ["date"], {
+        "total_revenue": "rank_by_revenue", "order_count": "rank_by_orders",
+        "conversion_rate": "rank_by_conversion", "click_count": "rank_by_clicks"})
     ranked = (
         ranked.withColumn("is_top_seller", F.col("rank_by_revenue_pct") <= top_share)
         .withColumn("is_underperforming",
@@ -171,7 +170,7 @@ def user_cohorts(orders: DataFrame, as_of: dt.date, vip_share: float = 0.1, new_
             F.col("lifetime_orders") > 1,
             F.datediff("_last", "first_order_date") / (F.col("lifetime_orders") - 1)))
     )
-    ranked = add_rank(users, [], "lifetime_revenue", "_rank")
+    ranked = add_ranks(users, [], {"lifetime_revenue": "_rank"})
     segment = (
         F.when(F.col("is_vip"), "vip")
         .when(F.col("days_since_first_order") <= new_days, "new")

@@ -4,14 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import materialize
+
 
 def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int = 64) -> DataFrame:
     """``rank() over (partition by groups order by value desc)``, plus ``<out>_pct`` (percent_rank).
 
-    ``groups`` may be empty for a rank over the whole table. Equal values are counted first. Each
-    group's values are cut into slices at approximate quantiles; a value's rank is the size of the
-    slices above it plus its position within its slice. The quantiles only balance the slices:
-    ranks are exact whatever they are. Values must not be null.
+    ``groups`` may be empty for a rank over the whole table. ``df`` is read several times; pass a
+    stored table if it is costly (:func:`add_ranks` does).
+    """
+    return df.join(_rank_table(df, groups, value, out, slices), [*groups, value])
+
+
+def add_ranks(df: DataFrame, groups: list[str], ranks: dict[str, str], slices: int = 64) -> DataFrame:
+    """Several ranks at once, ``{value column: rank column}``. ``df`` is written to the shared folder first."""
+    stored = materialize(df, "ranked")
+    out = stored
+    for value, name in ranks.items():
+        out = out.join(_rank_table(stored, groups, value, name, slices), [*groups, value])
+    return out
+
+
+def _rank_table(df: DataFrame, groups: list[str], value: str, out: str, slices: int) -> DataFrame:
+    """Rank of every distinct (group, value).
+
+    Equal values are counted first. Each group's values are cut into slices at approximate
+    quantiles; a value's rank is the size of the slices above it plus its position within its
+    slice. The quantiles only balance the slices: ranks are exact whatever they are. Values must
+    not be null.
     """
     counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     probabilities = [i / slices for i in range(1, slices)]
@@ -29,7 +49,7 @@ def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int
     above = Window.partitionBy(*groups).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(*groups, "_slice", F.coalesce(F.sum("_slice_n").over(above), F.lit(0)).alias("_above"))
     within = Window.partitionBy(*groups, "_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
+    return (
         placed.join(base, [*groups, "_slice"])
         .select(
             *groups, value,
@@ -39,7 +59,6 @@ def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int
         .withColumn(f"{out}_pct", F.when(F.col("_total") > 1, (F.col(out) - 1) / (F.col("_total") - 1)).otherwise(0.0))
         .drop("_total")
     )
-    return df.join(ranks, [*groups, value])
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list, k: int, out: str = "rank") -> DataFrame:
