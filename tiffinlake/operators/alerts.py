@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import epoch_us, micros, time_bucket
 from .fraud import SEVERITY_ORDER
 
-_NEWEST = [F.desc, "detected_at"]
-
 
 def recent(alerts: DataFrame, limit: int = 20, ts: str = "detected_at") -> DataFrame:
     return alerts.orderBy(F.desc(ts), "alert_type", "event_id").limit(limit)
@@ -37,42 +35,34 @@ def recent_with_total(alerts: DataFrame, limit: int = 200) -> DataFrame:
 def alert_stats(alerts: DataFrame, as_of: dt.datetime, top_users: int = 5, ts: str = "detected_at") -> DataFrame:
     """One long table ``(section, position, label, n)``: total, by type, by severity, top users, last hour, last day.
 
-    All sections come from one pre-aggregate per (type, severity, user).
+    Totals, types and severities are grouping sets of one aggregate; users are a second one, of
+    which each task keeps its top few.
     """
     age = epoch_us(F.lit(as_of)) - epoch_us(ts)
-    base = alerts.groupBy("alert_type", "severity", "user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(age < micros("1 hour")).alias("n_hour"),
-        F.count_if(age < micros("1 day")).alias("n_day"))
-    totals = base.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "n_hour", "n_day")])
-    summary = totals.select(F.explode(F.array(
-        F.struct(F.lit("total").alias("section"), F.col("n").alias("n")),
-        F.struct(F.lit("last_hour").alias("section"), F.col("n_hour").alias("n")),
-        F.struct(F.lit("last_day").alias("section"), F.col("n_day").alias("n")),
-    )).alias("x")).select("x.section", F.lit(1).alias("position"), F.lit("all").alias("label"), "x.n")
-
-    from pyspark.sql import Window
-
-    def section(name: str, column: str, order) -> DataFrame:
-        grouped = base.groupBy(F.col(column).alias("label")).agg(F.sum("n").alias("n"))
-        return grouped.select(
-            F.lit(name).alias("section"), F.row_number().over(Window.orderBy(*order)).alias("position"), "label", "n")
-
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(age < micros("1 hour")).alias("n_hour"),
+              F.count_if(age < micros("1 day")).alias("n_day")]
     # Fixed value: severities are listed from most to least severe, unknown ones last.
-    severity_rank = F.coalesce(F.nullif(F.array_position(F.lit(SEVERITY_ORDER), F.col("label")), F.lit(0)),
+    severity_rank = F.coalesce(F.nullif(F.array_position(F.lit(SEVERITY_ORDER), F.col("severity")), F.lit(0)),
                                F.lit(len(SEVERITY_ORDER) + 1))
+    grouped = alerts.groupingSets([[], [F.col("alert_type")], [F.col("severity")]], "alert_type", "severity").agg(
+        F.grouping("alert_type").alias("no_type"), F.grouping("severity").alias("no_severity"), *counts)
+    line = lambda section, label, n, order: F.struct(
+        F.lit(section).alias("section"), label.alias("label"), F.col(n).alias("n"), order.cast("bigint").alias("sort"))
+    everything = F.lit("all")
+    sections = grouped.select(F.explode(
+        F.when(F.col("no_type") == 0, F.array(line("by_type", F.col("alert_type"), "n", -F.col("n"))))
+        .when(F.col("no_severity") == 0, F.array(line("by_severity", F.col("severity"), "n", severity_rank)))
+        .otherwise(F.array(
+            line("total", everything, "n", F.lit(1)), line("last_hour", everything, "n_hour", F.lit(1)),
+            line("last_day", everything, "n_day", F.lit(1))))).alias("x")).select("x.*")
     top = (
-        base.where("user_id is not null").groupBy(F.col("user_id").alias("label")).agg(F.sum("n").alias("n"))
+        alerts.where("user_id is not null").groupBy(F.col("user_id").alias("label")).agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "label").limit(top_users)
-        .select(F.lit("top_users").alias("section"),
-                F.row_number().over(Window.orderBy(F.desc("n"), "label")).alias("position"), "label", "n")
-    )
-    return (
-        summary
-        .unionByName(section("by_type", "alert_type", [F.desc("n"), F.asc("label")]))
-        .unionByName(section("by_severity", "severity", [severity_rank, F.asc("label")]))
-        .unionByName(top)
+        .select(F.lit("top_users").alias("section"), "label", "n", (-F.col("n")).alias("sort"))
     )
+    # A section has one row per type, severity or top user.
+    place = F.row_number().over(Window.partitionBy("section").orderBy("sort", "label"))
+    return sections.unionByName(top).select("section", place.alias("position"), "label", "n")
 
 
 def alert_spikes(alerts: DataFrame, limit: int = 20, window: str = "10 minutes", sustain: str = "5 minutes",
