@@ -141,7 +141,7 @@ def test_processing_time_cooldown_passes_one_per_key(spark, base):
     alerts = spark.createDataFrame([(f"e{i}", "k" if i < 5 else "l", at(i * 1000)) for i in range(8)], "event_id string, key string, detected_at timestamp_ntz")
     alerts.write.parquet(f"{base}/in")
     out = cooldown_stream(file_source(spark, f"{base}/in", alerts.schema), ["key"], clock="processing")
-    run_available(file_sink(out, f"{base}/out", f"{base}/cp"))
+    run_available(file_sink(out, f"{base}/out", f"{base}/cp"), single_batch=True)
     assert rows(spark.read.parquet(f"{base}/out").select("event_id")) == [("e0",), ("e5",)]
 
 
