@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from conftest import at, rows
-from pyspark.sql import functions as F
 
 from tiffinlake.operators import ads, marts, profiles, ranking
 
@@ -83,4 +82,3 @@ def test_profile_score_and_skip_rules(spark):
     out = {(r.user_id, r.item_id): round(r.score, 6) for r in profiles.interest_profiles(events, at(240 * 60), ttl=None).collect()}
     assert out == {(1, 5): round(6 * 2.718281828459045 ** -1, 6), (2, 5): 3.0}
     assert rows(profiles.interest_profiles(events, at(8 * 86400)).where("user_id = 1")) == []
-    assert F is not None

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tiffinlake.functions import (
     closed_hours, epoch_us, item_from_ad, micros, parse_iso_ts, parse_order_time, ratio, raw_field, safe_double, safe_int,
@@ -72,4 +71,3 @@ def test_split_key_values(spark):
     values = split_key_values("p", ["year", "month", "day"])
     got = spark.createDataFrame([(path,)], "p string").select(*[v.alias(k) for k, v in values.items()]).first()
     assert tuple(got) == ("2024", "03", None)
-    assert F is not None

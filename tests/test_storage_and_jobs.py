@@ -6,7 +6,6 @@ import json
 from conftest import at, rows
 from pyspark.sql import functions as F
 
-from tiffinlake.functions import parse_order_time
 from tiffinlake.operators.delivery import build_events
 from tiffinlake.plans import behaviour_daily, delivery_hourly, realtime, reconciliation
 from tiffinlake.schemas import DELIVERY_CSV, TRANSACTION
@@ -102,7 +101,6 @@ def test_paths(spark):
 def test_order_time_feeds_the_envelope(spark):
     event = build_events(deliveries(spark, 1), HOUR).first()
     assert event.event_id == "D0_20240301100000000000" and event.event_time == "2024-03-01T09:30:00"
-    assert parse_order_time is not None
 
 
 def transactions(spark):
