@@ -10,14 +10,13 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, SparkSession
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Regex
 from tokenizers.normalizers import NFC, Lowercase, Sequence
 from tokenizers.pre_tokenizers import Split
@@ -32,10 +31,13 @@ NOT_WHITE = regex.compile(r"[^\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u
 NEVER = np.iinfo(np.int64).max
 # End of the planes that hold letters and digits.
 LAST_LETTER = 0x40000
-# Words a worker remembers between batches.
-MEMORY = 200_000
-# Characters of a word up to which words are merged side by side, one merge of each at a time.
-SIDE_BY_SIDE = 32
+# Runs of text a worker remembers between chunks, and characters of a chunk.
+MEMORY = 300_000
+CHUNK_CHARS = 2_000_000
+DECODE_TOKENS = 1_000_000
+# Bytes of a word up to which words are handled side by side; longer ones one by one.
+SIDE_BY_SIDE = (8, 12, 16, 24, 40)
+STOP = 256  # code of a word's end, after the 256 bytes
 
 
 def byte_letters() -> list[str]:
@@ -77,27 +79,32 @@ def load(path: str) -> dict:
             "added": {t["content"]: t["id"] for t in spec["added_tokens"]}}
 
 
-@dataclass
-class Encoder:
-    """Tables of one vocabulary, and the words already encoded."""
+def ragged(starts: np.ndarray, counts: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Positions of the entries of the picked lists, one list after the other."""
+    n = counts[pick]
+    return np.repeat(starts[pick] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def side_by_side(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Words as rows of byte codes, and their sizes."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    rows = np.zeros((len(words), int(sizes.max())), dtype=np.int64)
+    rows[np.arange(rows.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(words), dtype=np.uint8)
+    return rows, sizes
 
-    vocab: dict[str, int]
-    merges: list[tuple[str, str]]
-    added: dict[str, int]
-    letter: str
-    digit: str
-    memory: dict[str | int, tuple[int, ...]] = field(default_factory=dict)
 
-    def __post_init__(self):
-        size = max([*self.vocab.values(), *self.added.values()]) + 1
+class Encoder:
+    """Tables of one vocabulary, and the runs of text already encoded."""
+
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int], letter: str, digit: str):
+        self.vocab, self.added = vocab, added
+        size = max([*vocab.values(), *added.values()]) + 1
         self.size = size
-        self.letters = byte_letters()
-        ids = self.vocab
         self.rank = np.full(size, -1, dtype=np.int64)
         self.left, self.right = np.arange(size), np.arange(size)
         self.pair_rank: dict[tuple[int, int], tuple[int, int]] = {}
-        for r, (a, b) in enumerate(self.merges):
-            x, y, made = ids[a], ids[b], ids[a + b]
+        for r, (a, b) in enumerate(merges):
+            x, y, made = vocab[a], vocab[b], vocab[a + b]
             if self.rank[made] < 0:
                 self.rank[made], self.left[made], self.right[made] = r, x, y
             self.pair_rank.setdefault((x, y), (r, made))
@@ -106,23 +113,45 @@ class Encoder:
         self.pair_keys = keys[order]
         self.pair_order = np.array([r for r, _ in self.pair_rank.values()], dtype=np.int64)[order]
         self.pair_made = np.array([made for _, made in self.pair_rank.values()], dtype=np.int64)[order]
-        # A token that its own merges don't restore is never proposed.
+        letters = byte_letters()
+        self.byte_id = np.array([vocab.get(c, -1) for c in letters])
+        self.last_byte_id = np.array([vocab.get(c + END, -1) for c in letters])
+        self._grow_trie({c: b for b, c in enumerate(letters)})
+        self.pattern = regex.compile(WORDS.format(letter=letter, digit=digit), regex.V1)
+        self.normalizer = Sequence([NFC(), Lowercase()])
+        self.special = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memory: dict[str | int, int] = {}
+        self.tokens = np.zeros(0, dtype=np.int32)
+        self.counts = np.zeros(0, dtype=np.int64)
+
+    def _grow_trie(self, byte_of: dict[str, int]) -> None:
+        """A trie of the tokens that their own merges restore; others are never proposed."""
         made = np.flatnonzero(self.rank >= 0)
         made = made[np.argsort(self.rank[made])]
-        restored = np.ones(size, dtype=bool)
+        restored = np.ones(self.size, dtype=bool)
         for token, kept in zip(made, self.compatible(self.left[made], self.right[made], self.rank[made])):
             restored[token] = kept and restored[self.left[token]] and restored[self.right[token]]
-        whole = {t: i for t, i in ids.items() if restored[i]}
-        self.inner = {t: i for t, i in whole.items() if not t.endswith(END)}
-        self.final = {t[:-len(END)]: i for t, i in whole.items() if t.endswith(END)}
-        self.longest: dict[str, int] = {}
-        for t in self.inner:
-            self.longest[t[:2]] = max(len(t), self.longest.get(t[:2], 0))
-        self.longest_final = max(map(len, self.final))
-        self.pattern = regex.compile(WORDS.format(letter=self.letter, digit=self.digit), regex.V1)
-        self.normalizer = Sequence([NFC(), Lowercase()])
-        self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        self.shown = {i: t for t, i in (*ids.items(), *self.added.items())}
+        nodes, keys, self.node_token = 1, {}, {0: -1}
+        for text, token in self.vocab.items():
+            if not restored[token]:
+                continue
+            codes = [byte_of[c] for c in text.removesuffix(END)] + [STOP] * text.endswith(END)
+            node = 0
+            for code in codes:
+                key = node * (STOP + 1) + code
+                if key not in keys:
+                    keys[key] = nodes
+                    nodes += 1
+                node = keys[key]
+            self.node_token[node] = token
+        self.trie_keys = np.array(sorted(keys), dtype=np.int64)
+        self.trie_next = np.array([keys[k] for k in self.trie_keys.tolist()], dtype=np.int64)
+        token = np.full(nodes, -1, dtype=np.int64)
+        token[list(self.node_token)] = list(self.node_token.values())
+        self.node_token = token
 
     def compatible(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """Whether merging the joined strings of tokens ``a`` and ``b`` keeps the border between them.
@@ -159,39 +188,39 @@ class Encoder:
         known = self.pair_keys[at] == key
         return np.where(known, self.pair_order[at], NEVER), self.pair_made[at]
 
-    def merged_together(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Exact merging of many short words, the best pair of each word at every step."""
-        out: list[tuple[int, ...]] = [()] * len(words)
-        width = max(map(len, words))
-        parts = np.full((len(words), width), -1, dtype=np.int64)
-        for row, w in enumerate(words):
-            got = [self.vocab.get(c + END if i == len(w) - 1 else c) for i, c in enumerate(w)]
-            got = [g for g in got if g is not None]
-            parts[row, :len(got)] = got
-        row_of = np.arange(len(words))
+    def merged_together(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Exact merging of words given as rows of bytes, the best pair of each word at every step; ends are filled with -1."""
+        n, width = rows.shape
+        place = np.arange(width)
+        parts = np.where(place == sizes[:, None] - 1, self.last_byte_id[rows], self.byte_id[rows])
+        parts[place >= sizes[:, None]] = -1
+        out = np.full((n, width), -1, dtype=np.int64)
+        row_of = np.arange(n)
         ranks, made = self._pair_ranks(parts[:, :-1], parts[:, 1:])
         while len(row_of):
-            best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(row_of), dtype=np.int64)
-            done = ranks[np.arange(len(row_of)), best] == NEVER if ranks.shape[1] else np.ones(len(row_of), dtype=bool)
-            for row, line in zip(row_of[done].tolist(), parts[done].tolist()):
-                out[row] = tuple(p for p in line if p >= 0)
+            width = parts.shape[1]
+            best = ranks.argmin(axis=1) if width > 1 else np.zeros(len(row_of), dtype=np.int64)
+            done = ranks[np.arange(len(row_of)), best] == NEVER if width > 1 else np.ones(len(row_of), dtype=bool)
+            out[row_of[done], :width] = parts[done]
             keep = ~done
             row_of, parts, ranks, made, best = row_of[keep], parts[keep], ranks[keep], made[keep], best[keep]
-            n, width = parts.shape
-            rows = np.arange(n)
-            parts[rows, best] = made[rows, best]
+            if not len(row_of):
+                break
+            n = len(row_of)
+            i = np.arange(n)
+            parts[i, best] = made[i, best]
             parts = parts[np.arange(width) != best[:, None] + 1].reshape(n, width - 1)
             stay = np.arange(width - 1) != best[:, None]
             ranks, made = ranks[stay].reshape(n, width - 2), made[stay].reshape(n, width - 2)
             for col, ok in ((best - 1, best >= 1), (best, best < width - 2)):
-                r, c = rows[ok], col[ok]
+                r, c = i[ok], col[ok]
                 ranks[r, c], made[r, c] = self._pair_ranks(parts[r, c], parts[r, c + 1])
         return out
 
-    def merged(self, word: str) -> tuple[int, ...]:
+    def merged(self, word: bytes) -> list[int]:
         """Exact merging of one word: the lowest-ranked pair first, the leftmost among equals."""
-        parts = [self.vocab.get(c + END if i == len(word) - 1 else c) for i, c in enumerate(word)]
-        parts = [p for p in parts if p is not None]
+        codes = np.frombuffer(word, dtype=np.uint8)
+        parts = [*self.byte_id[codes[:-1]].tolist(), int(self.last_byte_id[codes[-1]])]
         after, before = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)]
         queue = [(self.pair_rank[p][0], i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.pair_rank]
         heapq.heapify(queue)
@@ -207,45 +236,69 @@ class Encoder:
             for x, y in ((before[i], i), (i, after[i])):
                 if x >= 0 and y >= 0 and (p := (parts[x], parts[y])) in self.pair_rank:
                     heapq.heappush(queue, (self.pair_rank[p][0], x, p))
-        return tuple(p for p in parts if p is not None)
-
-    def proposed(self, word: str) -> list[int]:
-        """Longest vocabulary entries from left to right; empty if a character has none."""
-        out, at, n, inner, final, longest = [], 0, len(word), self.inner, self.final, self.longest
-        while at < n:
-            if n - at <= self.longest_final and (t := final.get(word[at:])) is not None:
-                out.append(t)
-                break
-            for to in range(min(n - 1, at + longest.get(word[at:at + 2], 1)), at, -1):
-                if (t := inner.get(word[at:to])) is not None:
-                    break
-            else:
-                return []
-            out.append(t)
-            at = to
-        return out
+        return [p for p in parts if p is not None]
 
-    def learn(self, words: list[str]) -> tuple[dict[str, tuple[int, ...]], int]:
-        """Ids of distinct words, encoded together; and how many had to be merged exactly."""
-        shown = ["".join([self.letters[x] for x in w.encode()]) for w in words]
-        guesses = [self.proposed(s) for s in shown]
-        sizes = np.fromiter(map(len, guesses), dtype=np.int64, count=len(guesses))
-        flat = np.fromiter((t for g in guesses for t in g), dtype=np.int64, count=int(sizes.sum()))
-        word_of = np.repeat(np.arange(len(guesses)), sizes)
-        within = word_of[1:] == word_of[:-1]
-        keys, place = np.unique((flat[:-1] * self.size + flat[1:])[within], return_inverse=True)
-        fits = self.compatible(keys // self.size, keys % self.size)
-        failing = sizes == 0
-        failing[word_of[1:][within][~fits[place]]] = True
-        out = {w: tuple(g) for w, g in zip(words, guesses)}
-        failed = [(w, s) for w, s, bad in zip(words, shown, failing.tolist()) if bad]
-        for top in (8, 12, 16, SIDE_BY_SIDE):
-            short = [(w, s) for w, s in failed if len(s) <= top]
-            failed = [(w, s) for w, s in failed if len(s) > top]
-            if short:
-                out.update(zip([w for w, _ in short], self.merged_together([s for _, s in short])))
-        out.update((w, self.merged(s)) for w, s in failed)
-        return out, int(failing.sum())
+    def proposed(self, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Longest vocabulary entries from left to right for all words at once, ends filled with -1; and who has none somewhere."""
+        out = np.full((len(rows), rows.shape[1]), -1, dtype=np.int64)
+        stuck = np.zeros(len(rows), dtype=bool)
+        live, at, nth = np.arange(len(rows)), np.zeros(len(rows), dtype=np.int64), 0
+        while len(live):
+            size = sizes[live]
+            token, to = np.full(len(live), -1, dtype=np.int64), np.zeros(len(live), dtype=np.int64)
+            walk, node, ahead = np.arange(len(live)), np.zeros(len(live), dtype=np.int64), at[live]
+            while len(walk):
+                end = ahead == size[walk]
+                code = np.where(end, STOP, rows[live[walk], np.minimum(ahead, rows.shape[1] - 1)])
+                key = node * (STOP + 1) + code
+                found = np.minimum(np.searchsorted(self.trie_keys, key), len(self.trie_keys) - 1)
+                ok = self.trie_keys[found] == key
+                walk, node, ahead, end = walk[ok], self.trie_next[found[ok]], ahead[ok] + 1, end[ok]
+                hit = self.node_token[node]
+                # A token may stop inside the word or after its end mark, not between the last byte and the mark.
+                whole = (hit >= 0) & ((ahead != size[walk]) | end)
+                token[walk[whole]], to[walk[whole]] = hit[whole], ahead[whole]
+                walk, node, ahead = walk[~end], node[~end], ahead[~end]
+            stuck[live[token < 0]] = True
+            out[live, nth] = token
+            at[live] = to
+            nth += 1
+            live = live[(token >= 0) & (to <= size)]
+        return out, stuck
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        """Tokens of distinct words, one word after the other, their numbers, and how many words were merged exactly."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        counts, place, found, failed, low = np.zeros(len(words), dtype=np.int64), [], [], 0, 0
+        for top in SIDE_BY_SIDE:
+            pick = np.flatnonzero((sizes > low) & (sizes <= top))
+            low = top
+            if not len(pick):
+                continue
+            rows, n = side_by_side([words[i] for i in pick])
+            guess, wrong = self.proposed(rows, n)
+            a, b = guess[:, :-1], guess[:, 1:]
+            r, c = np.nonzero((a >= 0) & (b >= 0))
+            keys, which = np.unique(a[r, c] * self.size + b[r, c], return_inverse=True)
+            wrong[r[~self.compatible(keys // self.size, keys % self.size)[which]]] = True
+            if wrong.any():
+                failed += int(wrong.sum())
+                guess[wrong] = self.merged_together(rows[wrong], n[wrong])
+            real = guess >= 0
+            counts[pick] = real.sum(axis=1)
+            place.append(pick)
+            found.append(guess[real])
+        for i in np.flatnonzero(sizes > low):
+            tokens = [t for t in self.merged(words[i]) if t >= 0]
+            counts[i] = len(tokens)
+            place.append(np.array([i]))
+            found.append(np.array(tokens, dtype=np.int64))
+        if not place:
+            return np.zeros(0, dtype=np.int32), counts, 0
+        order, flat = np.concatenate(place), np.concatenate(found)
+        starts = np.zeros(len(words), dtype=np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return flat[ragged(starts, counts, np.arange(len(words)))].astype(np.int32), counts, failed
 
     def pieces(self, text: str) -> list[str | int]:
         """Runs without white space of the text as it is normalised, and ids of added tokens standing in it."""
@@ -267,54 +320,97 @@ class Encoder:
             return NOT_WHITE.findall(text)
         return text.split()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. New runs of all texts are cut into words and encoded together."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and their numbers. New runs are cut into words and encoded together."""
         split = [self.pieces(t) for t in texts]
         if len(self.memory) > MEMORY:
-            self.memory.clear()
+            self._forget()
         known = self.memory
-        new = [r for r in set(chain.from_iterable(split)) if r not in known]
-        cut = [self.pattern.findall(r) if isinstance(r, str) else r for r in new]
-        ids, _ = self.learn(list({w for words in cut if isinstance(words, list) for w in words}))
-        for run, words in zip(new, cut):
-            known[run] = tuple(chain.from_iterable([ids[w] for w in words])) if isinstance(words, list) else (words,)
-        return [list(chain.from_iterable(map(known.__getitem__, runs))) for runs in split]
-
-    def decode(self, ids) -> str:
-        return " ".join([self.shown[i] for i in ids if i in self.shown])
-
-
-def encode(spark: SparkSession, text: Column, path: str) -> Column:
-    """Token ids of a text column as ``array<int>``, by the tokenizer file at ``path`` (read on the driver).
+        new = list(set(chain.from_iterable(split)).difference(known))
+        if new:
+            index: dict[str, int] = {}
+            cut = [self.pattern.findall(r) if isinstance(r, str) else [] for r in new]
+            word = np.fromiter((index.setdefault(w, len(index)) for words in cut for w in words), dtype=np.int64)
+            tokens, counts, _ = self.learn([w.encode() for w in index])
+            starts = np.cumsum(counts) - counts
+            ends = np.r_[0, np.cumsum(counts[word])]
+            edge = np.r_[0, np.cumsum([len(w) for w in cut])]
+            known.update(zip(new, range(len(self.counts), len(self.counts) + len(new))))
+            self.counts = np.r_[self.counts, ends[edge[1:]] - ends[edge[:-1]]]
+            self.tokens = np.r_[self.tokens, tokens[ragged(starts, counts, word)]]
+            for token in [r for r in new if isinstance(r, int)]:  # an added token stands for itself
+                known[token] = len(self.counts)
+                self.counts, self.tokens = np.r_[self.counts, 1], np.r_[self.tokens, np.int32(token)]
+        runs = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        starts = np.cumsum(self.counts) - self.counts
+        ends = np.r_[0, np.cumsum(self.counts[runs])]
+        edge = np.r_[0, np.cumsum([len(r) for r in split])].astype(np.int64)
+        return self.tokens[ragged(starts, self.counts, runs)], ends[edge[1:]] - ends[edge[:-1]]
+
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with its text column replaced by ``array<int>`` token ids, by the tokenizer file at ``path`` (read on the driver).
 
     A null or empty text gives an empty array. Texts are taken whole; a worker holds one chunk of
-    texts and a bounded memory of words.
+    texts and a bounded memory of runs. Other columns pass unchanged; one named like the ids is
+    replaced. Repeated rows stay; an empty table gives an empty one.
     """
-    spec = spark.sparkContext.broadcast(load(path))  # the size of the vocabulary file
+    spec = docs.sparkSession.sparkContext.broadcast(load(path))  # the size of the vocabulary file
+    kept = [c for c in docs.columns if c not in (text_col, ids_col)]
 
-    @pandas_udf("array<int>")
-    def bpe_encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def bpe_encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(**spec.value)
-        for texts in batches:
-            yield pd.Series([ids for part in chunks(texts) for ids in encoder.encode(part)], dtype=object)
+        for batch in batches:
+            at = 0
+            for part in chunks((t.as_py() for t in batch.column(len(kept))), CHUNK_CHARS):
+                ids, counts = encoder.encode(part)
+                lists = pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int64()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(part)).columns[:len(kept)], lists.cast(pa.list_(pa.int32()))], [*kept, ids_col])
+                at += len(part)
 
-    return bpe_encode(text)
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    return docs.select(*[F.col(f"`{c}`") for c in [*kept, text_col]]).mapInArrow(bpe_encode, schema)
 
 
-def decode(spark: SparkSession, ids: Column, path: str) -> Column:
-    """The tokens of an id array, joined by a space as the file's missing decoder implies; added tokens are kept.
+def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """``coded`` with a text column: the tokens of the ids joined by a space, as the file's missing decoder implies.
 
-    Ids outside the vocabulary are skipped; a null array gives an empty text.
+    Added tokens are kept, ids outside the vocabulary skipped; a null array gives an empty text.
     """
     spec = _read(path)
-    shown = spark.sparkContext.broadcast(
-        {**{i: t for t, i in spec["model"]["vocab"].items()}, **{t["id"]: t["content"] for t in spec["added_tokens"]}})
-
-    @pandas_udf("string")
-    def bpe_decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = shown.value
-        for rows in batches:
-            yield pd.Series([" ".join([tokens[i] for i in row.tolist() if i in tokens]) if row is not None else ""
-                             for row in rows], dtype=object)
-
-    return bpe_decode(ids)
+    size = max([*spec["model"]["vocab"].values(), *[t["id"] for t in spec["added_tokens"]]]) + 1
+    names: list[str | None] = [None] * size
+    for token, at in [*spec["model"]["vocab"].items(), *[(t["content"], t["id"]) for t in spec["added_tokens"]]]:
+        names[at] = token
+    shown = coded.sparkSession.sparkContext.broadcast(names)
+    kept = [c for c in coded.columns if c != text_col]
+    at = kept.index(ids_col)
+
+    def bpe_decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = pa.array(shown.value, pa.string())
+        named = np.array([name is not None for name in shown.value])
+        for batch in batches:
+            lists = batch.column(at)
+            numbers = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+            for a, b in stretches(numbers, DECODE_TOKENS):
+                flat = lists.slice(a, b - a).flatten()
+                ids = flat.fill_null(-1).to_numpy(zero_copy_only=False)
+                real = (ids >= 0) & (ids < len(tokens))
+                real[real] &= named[ids[real]]
+                text = tokens.take(pa.array(np.where(real, ids, 0))).filter(pa.array(real))
+                ends = np.r_[0, np.cumsum(real)][np.r_[0, np.cumsum(numbers[a:b])]]
+                parts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), text)
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pc.binary_join(parts, " ")], [*kept, text_col])
+
+    schema = T.StructType([*[coded.schema[c] for c in kept], T.StructField(text_col, T.StringType())])
+    return coded.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(bpe_decode, schema)
+
+
+def stretches(numbers: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive rows with about ``limit`` entries together."""
+    ends = np.cumsum(numbers)
+    a = 0
+    while a < len(numbers):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
+        yield a, b
+        a = b
