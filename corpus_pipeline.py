@@ -61,9 +61,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and the text they decode to."""
-    coded = docs.select("doc_id", "source", bpe.encode(spark, F.col("text"), WORD_BPE).alias("ids"))
-    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                        bpe.decode(spark, F.col("ids"), WORD_BPE).alias("decoded"))
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), WORD_BPE)
+    return bpe.decode(coded, WORD_BPE).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
