@@ -32,9 +32,9 @@ NEVER = np.iinfo(np.int64).max
 # End of the planes that hold letters and digits.
 LAST_LETTER = 0x40000
 # Runs of text a worker remembers between chunks, and characters of a chunk.
-MEMORY = 300_000
-CHUNK_CHARS = 2_000_000
-DECODE_TOKENS = 1_000_000
+MEMORY = 200_000
+CHUNK_CHARS = 1_000_000
+DECODE_TOKENS = 500_000
 # Bytes of a word up to which words are handled side by side; longer ones one by one.
 SIDE_BY_SIDE = (8, 12, 16, 24, 40)
 STOP = 256  # code of a word's end, after the 256 bytes

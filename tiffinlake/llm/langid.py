@@ -31,7 +31,7 @@ ROUNDS = 3
 STRANGE = 1e-7
 PRIOR_COUNT = 0.02
 # Words a worker remembers between chunks.
-MEMORY = 500_000
+MEMORY = 200_000
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 
@@ -115,8 +115,8 @@ class Segmenter:
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         for low, top in ((0, 8), (8, 14), (14, 22), (22, WORD_LETTERS)):
             pick = np.flatnonzero((sizes > low) & (sizes <= top))
-            for at in range(0, len(pick), 50_000):
-                some = pick[at:at + 50_000]
+            for at in range(0, len(pick), 10_000):
+                some = pick[at:at + 10_000]
                 letters = self.matrix([words[i] for i in some])
                 alpha = self.forward(letters, sizes[some], prob)
                 out[some] = np.log(alpha[np.arange(len(some)), sizes[some] + 1])
@@ -183,8 +183,8 @@ def fit(docs: DataFrame, model_path: str, text_col: str = "text", lang_col: str
         def expect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             segmenter, counts = Segmenter(tool.value), np.zeros_like(now.value)
             for frame in frames:
-                for at in range(0, len(frame), 20_000):
-                    some = frame.iloc[at:at + 20_000]
+                for at in range(0, len(frame), 10_000):
+                    some = frame.iloc[at:at + 10_000]
                     code = some["word"].str.len().clip(upper=WORD_LETTERS)
                     for _, same in some.groupby(pd.cut(code, [0, 8, 14, 22, WORD_LETTERS]), observed=True):
                         spread = same.pivot_table(index="word", columns="lang", values="n", aggfunc="sum", fill_value=0)

@@ -40,7 +40,7 @@ SAMPLE_PER_LABEL = 3000
 TELLING_LANDMARKS, COMMON_LANDMARKS = 256, 64
 SENTENCES_PER_DOC = 2
 RIDGE = 1e-3
-MEMORY = 500_000
+MEMORY = 200_000
 LETTER = re.compile(r"[^\W\d_]+")
 NEWLINE = "\x01"
 
@@ -189,8 +189,8 @@ class Scorer:
         if len(self.memory) > MEMORY:
             self.memory.clear()
         new = list(set(cut.words).difference(self.memory))
-        for at in range(0, len(new), 50_000):
-            self._learn(new[at:at + 50_000])
+        for at in range(0, len(new), 10_000):
+            self._learn(new[at:at + 10_000])
         out = np.full(cut.docs, self.offset)
         if len(cut.word):
             value = np.fromiter(map(self.memory.__getitem__, cut.words), dtype=float, count=len(cut.words))
@@ -274,10 +274,11 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
                 np.add.at(sums, numbers[cut.sentence[use]], k[inverse])
                 length = np.bincount(numbers[cut.sentence[use]], minlength=len(sums))
                 yield pd.DataFrame({"y": label[pick], "n": length, "x": list(sums)})
-                # The most telling word of a toxic sentence is also taught as a sentence of its own.
+                # The most telling word of a toxic sentence is also taught as a sentence of its own, as it is and with a letter put in.
                 tells = pick[cut.sentence] & (label[cut.sentence] == 1) & (value[cut.word] > 0) & (value[cut.word] == worst[cut.sentence])
                 if tells.any():
-                    alone = kernel([cut.words[i] for i in cut.word[tells]], landmarks)
+                    plain = [cut.words[i] for i in cut.word[tells]]
+                    alone = kernel([*plain, *[w[:len(w) // 2] + "xqz"[i % 3] + w[len(w) // 2:] for i, w in enumerate(plain)]], landmarks)
                     yield pd.DataFrame({"y": np.ones(len(alone), dtype=int), "n": 1, "x": list(alone)})
 
     taught = learn.select("y", "text").mapInPandas(features, "y int, n long, x array<float>").toPandas()
