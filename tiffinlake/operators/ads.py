@@ -122,21 +122,24 @@ def recon_hourly(
     the hour of the click, and only hours the join produces are kept. Both come from per-click
     match totals; the join itself is never formed.
     """
-    clicks, orders = _scoped(clicks, start, end), _scoped(orders, start, end)
+    orders = _scoped(orders, start, end)
     if mode == "exact":
-        return _recon_exact(clicks, orders, window)
+        # An order in the first minutes may owe its credit to a click before the start.
+        since = start - dt.timedelta(microseconds=micros(window)) if start is not None else None
+        return _recon_exact(_scoped(clicks, start, end), _scoped(clicks, since, end), orders, window)
+    clicks = _scoped(clicks, start, end)
     if mode == "compat":
         return _recon_compat(clicks, orders, window)
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _recon_exact(clicks: DataFrame, orders: DataFrame, window: str) -> DataFrame:
+def _recon_exact(clicks: DataFrame, earlier_too: DataFrame, orders: DataFrame, window: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     money = F.lit(0).cast(orders.schema["price"].dataType)
     shown = clicks.where("item_id is not null").groupBy(_hour(), "item_id").agg(
         F.count_if(_is("impression")).alias("impressions"), F.count_if(_is("click")).alias("clicks"))
     sold = (
-        attributed_orders(orders.where("item_id is not null"), clicks, window)
+        attributed_orders(orders.where("item_id is not null"), earlier_too, window)
         .groupBy(_hour(), "item_id", "order_id")
         .agg(F.max("price").alias("price"), F.max(F.col("attributed").cast("int")).alias("attributed"))
         .groupBy("date_hour", "item_id")

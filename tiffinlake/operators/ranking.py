@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import materialize
 
 
-def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int = 64) -> DataFrame:
+def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int | None = None) -> DataFrame:
     """``rank() over (partition by groups order by value desc)``, plus ``<out>_pct`` (percent_rank).
 
     ``groups`` may be empty for a rank over the whole table. ``df`` is read several times; pass a
@@ -16,7 +16,7 @@ def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int
     return df.join(_rank_table(df, groups, value, out, slices), [*groups, value])
 
 
-def add_ranks(df: DataFrame, groups: list[str], ranks: dict[str, str], slices: int = 64) -> DataFrame:
+def add_ranks(df: DataFrame, groups: list[str], ranks: dict[str, str], slices: int | None = None) -> DataFrame:
     """Several ranks at once, ``{value column: rank column}``. ``df`` is written to the shared folder first."""
     stored = materialize(df, "ranked")
     out = stored
@@ -25,14 +25,15 @@ def add_ranks(df: DataFrame, groups: list[str], ranks: dict[str, str], slices: i
     return out
 
 
-def _rank_table(df: DataFrame, groups: list[str], value: str, out: str, slices: int) -> DataFrame:
+def _rank_table(df: DataFrame, groups: list[str], value: str, out: str, slices: int | None) -> DataFrame:
     """Rank of every distinct (group, value).
 
     Equal values are counted first. Each group's values are cut into slices at approximate
     quantiles; a value's rank is the size of the slices above it plus its position within its
-    slice. The quantiles only balance the slices: ranks are exact whatever they are. Values must
+    slice (by default as many as shuffle partitions). The quantiles only balance the slices: ranks are exact whatever they are. Values must
     not be null.
     """
+    slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     probabilities = [i / slices for i in range(1, slices)]
     cuts = counts.groupBy(*groups).agg(

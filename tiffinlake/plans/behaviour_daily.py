@@ -39,18 +39,19 @@ def silver_clicks(bronze: DataFrame, run_ts: dt.datetime, profile: str = "lake",
 
 def run(spark: SparkSession, base: str, date: dt.date, run_ts: dt.datetime, window: str = "30 minutes",
         duplicates: str = "drop") -> None:
-    """One day, idempotently: every table's partition of that day is replaced."""
+    """One day, idempotently: every table's partition of that day is replaced, by nothing if there is nothing left."""
     day = ["partition_date"]
+    here, gold = [{"partition_date": date}], [{"date": date}]
     replace_partition(
-        silver_orders(read_table(spark, f"{base}/bronze/orders", date), run_ts, duplicates=duplicates), f"{base}/silver/orders", day)
+        silver_orders(read_table(spark, f"{base}/bronze/orders", date), run_ts, duplicates=duplicates), f"{base}/silver/orders", day, here)
     replace_partition(
-        silver_clicks(read_table(spark, f"{base}/bronze/clicks", date), run_ts, duplicates=duplicates), f"{base}/silver/clicks", day)
+        silver_clicks(read_table(spark, f"{base}/bronze/clicks", date), run_ts, duplicates=duplicates), f"{base}/silver/clicks", day, here)
     orders = read_table(spark, f"{base}/silver/orders", date).where(_LIVE)
     clicks = read_table(spark, f"{base}/silver/clicks", date).where(_LIVE)
-    replace_partition(daily_gmv(orders, date), f"{base}/gold/daily_gmv", ["date"])
-    replace_partition(ads_attribution(clicks, orders, window, date), f"{base}/gold/ads_attribution", ["date"])
-    replace_partition(hourly_patterns(orders), f"{base}/gold/hourly_patterns", ["date"])
-    replace_partition(user_funnel(clicks, orders), f"{base}/gold/user_funnel", ["date"])
+    replace_partition(daily_gmv(orders, date), f"{base}/gold/daily_gmv", ["date"], gold)
+    replace_partition(ads_attribution(clicks, orders, window, date), f"{base}/gold/ads_attribution", ["date"], gold)
+    replace_partition(hourly_patterns(orders), f"{base}/gold/hourly_patterns", ["date"], gold)
+    replace_partition(user_funnel(clicks, orders), f"{base}/gold/user_funnel", ["date"], gold)
 
 
 def bronze_dates(spark: SparkSession, base: str) -> DataFrame:

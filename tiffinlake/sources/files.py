@@ -26,20 +26,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a table, if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def partition_path(base: str, layer: str, year: int, month: int, day: int, hour: int) -> str:
     """``base/layer/year=YYYY/month=MM/day=DD/hour=HH``."""
     return f"{base}/{layer}/year={year}/month={month:02d}/day={day:02d}/hour={hour:02d}"
 
 
-def widened(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than the cluster has cores, as a lone file with one row group gives.
-
-    A scan with enough splits is returned as it is, so large inputs are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 

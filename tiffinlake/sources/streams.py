@@ -77,14 +77,16 @@ def batch_sink(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoin
     return df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def run_available(writer: DataStreamWriter, timeout: int = 600, single_batch: bool = False) -> None:
-    """Process everything that is there, then stop.
+def run_available(writer: DataStreamWriter, timeout: int | None = None, single_batch: bool = False) -> None:
+    """Process everything that is there, then stop; however long it takes, unless ``timeout`` seconds are given.
 
     A job with processing-time state always has a next batch; run it with ``single_batch``.
     """
     query = (writer.trigger(once=True) if single_batch else writer.trigger(availableNow=True)).start()
     try:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             raise TimeoutError(f"stream still running after {timeout} s")
     finally:
         query.stop()

@@ -9,11 +9,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.dedup import dedup_latest
 from ..session import materialize
-from .files import path_exists, rebalanced
+from .files import delete_path, path_exists, rebalanced
 
 
 def read_table(spark: SparkSession, path: str, date: dt.date | str | None = None, columns: list[str] | None = None,
@@ -31,12 +31,42 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def replace_partition(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Delete-then-insert of the partitions in ``df``, as one dynamic overwrite."""
+def replace_partition(df: DataFrame, path: str, partition_by: list[str], replaced: list[dict[str, object]] | None = None) -> None:
+    """Delete-then-insert of the partitions in ``df``, as one dynamic overwrite.
+
+    ``replaced`` names partitions (all their columns) that belong to the replacement even if ``df``
+    has no row for them: those are emptied, so that a correction to nothing leaves nothing behind.
+    """
     (
         rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path)
     )
+    if replaced:
+        filled = {tuple(map(str, r)) for r in df.select(*partition_by).distinct().collect()}
+        for named in replaced:
+            value = tuple(str(named[c]) for c in partition_by)
+            if value not in filled:
+                delete_path(df.sparkSession, "/".join([path, *[f"{c}={v}" for c, v in zip(partition_by, value)]]))
+
+
+def _touched(source: DataFrame, path: str, partition_by: list[str]) -> DataFrame:
+    """The stored rows of the partitions that ``source`` has rows for; others are not scanned.
+
+    Partition values have the source's types, so that a text like ``01`` is not read as a number.
+    The values of the batch are collected first: one short row for each partition it touches.
+    """
+    spark = source.sparkSession
+    stored = spark.read.parquet(path).schema
+    typed = T.StructType([source.schema[f.name] if f.name in partition_by else f for f in stored.fields])
+    target = spark.read.schema(typed).parquet(path)
+    if not partition_by:
+        return target
+    values = source.select(*partition_by).distinct().collect()
+    for i, column in enumerate(partition_by):
+        known = sorted({r[i] for r in values if r[i] is not None})
+        missing = F.col(column).isNull() if any(r[i] is None for r in values) else F.lit(False)
+        target = target.where(F.col(column).isin(known) | missing)
+    return target
 
 
 def _check(keys: list[str], partition_by: list[str]) -> None:
@@ -67,7 +97,7 @@ def merge_insert(source: DataFrame, path: str, keys: list[str], partition_by: li
     spark = source.sparkSession
     fresh = source
     if path_exists(spark, path):
-        fresh = materialize(not_matched(source, spark.read.parquet(path), keys), "merge")
+        fresh = materialize(not_matched(source, _touched(source, path, partition_by), keys), "merge")
     write_table(fresh, path, partition_by)
 
 
@@ -82,12 +112,11 @@ def merge_upsert(source: DataFrame, path: str, keys: list[str], partition_by: li
     if not path_exists(spark, path):
         write_table(source, path, partition_by)
         return
-    target = spark.read.parquet(path)
-    touched = target
-    if partition_by:
+    touched = _touched(source, path, partition_by)
+    if len(partition_by) > 1:  # columns are pruned one by one; together they may name more than was touched
         parts = source.select(*[F.col(p).alias(f"_{p}") for p in partition_by]).distinct()
         same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in partition_by])
-        touched = target.join(parts, same, "left_semi")
+        touched = touched.join(parts, same, "left_semi")
     staged = materialize(upserted(source, touched, keys), "merge")
     if partition_by:
         replace_partition(staged, path, partition_by)

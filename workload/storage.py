@@ -132,6 +132,32 @@ def table_replace_partition(spark, sf):
     return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("value"))
 
 
+@query("replace_empty_day", f"""
+WITH {SHOP_SQL.strip()} SELECT status, count(*) AS n FROM shop WHERE status <> 'F' GROUP BY 1""")
+def replace_empty_day(spark, sf):
+    """One status is replaced by no rows at all; the others stay."""
+    path = scratch(spark, "replace")
+    shop = shop_orders(spark, sf)
+    tables.write_table(shop, path, ["status"])
+    tables.replace_partition(shop.where("status = 'F' and price < 0"), path, ["status"], [{"status": "F"}])
+    return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("merge_upsert_text_partition", f"""
+WITH {SHOP_SQL.strip()}
+SELECT CASE status WHEN 'F' THEN '01' WHEN 'O' THEN '02' ELSE '10' END AS month, count(*) AS n, count(DISTINCT order_id) AS orders,
+  sum(CASE WHEN status IN ('O', 'P') THEN 1 ELSE price END)::DOUBLE AS value FROM shop GROUP BY 1""")
+def merge_upsert_text_partition(spark, sf):
+    """Partitions named like 01 are text: an upsert finds their rows and keeps their names."""
+    path = scratch(spark, "merge")
+    month = F.when(F.col("status") == "F", "01").when(F.col("status") == "O", "02").otherwise("10").alias("month")
+    old, new = (df.select("order_id", "price", month) for df in _merge_sides(spark, sf))
+    tables.write_table(old, path, ["month"])
+    tables.merge_upsert(new, path, ["order_id", "month"], ["month"])
+    stored = spark.read.schema(old.schema).parquet(path)
+    return stored.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("order_id").alias("orders"), F.sum("price").alias("value"))
+
+
 def _merge_sides(spark, sf):
     """An old and a new version of the orders that overlap in order status O."""
     shop = shop_orders(spark, sf).select("order_id", "user_id", "price", "status")

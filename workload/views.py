@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tiffinlake.schemas import DELIVERY_CSV_COLUMNS
-from tiffinlake.sources.files import widened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -172,8 +171,8 @@ foods AS (SELECT p_partkey AS food_id, p_name AS name, p_type AS category,
 
 def delivery_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as rows of the delivery feed: all text, with the feed's kinds of dirt."""
-    line = widened(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+    line = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
