@@ -41,6 +41,8 @@ TELLING_LANDMARKS, COMMON_LANDMARKS = 256, 64
 SENTENCES_PER_DOC = 2
 RIDGE = 1e-3
 MEMORY = 200_000
+# Margin of a text without words: below any sentence's.
+NOTHING = -30.0
 LETTER = re.compile(r"[^\W\d_]+")
 NEWLINE = "\x01"
 
@@ -191,7 +193,7 @@ class Scorer:
         new = list(set(cut.words).difference(self.memory))
         for at in range(0, len(new), 10_000):
             self._learn(new[at:at + 10_000])
-        out = np.full(cut.docs, self.offset)
+        out = np.full(cut.docs, NOTHING)
         if len(cut.word):
             value = np.fromiter(map(self.memory.__getitem__, cut.words), dtype=float, count=len(cut.words))
             sums = np.bincount(cut.sentence, value[cut.word], minlength=len(cut.sentence_doc)) + self.offset
@@ -315,6 +317,6 @@ def _apply(spark: SparkSession, text: Column, model: dict, finish) -> Column:
 
 
 def score(spark: SparkSession, text: Column, model: dict) -> Column:
-    """Probability that a text is toxic, from its worst sentence. A null text scores as an empty one."""
+    """Probability that a text is toxic, from its worst sentence. A null or empty text, or one without words, scores lowest."""
     knots = model["knots"]
     return _apply(spark, text, model, lambda m: probability(m, knots))
