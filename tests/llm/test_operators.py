@@ -264,3 +264,18 @@ def test_pipeline_stages(spark, odd, none):
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "ids", "n_tokens", "decoded"} <= set(out.columns)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    from tiffinlake.llm.support import BATCH_BYTES, lean, small_batches
+
+    small_batches(spark)
+
+    @lean
+    def sizes(batches):
+        for batch in batches:
+            yield type(batch).from_pydict({"n": [batch.num_rows], "b": [batch.nbytes]})
+
+    texts = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("0123456789"), 10_000).alias("text"))
+    rows = texts.mapInArrow(sizes, "n long, b long").collect()
+    assert sum(r["n"] for r in rows) == 400 and max(r["b"] for r in rows) < 2 * BATCH_BYTES

@@ -21,7 +21,7 @@ from tokenizers import Regex
 from tokenizers.normalizers import NFC, Lowercase, Sequence
 from tokenizers.pre_tokenizers import Split
 
-from .support import chunks
+from .support import chunks, lean, small_batches
 
 # The word pattern of the vocabulary, and the suffix of a word's last token.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{digit}|[^{letter}{digit}]+"
@@ -355,9 +355,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     texts and a bounded memory of runs. Other columns pass unchanged; one named like the ids is
     replaced. Repeated rows stay; an empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(load(path))  # the size of the vocabulary file
     kept = [c for c in docs.columns if c not in (text_col, ids_col)]
 
+    @lean
     def bpe_encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(**spec.value)
         for batch in batches:
@@ -377,6 +379,7 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
 
     Added tokens are kept, ids outside the vocabulary skipped; a null array gives an empty text.
     """
+    small_batches(coded.sparkSession)
     spec = _read(path)
     size = max([*spec["model"]["vocab"].values(), *[t["id"] for t in spec["added_tokens"]]]) + 1
     names: list[str | None] = [None] * size
@@ -386,6 +389,7 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
     kept = [c for c in coded.columns if c != text_col]
     at = kept.index(ids_col)
 
+    @lean
     def bpe_decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = pa.array(shown.value, pa.string())
         named = np.array([name is not None for name in shown.value])

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .support import mix64
+from .support import lean, mix64, small_batches
 
 SAMPLES = 128
 CHUNK_CHARS = 1_000_000
@@ -99,12 +99,14 @@ def hex_rows(signs: np.ndarray) -> list[str]:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
     """``doc_id`` and ``fingerprint`` (hex) of every whole text; null texts count as empty, equal texts have equal fingerprints."""
 
+    @lean
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(samples)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hex_rows(sampler.sign(texts)), pa.string())], ["doc_id", "fingerprint"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(sign, "doc_id long, fingerprint string")
 
 
@@ -123,6 +125,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A null text is empty; a single document is its own next. An empty table gives an empty one.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     cuts = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 50 * parts)).first()[0] or []
@@ -161,6 +164,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             pa.array(hex_rows(own[at]), pa.string()), pa.array(hex_rows(changed), pa.string()),
             pa.array(likeness(own[at], changed), pa.float64()), pa.array(likeness(own[at], own[at + 1]), pa.float64())], names)
 
+    @lean
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler, held, size = Sampler(samples), [], 0
         for batch in batches:

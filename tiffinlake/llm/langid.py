@@ -19,7 +19,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tiffinlake.session import materialize
 
-from .support import bounded_sample, chunks
+from .support import bounded_sample, chunks, lean, small_batches
 
 UNKNOWN = "und"
 # Longest run of letters scored as one word; a longer one counts as several.
@@ -32,6 +32,8 @@ STRANGE = 1e-7
 PRIOR_COUNT = 0.02
 # Words a worker remembers between chunks.
 MEMORY = 200_000
+# Words whose segmentations are summed side by side.
+WORDS_AT_ONCE = 4_000
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 
@@ -115,8 +117,8 @@ class Segmenter:
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         for low, top in ((0, 8), (8, 14), (14, 22), (22, WORD_LETTERS)):
             pick = np.flatnonzero((sizes > low) & (sizes <= top))
-            for at in range(0, len(pick), 10_000):
-                some = pick[at:at + 10_000]
+            for at in range(0, len(pick), WORDS_AT_ONCE):
+                some = pick[at:at + WORDS_AT_ONCE]
                 letters = self.matrix([words[i] for i in some])
                 alpha = self.forward(letters, sizes[some], prob)
                 out[some] = np.log(alpha[np.arange(len(some)), sizes[some] + 1])
@@ -157,10 +159,12 @@ def fit(docs: DataFrame, model_path: str, text_col: str = "text", lang_col: str
     languages and every text is unknown.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = pieces_of(model_path)
     rows = docs.select(F.col(key_col).alias("key"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     sample = bounded_sample(rows.where(F.col("text").isNotNull()), "lang", "key", per_language, seed)
 
+    @lean
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lang, texts in frame.groupby("lang")["text"]:
@@ -180,11 +184,12 @@ def fit(docs: DataFrame, model_path: str, text_col: str = "text", lang_col: str
     for _ in range(rounds):
         now = spark.sparkContext.broadcast(prob)  # vocabulary x languages
 
+        @lean
         def expect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             segmenter, counts = Segmenter(tool.value), np.zeros_like(now.value)
             for frame in frames:
-                for at in range(0, len(frame), 10_000):
-                    some = frame.iloc[at:at + 10_000]
+                for at in range(0, len(frame), WORDS_AT_ONCE):
+                    some = frame.iloc[at:at + WORDS_AT_ONCE]
                     code = some["word"].str.len().clip(upper=WORD_LETTERS)
                     for _, same in some.groupby(pd.cut(code, [0, 8, 14, 22, WORD_LETTERS]), observed=True):
                         spread = same.pivot_table(index="word", columns="lang", values="n", aggfunc="sum", fill_value=0)
@@ -237,9 +242,11 @@ def predict(spark: SparkSession, text: Column, model: dict) -> Column:
     A null or empty text, and one without letters, is ``und`` with score 0. Equal likelihoods go to
     the first language in alphabetical order. Texts are scored whole.
     """
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # vocabulary x languages
 
     @pandas_udf("lang_pred string, score double")
+    @lean
     def identify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for texts in batches:

@@ -14,6 +14,7 @@ from pyspark.sql.functions import pandas_udf
 from tiffinlake.session import materialize
 
 from .components import components
+from .support import lean, small_batches
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -42,6 +43,7 @@ def fingerprint(text: Column, words_per_shingle: int = SHINGLE_WORDS) -> Column:
     """SimHash of a text column as a (signed) long; a null text has the fingerprint of an empty one, zero."""
 
     @pandas_udf("long")
+    @lean
     def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             values = np.array([text_fingerprint(t, words_per_shingle) for t in texts], dtype=np.uint64)
@@ -134,6 +136,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, limit: int = TRIE_LI
     level = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in rest])).alias("mask"))
     out = None
 
+    @lean
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for frame in frames:
@@ -178,6 +181,7 @@ def _group_links(frame: pd.DataFrame, max_bits: int) -> pd.DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = SHINGLE_WORDS,
             max_bits: int = MAX_BITS, carry: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, the ``carry`` columns, ``fp`` and ``class``, the root fingerprint of its class."""
+    small_batches(docs.sparkSession)
     rows = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), *(carry or []),
                                    fingerprint(F.col(text_col), words_per_shingle).alias("fp")), "simhash")
     prints = materialize(rows.select("fp").distinct(), "prints")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 # Characters a Python task works on at once; longer texts make a chunk of their own.
 CHUNK_CHARS = 1_000_000
+# Bytes of texts sent to a Python task at once; a longer text makes a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +35,25 @@ def chunks(texts, limit: int = CHUNK_CHARS) -> Iterator[list[str]]:
         yield part
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what the session's Python tasks receive at once by bytes, as rows may hold very long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work``, which after its last batch gives freed memory back to the system: Spark keeps workers for later tasks."""
+
+    @wraps(work)
+    def run(batches):
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run
+
+
 def bounded_sample(df: DataFrame, by: str, key: str, per_value: int, seed: int) -> DataFrame:
     """At most ``per_value`` rows of each value of ``by``, in the order of a seeded hash of ``key``.
 

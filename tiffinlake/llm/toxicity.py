@@ -25,7 +25,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tiffinlake.session import materialize
 
-from .support import bounded_sample, chunks
+from .support import bounded_sample, chunks, lean, small_batches
 
 # Letters a to z, a bucket of others, and the edge of a word.
 LETTERS, OTHERS = 26, 13
@@ -212,6 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
     toxic. Without both labels the model gives 0 to every text.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     marked = (labels.select(F.col(key_col).alias("key"), F.col(label_col).cast("int").alias("y"))
               .where("key is not null and y in (0, 1)").groupBy("key").agg(F.max("y").alias("y")))
     marked = materialize(marked, "labels")
@@ -226,6 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
                          .repartition(spark.sparkContext.defaultParallelism), "sample")
     learn = sample.where("not held")
 
+    @lean
     def presence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for y, same in frame.groupby("y")["text"]:
@@ -249,6 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
         return nothing
     hint = spark.sparkContext.broadcast({r["word"]: r["telling"] for r in telling})  # bounded by the landmarks
 
+    @lean
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             labels_of = frame["y"].tolist()
@@ -305,9 +308,11 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
 
 
 def _apply(spark: SparkSession, text: Column, model: dict, finish) -> Column:
+    small_batches(spark)
     shared = spark.sparkContext.broadcast((model["weights"], model["offset"], model["each"]))  # 10 MB whatever the corpus
 
     @pandas_udf("double")
+    @lean
     def margin(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(*shared.value)
         for texts in batches:
