@@ -60,8 +60,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, their number, and the text they decode to."""
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), WORD_BPE)
+    """Token ids of every document, their number, and the text they decode to.
+
+    The ids are stored in between, so that a task never runs two Python workers at once.
+    """
+    coded = materialize(bpe.encode(docs.select("doc_id", "source", "text"), WORD_BPE), "ids")
     return bpe.decode(coded, WORD_BPE).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
