@@ -174,6 +174,23 @@ def test_fingerprints(spark, odd, none):
     assert [r["near_next"] for r in fingerprint.compare_with_next(odd.where("doc_id = 5")).collect()] == [1.0]
 
 
+def test_fingerprints_do_not_depend_on_the_memory(monkeypatch):
+    random.seed(3)
+    texts = [" ".join(random.choice("abcdefgh") * random.randint(1, 9) for _ in range(60)) for _ in range(20)]
+    alone = np.concatenate([fingerprint.Sampler().sign([t]) for t in texts])
+    monkeypatch.setattr(fingerprint, "MEMORY", 16)
+    few = fingerprint.Sampler()
+    assert (np.concatenate([few.sign([t]) for t in texts[::-1]])[::-1] == alone).all() and len(few.index) < 72
+    # All values tied: the smaller name, not the first in memory, is the sample.
+    ways = []
+    for first in ("p q r", "r q p"):
+        sampler = fingerprint.Sampler()
+        sampler.sign([first])
+        sampler.single[:] = 0
+        ways.append(sampler.sign(["q r p"]))
+    assert (ways[0] == ways[1]).all()
+
+
 def test_licences(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = licenses.fit(docs)

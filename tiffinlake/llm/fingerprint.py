@@ -20,44 +20,61 @@ from pyspark.sql import DataFrame, functions as F
 from .support import lean, mix64, small_batches
 
 SAMPLES = 128
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 # Terms whose draws a worker keeps.
-MEMORY = 60_000
+MEMORY = 30_000
+# Terms drawn side by side: few enough for a core's cache.
+DRAWN_AT_ONCE = 96
 
 
 class Sampler:
     def __init__(self, samples: int = SAMPLES, seed: int = 5):
         self.samples = samples
-        self.salt = np.arange(5 * samples, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+        self.salt = np.arange(3 * samples, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         empty = np.zeros((0, self.samples), dtype=np.float32)
         self.grid, self.shift, self.single = empty, empty, empty
-        self.names = np.zeros(0, dtype=np.uint64)
+        self.names, self.uses = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+    def _keep_common(self) -> None:
+        """Forget all terms but those in the most texts, a quarter of the memory."""
+        if len(self.index) <= MEMORY // 4:
+            return self._forget()
+        kept = np.sort(np.argpartition(-self.uses, MEMORY // 4)[:MEMORY // 4])
+        terms = list(self.index)
+        self.index = {terms[i]: at for at, i in enumerate(kept.tolist())}
+        self.grid, self.shift, self.single = self.grid[kept], self.shift[kept], self.single[kept]
+        # Halved, so that what is common now counts more than what was common once.
+        self.names, self.uses = self.names[kept], self.uses[kept] // 2
 
     def _draw(self, terms: list[str]) -> None:
         names = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms], dtype=np.uint64)
-        found = []
-        for at in range(0, len(terms), 4096):
+        old = len(self.names)
+        # Space for old and new terms at once, filled block by block.
+        grid, shift, single = (np.empty((old + len(terms), self.samples), dtype=np.float32) for _ in range(3))
+        for full, part in ((grid, self.grid), (shift, self.shift), (single, self.single)):
+            full[:old] = part
+        for at in range(0, len(terms), DRAWN_AT_ONCE):
             with np.errstate(over="ignore"):
-                bits = mix64(names[at:at + 4096, None] + self.salt)
-            u = ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24)
-            u = u.reshape(len(u), 5, self.samples)
-            grid, level, shift = -np.log(u[:, 0] * u[:, 1]), np.log(-np.log(u[:, 2] * u[:, 3])), u[:, 4]
-            found.append((grid, shift, level - grid * (1 - shift)))
-        grids, shifts, singles = ([p[i] for p in found] for i in range(3))
-        self.index.update(zip(terms, range(len(self.names), len(self.names) + len(terms))))
-        self.names = np.r_[self.names, names]
-        self.grid, self.shift, self.single = (np.concatenate([a, *b]) for a, b in (
-            (self.grid, grids), (self.shift, shifts), (self.single, singles)))
+                bits = mix64(names[at:at + DRAWN_AT_ONCE, None] + self.salt)
+            bits = bits.reshape(len(bits), 3, self.samples)
+            # Two numbers between 0 and 1 come from the upper and the middle 24 bits of a hash.
+            upper, middle = (((bits >> np.uint64(k) & np.uint64((1 << 24) - 1)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24) for k in (40, 16))
+            rows = slice(old + at, old + at + len(bits))
+            grid[rows], shift[rows] = -np.log(upper[:, 0] * middle[:, 0]), upper[:, 2]
+            single[rows] = np.log(-np.log(upper[:, 1] * middle[:, 1])) - grid[rows] * (1 - shift[rows])
+        self.index.update(zip(terms, range(old, old + len(terms))))
+        self.names, self.uses = np.r_[self.names, names], np.r_[self.uses, np.zeros(len(names), dtype=np.int64)]
+        self.grid, self.shift, self.single = grid, shift, single
 
     def sign(self, texts: list[str]) -> np.ndarray:
         """A row of samples for each text, 1 to 65535; all 0 for a text without terms."""
         split = [t.lower().split() for t in texts]
         if len(self.index) > MEMORY:
-            self._forget()
+            self._keep_common()
         new = list(set(chain.from_iterable(split)).difference(self.index))
         if new:
             self._draw(new)
@@ -68,6 +85,10 @@ class Sampler:
                 continue
             ids = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
             ids, weight = np.unique(ids, return_counts=True)
+            self.uses[ids] += 1
+            # By name, so that ties of the value go to the smaller one whatever was in memory before.
+            by_name = self.names[ids].argsort()
+            ids, weight = ids[by_name], weight[by_name]
             value = self.single[ids]
             often = np.flatnonzero(weight > 1)
             if len(often):
@@ -75,7 +96,6 @@ class Sampler:
                 step = np.floor(np.log(weight[often]).astype(np.float32)[:, None] / grid + shift)
                 # A single occurrence has step 0; further steps lower the value by one grid width each.
                 value[often] -= grid * step
-            # The order of terms in memory is no matter: ties of the value go to the smaller name.
             best = value.argmin(axis=0)
             steps = np.zeros(self.samples, dtype=np.uint64)
             many = weight[best] > 1
