@@ -93,3 +93,44 @@ def test_spikes_need_to_hold(spark):
     want = [m for m in range(60) if all(counts.get(x, 0) > 20 for x in range(m - 5, m + 1))]
     assert got == want and want
     assert rows(alerts.alert_spikes(df, 1000)) == []
+
+
+def _by_files(spark, base, groups, stream):
+    """Rows that ``stream`` emits if each group of rows is one file and one micro-batch."""
+    from tiffinlake.sources.streams import file_sink, file_source, run_available
+    for part in groups:
+        df = spark.createDataFrame(part, SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        run_available(file_sink(stream(file_source(spark, f"{base}/in", df.schema)), f"{base}/out", f"{base}/cp"))
+    return spark.read.parquet(f"{base}/out")
+
+
+def test_a_late_row_is_judged_by_the_window_before_it(spark, base):
+    from tiffinlake.streaming.processors import device_sharing_stream
+    row = lambda i, user, t: (i, user, "d", f"o{i}", 1.0, "A", at(t))
+    early, late = [row(i, i, 100 + i) for i in range(3)], [row(9, 9, 50)]
+    out = _by_files(spark, base, [early, late, [row(10, 10, 200)]], lambda df: device_sharing_stream(df, window="5 minutes"))
+    # The late user sees nobody before it, and counts for the last row.
+    assert [(r.event_id, r.user_ids) for r in out.collect()] == [("10", ["0", "1", "10", "2", "9"])]
+
+
+@pytest.mark.parametrize("name", ["velocity", "device", "cooldown"])
+def test_state_ends_with_the_window(spark, base, name):
+    """Nothing of the first files is left when the watermark is a window past them."""
+    from tiffinlake.streaming import processors
+    row = lambda i, t: (i, 1 if t < 1000 else 2, "d" if t < 1000 else "e", f"o{i}", 1.0, "A", at(t))
+    groups = [[row(1, 0), row(2, 10)], [row(3, 5000)], [row(4, 9000)]]
+    rules = {"velocity": (lambda df: processors.velocity_stream(df, window="5 minutes", delay="1 second"), "seen"),
+             "device": (lambda df: processors.device_sharing_stream(df, window="5 minutes", delay="1 second"), "seen"),
+             "cooldown": (lambda df: processors.cooldown_stream(df, ["user_id"], "event_time", delay="1 second"), "last")}
+    stream, variable = rules[name]
+    _by_files(spark, base, groups, stream)
+    left = spark.read.format("statestore").option("stateVarName", variable).load(f"{base}/cp")
+    keys = [r[0] for r in left.select("key.*").distinct().collect()]
+    assert keys == [2 if name != "device" else "e"]
+
+
+def test_streams_keep_the_time_type(spark, base):
+    from tiffinlake.streaming.processors import velocity_stream
+    out = _by_files(spark, base, [[(i, 1, "d", "o", 1.0, "A", at(i)) for i in range(5)]], velocity_stream)
+    assert dict(out.dtypes)["detected_at"] == "timestamp_ntz" and out.count() == 2

@@ -38,7 +38,7 @@ def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def _alert(kind: str, message: Column, ts: str, extra: list[Column]) -> list[Column]:
+def alert_columns(kind: str, message: Column, ts: str, extra: list[Column]) -> list[Column]:
     return [
         F.lit(kind).alias("alert_type"), _text("user_id").alias("user_id"), _text("device_id").alias("device_id"),
         _text("order_id").alias("order_id"), _text("event_id").alias("event_id"),
@@ -68,7 +68,7 @@ def velocity_alerts(
     message = F.format_string(
         MESSAGES[VELOCITY], _text("user_id"), _text("order_count"), F.lit(str(micros(window) // 60_000_000)))
     return _with_point(df, busy, "user_id", ts).select(
-        *_alert(VELOCITY, message, ts, [F.col("order_count")]))
+        *alert_columns(VELOCITY, message, ts, [F.col("order_count")]))
 
 
 def device_sharing_alerts(
@@ -83,7 +83,7 @@ def device_sharing_alerts(
     shared = shared.where(F.col("unique_users") > limit)
     message = F.format_string(MESSAGES[DEVICE_SHARING], _text("device_id"), _text("unique_users"))
     return _with_point(known, shared, "device_id", ts).select(
-        *_alert(DEVICE_SHARING, message, ts, [F.col("unique_users")]))
+        *alert_columns(DEVICE_SHARING, message, ts, [F.col("unique_users")]))
 
 
 def device_users(alerts: DataFrame, df: DataFrame, window: str = VELOCITY_WINDOW, ts: str = "event_time") -> DataFrame:
@@ -108,7 +108,7 @@ def high_value_alerts(df: DataFrame, threshold: float = HIGH_VALUE_LIMIT, inclus
                       ts: str = "event_time") -> DataFrame:
     over = F.col("amount") >= threshold if inclusive else F.col("amount") > threshold
     message = F.format_string(MESSAGES[HIGH_VALUE], _text("amount"), _text("user_id"))
-    return df.where(over).select(*_alert(HIGH_VALUE, message, ts, [F.lit(float(threshold)).alias("threshold")]))
+    return df.where(over).select(*alert_columns(HIGH_VALUE, message, ts, [F.lit(float(threshold)).alias("threshold")]))
 
 
 def geo_anomaly_alerts(df: DataFrame, window: str = GEO_WINDOW, ts: str = "event_time") -> DataFrame:
@@ -138,7 +138,7 @@ def geo_anomaly_alerts(df: DataFrame, window: str = GEO_WINDOW, ts: str = "event
     message = F.format_string(
         MESSAGES[GEO_ANOMALY], _text("user_id"), _text("city"), F.array_join("previous_cities", ", "))
     return found.select(
-        *_alert(GEO_ANOMALY, message, ts, [F.col("city").alias("current_city"), F.col("previous_cities")]))
+        *alert_columns(GEO_ANOMALY, message, ts, [F.col("city").alias("current_city"), F.col("previous_cities")]))
 
 
 def union_alerts(*alerts: DataFrame) -> DataFrame:

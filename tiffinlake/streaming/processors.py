@@ -1,12 +1,16 @@
 """Stateful stream processors for rules no window expression covers.
 
-Rows of one key in a micro-batch are taken in event-time order. State holds only what a trailing
-window needs, and expires through timers or TTL.
+Rows of one key in a micro-batch are taken in event-time order. The rules need a watermark: a row
+more than ``delay`` behind the newest one is dropped. A later row within the delay is judged by the
+window before its own time; alerts already sent are not revised. State reaches back one window
+before the watermark and an event-time timer removes what is older, so a key that falls silent
+leaves nothing behind. Only the running count, which never ends by definition, keeps one number for
+every key.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +23,21 @@ from ..functions import epoch_us, micros
 from ..operators import fraud
 
 _LONG = T.StructType([T.StructField("v", T.LongType())])
+# How late a row may be against the newest one of its stream.
+DELAY = "10 minutes"
 _MEMBER = T.StructType([T.StructField("member", T.StringType()), T.StructField("t", T.LongType())])
 
 
+def _timer_ms(at_us: int) -> int:
+    """A timer that fires after ``at_us``: timers have millisecond resolution."""
+    return at_us // 1000 + 1
+
+
+def _reach(timers, window_us: int) -> int:
+    """The oldest instant that a row yet to come can still see."""
+    return timers.getCurrentWatermarkInMs() * 1000 - window_us
+
+
 def _in_order(rows: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(list(by), kind="stable")
 
@@ -44,16 +60,22 @@ class RunningCount(StatefulProcessor):
 
 
 class Cooldown(StatefulProcessor):
-    """Rows more than one period after the key's last emitted row."""
+    """Rows more than one period after the key's last emitted row; the state goes when the period is over.
+
+    A late row before the last emitted one does not pass.
+    """
 
     def __init__(self, period_us: int):
         self._period = period_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
         self._last = handle.getValueState("last", _LONG)
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us", "event_id")
+        if not self._last.exists():
+            self._handle.registerTimer(_timer_ms(int(batch["at_us"].iloc[0]) + self._period))
         last = self._last.get()[0] if self._last.exists() else None
         keep = np.zeros(len(batch), dtype=bool)
         for i, t in enumerate(batch["at_us"].to_numpy()):
@@ -63,6 +85,14 @@ class Cooldown(StatefulProcessor):
         self._last.update((last,))
         yield batch[keep]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last = int(self._last.get()[0])
+        if last < _reach(timerValues, self._period):
+            self._last.clear()
+        else:
+            self._handle.registerTimer(_timer_ms(last + self._period))
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -127,60 +157,104 @@ class Inactivity(StatefulProcessor):
         pass
 
 
-class TrailingCount(StatefulProcessor):
-    """Rows that bring their key above ``limit`` rows in the trailing window."""
+class _Trailing(StatefulProcessor):
+    """A list state of ``(member, t)`` of which a timer drops what no later row can see.
 
-    def __init__(self, window_us: int, limit: int):
-        self._window, self._limit = window_us, limit
+    New entries are appended; the list is written anew only when at least half of it is out of reach.
+    """
+
+    def __init__(self, window_us: int):
+        self._window = window_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._times = handle.getListState("times", _LONG)
+        self._handle = handle
+        self._seen = handle.getListState("seen", _MEMBER)
+
+    def _stored(self) -> list[tuple[str | None, int]]:
+        return [(m, int(t)) for m, t in self._seen.get()] if self._seen.exists() else []
+
+    def _store(self, stored: list, fresh: list, timers) -> None:
+        reach = _reach(timers, self._window)
+        kept = [x for x in stored if x[1] >= reach]
+        if stored and len(kept) > len(stored) // 2:
+            self._seen.appendList(fresh)
+        else:
+            self._seen.put(kept + fresh)
+        if not stored:
+            self._handle.registerTimer(_timer_ms(max(t for _, t in fresh) + self._window))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        reach = _reach(timerValues, self._window)
+        kept = [x for x in self._stored() if x[1] >= reach]
+        if kept:
+            self._seen.put(kept)
+            self._handle.registerTimer(_timer_ms(max(t for _, t in kept) + self._window))
+        else:
+            self._seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class TrailingCount(_Trailing):
+    """Rows that bring their key above ``limit`` rows in the trailing window."""
+
+    def __init__(self, window_us: int, limit: int):
+        super().__init__(window_us)
+        self._limit = limit
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us")
-        kept = [v[0] for v in self._times.get()] if self._times.exists() else []
+        stored = self._stored()
         at = batch["at_us"].to_numpy()
-        line = np.sort(np.concatenate([np.array(kept, dtype="int64"), at]))
+        line = np.sort(np.concatenate([np.array([t for _, t in stored], dtype="int64"), at]))
         n = np.searchsorted(line, at, "right") - np.searchsorted(line, at - self._window, "left")
-        self._times.put([(int(t),) for t in line[line >= line[-1] - self._window]])
+        self._store(stored, [(None, int(t)) for t in at], timerValues)
         batch["n"] = n
         yield batch[n > self._limit]
 
-    def close(self) -> None:
-        pass
-
 
-class TrailingMembers(StatefulProcessor):
-    """Each row with the members its key saw in the trailing window, itself included, and whether
-    its own member was there before. State: the last time of every member still in the window."""
+class TrailingMembers(_Trailing):
+    """Rows whose key saw more than ``limit`` members in the trailing window, itself included, with those members.
 
-    def __init__(self, window_us: int):
-        self._window = window_us
+    ``new_only`` keeps only rows whose own member was not in the window before them.
+    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getListState("seen", _MEMBER)
+    def __init__(self, window_us: int, limit: int, new_only: bool = False):
+        super().__init__(window_us)
+        self._limit, self._new_only = limit, new_only
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us")
-        stored = sorted(self._seen.get(), key=lambda x: x[1]) if self._seen.exists() else []
-        line = OrderedDict((m, t) for m, t in stored)
-        members, repeated = [], []
+        stored = self._stored()
+        fresh = sorted(set(zip(batch["member"], batch["at_us"].map(int))) - set(stored), key=lambda x: x[1])
+        line = sorted(stored + fresh, key=lambda x: x[1])
+        window, lo, hi = Counter(), 0, 0
+        keep, members = [], []
         for t, peers in batch.groupby("at_us", sort=True)["member"]:
-            while line and next(iter(line.values())) < t - self._window:
-                line.popitem(last=False)
-            known = set(line)
-            for m in peers:
-                line[m] = int(t)
-                line.move_to_end(m)
-            for m in peers:
-                members.append(sorted(line))
-                repeated.append(m in known)
-        self._seen.put(list(line.items()))
-        batch["members"], batch["repeated"] = members, repeated
-        yield batch
-
-    def close(self) -> None:
-        pass
+            while hi < len(line) and line[hi][1] < t:
+                window[line[hi][0]] += 1
+                hi += 1
+            while lo < hi and line[lo][1] < t - self._window:
+                gone = line[lo][0]
+                window[gone] -= 1
+                if not window[gone]:
+                    del window[gone]
+                lo += 1
+            known = {m for m in set(peers) if m in window} if self._new_only else set()
+            while hi < len(line) and line[hi][1] == t:
+                window[line[hi][0]] += 1
+                hi += 1
+            crowd = sorted(window) if len(window) > self._limit else None
+            passes = [crowd is not None and m not in known for m in peers]
+            keep += passes
+            members += [crowd] * sum(passes)
+        if fresh:
+            self._store(stored, fresh, timerValues)
+        out = batch[np.array(keep, dtype=bool)].copy()
+        out["members"] = pd.Series(members, index=out.index, dtype=object)
+        yield out
 
 
 def _apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: T.StructType | str,
@@ -194,7 +268,20 @@ def _timed(df: DataFrame, ts: str) -> DataFrame:
 
 
 def _extended(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+    return T.StructType([*[T.StructField(f.name, f.dataType) for f in df.schema], *[T.StructField(n, t) for n, t in fields]])
+
+
+def _watermarked(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """``df`` with a watermark on ``ts`` (unless it has one) and the instant in microseconds."""
+    from .windows import with_watermark
+
+    has = "spark.watermarkDelayMs" in df.schema[ts].metadata
+    return _timed(df if has else with_watermark(df, ts, delay), ts)
+
+
+def _like(out: DataFrame, df: DataFrame, ts: str) -> DataFrame:
+    """``ts`` in the type it had before the watermark, which needs TIMESTAMP."""
+    return out.withColumn(ts, F.col(ts).cast(df.schema[ts].dataType))
 
 
 def running_count_stream(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -204,12 +291,13 @@ def running_count_stream(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def cooldown_stream(alerts: DataFrame, keys: list[str], ts: str = "detected_at", period: str = fraud.COOLDOWN,
-                    clock: str = "event") -> DataFrame:
+                    clock: str = "event", delay: str = DELAY) -> DataFrame:
     """Alerts that pass the cooldown, by event time or by processing time."""
-    timed = _timed(alerts, ts)
     if clock == "processing":
+        timed = _timed(alerts, ts)
         return _apply(timed, keys, ProcessingTimeCooldown(micros(period) // 1000), timed.schema, "ProcessingTime").drop("at_us")
-    return _apply(timed, keys, Cooldown(micros(period)), timed.schema).drop("at_us")
+    timed = _watermarked(alerts, ts, delay)
+    return _like(_apply(timed, keys, Cooldown(micros(period)), _extended(timed), "EventTime").drop("at_us"), alerts, ts)
 
 
 def inactive_keys_stream(df: DataFrame, key: str, ts: str, gap: str, delay: str = "0 seconds") -> DataFrame:
@@ -225,49 +313,49 @@ def inactive_keys_stream(df: DataFrame, key: str, ts: str, gap: str, delay: str
 
 
 def velocity_stream(df: DataFrame, limit: int = fraud.VELOCITY_LIMIT, window: str = fraud.VELOCITY_WINDOW,
-                    ts: str = "event_time") -> DataFrame:
-    timed = _timed(df, ts)
-    hits = _apply(timed, ["user_id"], TrailingCount(micros(window), limit), _extended(timed, ("n", T.LongType())))
+                    ts: str = "event_time", delay: str = DELAY) -> DataFrame:
+    timed = _watermarked(df, ts, delay)
+    hits = _like(_apply(timed, ["user_id"], TrailingCount(micros(window), limit),
+                        _extended(timed, ("n", T.LongType())), "EventTime"), df, ts)
     message = F.format_string(
         fraud.MESSAGES[fraud.VELOCITY], F.col("user_id").cast("string"), F.col("n").cast("string"),
         F.lit(str(micros(window) // 60_000_000)))
-    return hits.select(*fraud._alert(fraud.VELOCITY, message, ts, [F.col("n").alias("order_count")]))
+    return hits.select(*fraud.alert_columns(fraud.VELOCITY, message, ts, [F.col("n").alias("order_count")]))
 
 
-def _members(df: DataFrame, key: str, member: str, window: str, ts: str) -> DataFrame:
-    timed = _timed(df, ts).withColumn("member", F.col(member).cast("string"))
-    out = _extended(timed, ("members", T.ArrayType(T.StringType())), ("repeated", T.BooleanType()))
-    return _apply(timed, [key], TrailingMembers(micros(window)), out)
+def _members(df: DataFrame, key: str, member: str, window: str, ts: str, delay: str, limit: int, new_only: bool = False) -> DataFrame:
+    timed = _watermarked(df, ts, delay).withColumn("member", F.col(member).cast("string"))
+    out = _extended(timed, ("members", T.ArrayType(T.StringType())))
+    return _like(_apply(timed, [key], TrailingMembers(micros(window), limit, new_only), out, "EventTime"), df, ts)
 
 
 def device_sharing_stream(df: DataFrame, limit: int = fraud.DEVICE_LIMIT, window: str = fraud.VELOCITY_WINDOW,
-                          ts: str = "event_time") -> DataFrame:
+                          ts: str = "event_time", delay: str = DELAY) -> DataFrame:
     """Device-sharing alerts with the list of users, which the state holds anyway."""
-    hits = _members(df.where("user_id is not null"), "device_id", "user_id", window, ts).where(F.size("members") > limit)
+    hits = _members(df.where("user_id is not null"), "device_id", "user_id", window, ts, delay, limit)
     n = F.size("members")
     message = F.format_string(fraud.MESSAGES[fraud.DEVICE_SHARING], F.col("device_id").cast("string"), n.cast("string"))
-    return hits.select(*fraud._alert(
+    return hits.select(*fraud.alert_columns(
         fraud.DEVICE_SHARING, message, ts, [n.cast("bigint").alias("unique_users"), F.col("members").alias("user_ids")]))
 
 
-def geo_anomaly_stream(df: DataFrame, window: str = fraud.GEO_WINDOW, ts: str = "event_time") -> DataFrame:
-    seen = _members(df.where("user_id is not null and city is not null"), "user_id", "city", window, ts)
-    hits = seen.withColumn("previous_cities", F.array_remove("members", F.col("city"))).where(
-        ~F.col("repeated") & (F.size("previous_cities") > 0))
+def geo_anomaly_stream(df: DataFrame, window: str = fraud.GEO_WINDOW, ts: str = "event_time", delay: str = DELAY) -> DataFrame:
+    hits = _members(df.where("user_id is not null and city is not null"), "user_id", "city", window, ts, delay, 1, new_only=True)
+    hits = hits.withColumn("previous_cities", F.array_remove("members", F.col("city")))
     message = F.format_string(
         fraud.MESSAGES[fraud.GEO_ANOMALY], F.col("user_id").cast("string"), F.col("city"),
         F.array_join("previous_cities", ", "))
-    return hits.select(*fraud._alert(
+    return hits.select(*fraud.alert_columns(
         fraud.GEO_ANOMALY, message, ts, [F.col("city").alias("current_city"), F.col("previous_cities")]))
 
 
 def fraud_stream(df: DataFrame, ts: str = "event_time", velocity_limit: int = fraud.VELOCITY_LIMIT,
                  velocity_window: str = fraud.VELOCITY_WINDOW, device_limit: int = fraud.DEVICE_LIMIT,
-                 geo_window: str = fraud.GEO_WINDOW, threshold: float = fraud.HIGH_VALUE_LIMIT) -> DataFrame:
+                 geo_window: str = fraud.GEO_WINDOW, threshold: float = fraud.HIGH_VALUE_LIMIT, delay: str = DELAY) -> DataFrame:
     """All four rules as one alert stream, before the cooldown."""
     return fraud.union_alerts(
-        velocity_stream(df, velocity_limit, velocity_window, ts),
-        device_sharing_stream(df, device_limit, velocity_window, ts),
+        velocity_stream(df, velocity_limit, velocity_window, ts, delay),
+        device_sharing_stream(df, device_limit, velocity_window, ts, delay),
         fraud.high_value_alerts(df, threshold, ts=ts),
-        geo_anomaly_stream(df, geo_window, ts),
+        geo_anomaly_stream(df, geo_window, ts, delay),
     )

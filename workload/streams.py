@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tiffinlake.functions import from_epoch_us
+from tiffinlake.functions import epoch_us, from_epoch_us
 from tiffinlake.operators import fraud
 from tiffinlake.schemas import STREAM_ORDER
-from tiffinlake.session import scratch
+from tiffinlake.session import materialize, scratch
 from tiffinlake.sources.streams import batch_sink, file_sink, file_source, read_events_stream, run_available
 from tiffinlake.streaming import attribution, ingest, processors, windows
 
@@ -31,6 +31,17 @@ def replay(spark, df, label):
     return file_source(spark, path, df.schema)
 
 
+def arriving(spark, df, ts, label, batches=4):
+    """A table as a stream of several files in time order, one file a micro-batch."""
+    path = scratch(spark, label)
+    df = materialize(df, label)
+    first, last = df.select(F.min(epoch_us(ts)), F.max(epoch_us(ts))).first()
+    part = F.least(F.floor((epoch_us(ts) - first) * batches / (last - first + 1)), F.lit(batches - 1))
+    for i in range(batches):
+        df.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return file_source(spark, path, df.schema, max_files=1)
+
+
 def collected(spark, stream, label):
     """Everything an append-mode stream emits."""
     path = scratch(spark, f"{label}-out")
@@ -83,7 +94,7 @@ def stream_sessions(spark, sf):
 @query("stream_running_count", "SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS running_count FROM events")
 def stream_running_count(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    out = processors.running_count_stream(replay(spark, rows, "count"), ["user_id"], "ts")
+    out = processors.running_count_stream(arriving(spark, rows, "ts", "count"), ["user_id"], "ts")
     return collected(spark, out, "count").select("event_id", "user_id", "running_count")
 
 
@@ -124,7 +135,7 @@ def stream_counters(spark, sf):
 
 
 def _tx(spark, sf):
-    return replay(spark, transactions(spark, sf), "transactions")
+    return arriving(spark, transactions(spark, sf), "event_time", "transactions")
 
 
 @query("stream_velocity", tx_sql(_velocity_sql(">=")))
@@ -150,7 +161,7 @@ def stream_high_value(spark, sf):
 @query("stream_cooldown", cool_sql("SELECT * FROM passed", "1 day"))
 def stream_cooldown(spark, sf):
     alerts = _keyed(all_alerts(spark, sf))
-    out = processors.cooldown_stream(replay(spark, alerts, "alerts"), ["key"], period="1 day")
+    out = processors.cooldown_stream(arriving(spark, alerts, "detected_at", "alerts"), ["key"], period="1 day")
     return collected(spark, out.drop("key"), "cooldown")
 
 
