@@ -71,3 +71,19 @@ def test_split_key_values(spark):
     values = split_key_values("p", ["year", "month", "day"])
     got = spark.createDataFrame([(path,)], "p string").select(*[v.alias(k) for k, v in values.items()]).first()
     assert tuple(got) == ("2024", "03", None)
+
+
+def test_fields_sent_with_other_types(spark):
+    from pyspark.sql import functions as F
+
+    from tiffinlake.functions import text_fields, typed_fields, unconvertible
+    from tiffinlake.schemas import ORDER_EVENT
+    bodies = ['{"user_id": 7, "price": 1.5, "metadata": {"a": "b"}}', '{"user_id": "7", "price": "1.50", "metadata": "{\\"a\\": \\"b\\"}"}',
+              '{"user_id": 7.0, "price": null, "metadata": "none"}', '{"user_id": "x"}', '{"quantity": 1.5}', '{"price": {"a": 1}}', "{}"]
+    sent = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b string").withColumn(
+        "sent", F.from_json("b", text_fields(ORDER_EVENT)))
+    got = sent.select("i", *typed_fields("sent", ORDER_EVENT), unconvertible("sent", ORDER_EVENT).alias("lost")).orderBy("i").collect()
+    assert [r.user_id for r in got] == [7, 7, 7, None, None, None, None]
+    assert [float(r.price) if r.price is not None else None for r in got] == [1.5, 1.5, None, None, None, None, None]
+    assert [(r.metadata or {}).get("a") for r in got] == ["b", "b", None, None, None, None, None]
+    assert [r.lost for r in got] == [False, False, False, True, True, True, False]

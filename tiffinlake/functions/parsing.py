@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
+from pyspark.sql import types as T
 
 # The spellings of "no value" in the delivery feed.
 MISSING_TOKENS = ["", "NaN", "nan", "NULL", "null"]
@@ -82,6 +85,34 @@ def raw_field(raw: Column | str, path: str, type_: str = "string") -> Column:
     return F.try_variant_get(F.try_parse_json(_col(raw)), path, type_)
 
 
+def text_fields(*schemas: T.StructType) -> T.StructType:
+    """The fields of JSON events, each read as the text that was sent: ``7``, ``"7"`` and ``{"a": 1}`` all arrive."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys(f.name for s in schemas for f in s)])
+
+
+def _converted(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.IntegralType):
+        return F.regexp_replace(text, r"\.0+$", "").try_cast(kind)
+    if isinstance(kind, T.MapType):
+        return F.from_json(text, kind)
+    return text.try_cast(kind)
+
+
+def typed_fields(event: str, schema: T.StructType) -> list[Column]:
+    """The fields of ``schema`` out of a :func:`text_fields` struct; null where a value does not convert.
+
+    Numbers sent as text are numbers; a map may be sent as an object or as a string that holds one.
+    """
+    return [_converted(F.col(event)[f.name], f.dataType).alias(f.name) for f in schema]
+
+
+def unconvertible(event: str, schema: T.StructType) -> Column:
+    """True if a number, decimal or flag was sent that does not convert to its type. Maps are optional detail and do not count."""
+    typed = [f for f in schema if not isinstance(f.dataType, (T.StringType, T.MapType))]
+    lost = [F.col(event)[f.name].isNotNull() & _converted(F.col(event)[f.name], f.dataType).isNull() for f in typed]
+    return reduce(lambda a, b: a | b, lost, F.lit(False))
+
+
 def split_key_values(path: Column | str, keys: list[str]) -> dict[str, Column]:
     """Values of Hive-style ``key=value`` segments in a path column."""
     text = _col(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import item_of_click, parse_iso_ts
+from ..functions import item_of_click, parse_iso_ts, text_fields, typed_fields, unconvertible
 from ..schemas import CLICK_EVENT, ORDER_EVENT
 
 # Topics, metadata and defaults of the bronze tables.
@@ -36,23 +36,27 @@ def _metadata() -> list[Column]:
 def _readable(messages: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     is_object = F.coalesce(text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull(), F.lit(False))
-    return messages.withColumn("raw", text).withColumn(
+    read = messages.withColumn("raw", text).withColumn("sent", F.from_json("raw", text_fields(ORDER_EVENT, CLICK_EVENT)))
+    lost = F.when(F.col("topic") == ORDERS_TOPIC, unconvertible("sent", ORDER_EVENT)).otherwise(unconvertible("sent", CLICK_EVENT))
+    return read.withColumn(
         "reason",
-        F.when(~F.col("topic").isin(ORDERS_TOPIC, CLICKS_TOPIC), "unknown_topic")
-        .when(~is_object, "invalid_json"),
+        F.when(F.coalesce(~F.col("topic").isin(ORDERS_TOPIC, CLICKS_TOPIC), F.lit(True)), "unknown_topic")
+        .when(~is_object, "invalid_json")
+        .when(lost, "invalid_type"),
     )
 
 
 def ingest_bronze(messages: DataFrame) -> dict[str, DataFrame]:
     """Route messages (``value, topic, partition, offset, timestamp``) by topic.
 
-    Works on batch and streaming frames alike. Unreadable JSON and unknown topics go to
-    ``quarantine`` with a reason; nothing is lost.
+    Works on batch and streaming frames alike. Numbers may be sent as text. Unreadable JSON, unknown
+    topics and events with a value that does not convert to its type go to ``quarantine`` with a
+    reason and the raw text. A timestamp that cannot be read is null, as are fields not sent.
     """
     read = _readable(messages)
     orders = (
         read.where(F.col("reason").isNull() & (F.col("topic") == ORDERS_TOPIC))
-        .withColumn("e", F.from_json("raw", ORDER_EVENT))
+        .withColumn("e", F.struct(*typed_fields("sent", ORDER_EVENT)))
         .select(
             "e.event_id", "e.order_id", "e.user_id", "e.item_id", "e.item_name", "e.price",
             F.coalesce("e.status", F.lit(DEFAULT_STATUS)).alias("status"),
@@ -63,7 +67,7 @@ def ingest_bronze(messages: DataFrame) -> dict[str, DataFrame]:
     )
     clicks = (
         read.where(F.col("reason").isNull() & (F.col("topic") == CLICKS_TOPIC))
-        .withColumn("e", F.from_json("raw", CLICK_EVENT))
+        .withColumn("e", F.struct(*typed_fields("sent", CLICK_EVENT)))
         .select(
             "e.event_id", "e.user_id", "e.event_type", item_of_click("e.item_id", "e.ad_id").alias("item_id"),
             "e.session_id", parse_iso_ts("e.timestamp").alias("event_timestamp"), *_metadata(),

@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffinlake.operators import delivery, fraud, health
-from tiffinlake.schemas import DELIVERY_CSV_COLUMNS
+from tiffinlake.functions import text_fields, typed_fields
+from tiffinlake.operators import catalog, delivery, fraud, health
+from tiffinlake.schemas import DELIVERY_CSV_COLUMNS, ORDER_EVENT
 from tiffinlake.session import scratch
 from tiffinlake.sources import bronze, files, tables
 
@@ -241,6 +242,41 @@ def ingest_bronze_quarantine(spark, sf):
     return bronze.ingest_bronze(messages(spark, sf))["quarantine"].select("offset", "reason")
 
 
+def mixed_messages(spark, sf):
+    """Order messages whose producers disagree on types: ids and prices as numbers or text, metadata as object or text, some garbage."""
+    n = F.col("event_id")
+    meta = F.to_json(F.struct(F.col("item_name").alias("category")))
+    quoted = F.concat(F.lit('"'), F.replace(meta, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    order = F.expr("""concat('{"event_id":"', event_id, '","timestamp":"2024-02-01T00:00:00Z","order_id":"', coalesce(order_id, ''), '","user_id":',
+      coalesce(case event_id % 4 when 0 then cast(user_id as string) when 1 then concat('"', user_id, '"') when 2 then concat(user_id, '.0') end, 'null'),
+      ',"quantity":', if(event_id % 7 = 0, '"x"', '2'), ',"price":',
+      case event_id % 5 when 0 then '"12.50"' when 1 then '12.5' when 2 then '"cheap"' else '1e1' end, ',"metadata":')""")
+    return events(spark, sf).where("event_type = 'order'").select(
+        F.concat(order, F.when(n % 3 == 0, meta).when(n % 3 == 1, quoted).otherwise(F.lit('"none"')), F.lit("}")).alias("value"),
+        F.lit(bronze.ORDERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), F.col("event_timestamp").cast("timestamp").alias("timestamp"))
+
+
+@query("ingest_bronze_mixed_types", events_sql("""
+SELECT event_id AS "offset", CASE WHEN event_id % 7 = 0 OR event_id % 5 = 2 THEN 'invalid_type' ELSE 'orders' END AS target,
+  CASE WHEN event_id % 7 <> 0 AND event_id % 5 <> 2 AND event_id % 4 <> 3 THEN user_id END AS user_id,
+  CASE WHEN event_id % 7 = 0 OR event_id % 5 = 2 THEN NULL WHEN event_id % 5 < 2 THEN 12.5 ELSE 10.0 END::DOUBLE AS price
+FROM ev WHERE event_type = 'order'"""))
+def ingest_bronze_mixed_types(spark, sf):
+    """Every order is stored with its values or kept in quarantine; none becomes null on the way."""
+    out = bronze.ingest_bronze(mixed_messages(spark, sf))
+    stored = out["orders"].select(F.col("kafka_offset").alias("offset"), F.lit("orders").alias("target"), "user_id", F.col("price").cast("double").alias("price"))
+    held = out["quarantine"].select("offset", F.col("reason").alias("target"))
+    return stored.unionByName(held, allowMissingColumns=True)
+
+
+@query("metadata_text_or_object", events_sql("""
+SELECT event_id::VARCHAR AS event_id, CASE WHEN event_id % 3 < 2 THEN item_name END AS category FROM ev WHERE event_type = 'order'"""))
+def metadata_text_or_object(spark, sf):
+    """Metadata arrives as an object or as a string that holds one; other strings hold nothing."""
+    sent = mixed_messages(spark, sf).select(F.from_json("value", text_fields(ORDER_EVENT)).alias("sent"))
+    return catalog.order_to_behavior(sent.select(*typed_fields("sent", ORDER_EVENT))).select("event_id", "category")
+
+
 @query("dimension_reload", "WITH " + FOODS_SQL.strip() + " SELECT food_id, name, category, price::DOUBLE AS price, is_available FROM foods")
 def dimension_reload(spark, sf):
     source, target = scratch(spark, "foods-json"), scratch(spark, "foods")
