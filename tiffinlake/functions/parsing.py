@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -98,18 +99,23 @@ def _converted(text: Column, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def typed_fields(event: str, schema: T.StructType) -> list[Column]:
+def parsed_once(raw: Column | str, schema: T.StructType, build: Callable[[Column], Column]) -> Column:
+    """``build`` over the parsed JSON, which is bound to a variable: the optimizer parses plain field accesses once a field."""
+    return F.transform(F.array(F.from_json(_col(raw), schema)), build)[0]
+
+
+def typed_fields(event: Column | str, schema: T.StructType) -> list[Column]:
     """The fields of ``schema`` out of a :func:`text_fields` struct; null where a value does not convert.
 
     Numbers sent as text are numbers; a map may be sent as an object or as a string that holds one.
     """
-    return [_converted(F.col(event)[f.name], f.dataType).alias(f.name) for f in schema]
+    return [_converted(_col(event)[f.name], f.dataType).alias(f.name) for f in schema]
 
 
-def unconvertible(event: str, schema: T.StructType) -> Column:
+def unconvertible(event: Column | str, schema: T.StructType) -> Column:
     """True if a number, decimal or flag was sent that does not convert to its type. Maps are optional detail and do not count."""
     typed = [f for f in schema if not isinstance(f.dataType, (T.StringType, T.MapType))]
-    lost = [F.col(event)[f.name].isNotNull() & _converted(F.col(event)[f.name], f.dataType).isNull() for f in typed]
+    lost = [_col(event)[f.name].isNotNull() & _converted(_col(event)[f.name], f.dataType).isNull() for f in typed]
     return reduce(lambda a, b: a | b, lost, F.lit(False))
 
 

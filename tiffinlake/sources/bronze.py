@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from ..functions import item_of_click, parse_iso_ts, text_fields, typed_fields, unconvertible
+from ..functions import item_of_click, parse_iso_ts, parsed_once, text_fields, typed_fields, unconvertible
 from ..schemas import CLICK_EVENT, ORDER_EVENT
 
 # Topics, metadata and defaults of the bronze tables.
@@ -33,12 +36,22 @@ def _metadata() -> list[Column]:
     ]
 
 
+def _event(schema: T.StructType, build: Callable[[Column], Column]) -> Column:
+    return parsed_once("raw", text_fields(schema), build)
+
+
+def _stored(schema: T.StructType) -> Column:
+    """The event's typed fields but its metadata, which stays in the raw text."""
+    flat = T.StructType([f for f in schema if not isinstance(f.dataType, T.MapType)])
+    return _event(flat, lambda e: F.struct(*typed_fields(e, flat)))
+
+
 def _readable(messages: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     is_object = F.coalesce(text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull(), F.lit(False))
-    read = messages.withColumn("raw", text).withColumn("sent", F.from_json("raw", text_fields(ORDER_EVENT, CLICK_EVENT)))
-    lost = F.when(F.col("topic") == ORDERS_TOPIC, unconvertible("sent", ORDER_EVENT)).otherwise(unconvertible("sent", CLICK_EVENT))
-    return read.withColumn(
+    lost = F.when(F.col("topic") == ORDERS_TOPIC, _event(ORDER_EVENT, lambda e: unconvertible(e, ORDER_EVENT))).otherwise(
+        _event(CLICK_EVENT, lambda e: unconvertible(e, CLICK_EVENT)))
+    return messages.withColumn("raw", text).withColumn(
         "reason",
         F.when(F.coalesce(~F.col("topic").isin(ORDERS_TOPIC, CLICKS_TOPIC), F.lit(True)), "unknown_topic")
         .when(~is_object, "invalid_json")
@@ -56,7 +69,7 @@ def ingest_bronze(messages: DataFrame) -> dict[str, DataFrame]:
     read = _readable(messages)
     orders = (
         read.where(F.col("reason").isNull() & (F.col("topic") == ORDERS_TOPIC))
-        .withColumn("e", F.struct(*typed_fields("sent", ORDER_EVENT)))
+        .withColumn("e", _stored(ORDER_EVENT))
         .select(
             "e.event_id", "e.order_id", "e.user_id", "e.item_id", "e.item_name", "e.price",
             F.coalesce("e.status", F.lit(DEFAULT_STATUS)).alias("status"),
@@ -67,7 +80,7 @@ def ingest_bronze(messages: DataFrame) -> dict[str, DataFrame]:
     )
     clicks = (
         read.where(F.col("reason").isNull() & (F.col("topic") == CLICKS_TOPIC))
-        .withColumn("e", F.struct(*typed_fields("sent", CLICK_EVENT)))
+        .withColumn("e", _stored(CLICK_EVENT))
         .select(
             "e.event_id", "e.user_id", "e.event_type", item_of_click("e.item_id", "e.ad_id").alias("item_id"),
             "e.session_id", parse_iso_ts("e.timestamp").alias("event_timestamp"), *_metadata(),
