@@ -257,6 +257,56 @@ def test_mixing(spark, odd, none):
     assert taken.count() == 9 and mixing.mix(none, ["lang", "source"], mixing.word_count(F.col("text"))).collect() == []
 
 
+def brute_budgets(leaves, weights, total, epochs):
+    """Budgets of the leaves, shared out from the root down by raising one level for all siblings."""
+    def takes(path):
+        if any(weights.get(path[:d], 1.0) == 0 for d in range(1, len(path) + 1)):
+            return 0.0
+        below = {p[:len(path) + 1] for p in leaves if p[:len(path)] == path}
+        return epochs * leaves[path] if path in leaves else sum(takes(p) for p in below)
+
+    out = {}
+
+    def share(path, purse):
+        if path in leaves:
+            out[path] = purse
+            return
+        kids = {p[:len(path) + 1] for p in leaves if p[:len(path)] == path}
+        given, left = dict.fromkeys(kids, 0.0), min(purse, sum(takes(k) for k in kids))
+        hungry = {k for k in kids if takes(k) > 0}
+        while hungry and left > 1e-9:
+            per = left / sum(weights.get(k, 1.0) for k in hungry)
+            full = {k for k in hungry if takes(k) - given[k] <= per * weights.get(k, 1.0) + 1e-9}
+            for k in full or hungry:
+                more = takes(k) - given[k] if full else per * weights.get(k, 1.0)
+                given[k], left = given[k] + more, left - more
+            hungry = hungry - full if full else set()
+        for k in kids:
+            share(k, given[k])
+
+    share((), total)
+    return out
+
+
+def test_mixing_gives_nothing_to_shut_leaves(spark):
+    rng = random.Random(3)
+    weights = {("d2", "fr", "hot"): 0.0, ("d0",): 3.0, ("d1", "en"): 4.0, ("d1", "de"): 0.0, ("d0", "fr"): 2.0, ("d0", "fr", "b"): 0.5}
+    paths = [(d, lang, s) for d in ("d0", "d1", "d2") for lang in ("en", "fr", "de") for s in ("a", "b")]
+    # A shut leaf that is hot among its siblings, one that has none, a shut inner node, and random trees.
+    trees = [{p: 100 for p in paths} | {("d2", "fr", "hot"): 5000}, {("d2", "fr", "hot"): 900, ("d0", "en", "a"): 50, ("d1", "en", "a"): 300},
+             {("d1", "de", "a"): 4000, ("d1", "en", "a"): 100, ("d0", "en", "a"): 2000}, {("d2", "fr", "hot"): 70}]
+    trees += [{p: rng.choice([1, 40, 900]) for p in rng.sample(paths, 9)} | {("d2", "fr", "hot"): rng.choice([10, 5000])} for _ in range(2)]
+    for tree in trees:
+        total = 0.8 * sum(tree.values())
+        leaves = spark.createDataFrame([(*(f"={x}" for x in p), n) for p, n in tree.items()], "a string, b string, c string, tokens long")
+        got = {(r["a"][1:], r["b"][1:], r["c"][1:]): r["budget"] for r in mixing.budgets(leaves, ["a", "b", "c"], weights, F.lit(total), 2.0).collect()}
+        want = brute_budgets(tree, weights, total, 2.0)
+        assert all(abs(got[p] - want[p]) < 1e-3 for p in tree), tree
+        # What the open leaves can take of the total is given away in full.
+        able = 2.0 * sum(n for p, n in tree.items() if all(weights.get(p[:d], 1.0) for d in (1, 2, 3)))
+        assert abs(sum(got.values()) - min(total, able)) < 1e-3
+
+
 def test_pipeline_stages(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = docs.limit(2).unionByName(docs.limit(2)).withColumn("doc_id", F.col("doc_id"))

@@ -41,14 +41,15 @@ def _weight(path: Sequence[Column], weights: Mapping[tuple, float]) -> Column:
 def budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[tuple, float], total: Column, epochs: float) -> DataFrame:
     """``leaves`` (one row each, with ``tokens``) with a ``budget``: the total, shared out from the root down.
 
-    A node can take ``epochs`` times its tokens. Siblings share their parent's budget by weight; one
+    A node can take ``epochs`` times the tokens of its open leaves; leaves below a weight of 0 take
+    nothing. Siblings share their parent's budget by weight; one
     that cannot take its share takes what it can, and the rest goes to its siblings by weight, until
     it fits. As a parent never gets more than its children can take together, a shortage leaves a
     family only when the whole family is short. With siblings ordered by capacity over weight, those
     that are full form a beginning: sibling ``i`` is full if the capacities up to it, and its own
     level for all later ones, stay within the budget.
     """
-    nodes = leaves.withColumn("__cap", F.col("tokens") * F.lit(float(epochs)))
+    nodes = leaves.withColumn("__cap", F.when(_open(levels, weights), F.col("tokens") * F.lit(float(epochs))).otherwise(0.0))
     for depth in range(len(levels), 0, -1):
         own = Window.partitionBy(*levels[:depth])
         nodes = nodes.withColumn(f"__cap{depth}", F.sum("__cap").over(own))
