@@ -201,6 +201,26 @@ def test_licences(spark, odd):
     assert [r["families"] for r in licenses.scan(odd, model).collect()] == [[]] * 9
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    model = licenses.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    long = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts if len(t) > 60]
+    wrapped = [(f, p + f"\n{p}".join(textwrap.wrap(t, width - len(p)))) for f, t in long for width in (40, 60, 72, 80) for p in ("", "# ", " * ")]
+    both = "\n".join(textwrap.wrap(long[1][1], 60) + textwrap.wrap(next(t for f, t in long if f == "mit"), 60))
+    texts = [f"Er thndor\n{t}\nand he" for _, t in wrapped]
+    texts += [both, f"{texts[0]}\n\n{texts[0]}", "Released under the MIT License.\nAll rights reserved.\nand he", "of the\nto the\nunder the\nfree of"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(df, model).collect()}
+    n = len(wrapped)
+    lost = [t for i, (f, t) in enumerate(wrapped) if f not in got[i]["families"] or len(got[i]["families"]) != 1 or got[i]["n_licence_paragraphs"] != 1]
+    assert not lost, lost
+    assert got[n]["families"] == sorted({long[1][0], "mit"})
+    assert got[n + 1]["n_licence_paragraphs"] == 2
+    assert (got[n + 2]["families"], got[n + 2]["n_licence_paragraphs"]) == (["mit", "rights-reserved"], 2)
+    assert got[n + 3]["families"] == []
+
+
 def test_revisits(spark):
     h = "map<string,string>"
     rows = [("r1", "http://www.A.com/x/", 1, "response", "e1", None, None, {"etag": "e1", "server": "s"}),

@@ -47,13 +47,25 @@ SAMPLE_DOCS, SAMPLE_PARAGRAPHS, FALSE_SHARE = 1500, 6000, 0.001
 LEAST_PROBABILITY = 0.5
 # A paragraph no text holds, so that every document keeps a row.
 MARK = "\x02"
+# Before a pair of the last word of a line and the first of the next.
+BREAK = "\x03"
+# Lines over which a notice may be wrapped.
+RUN_LINES = 8
+
+
+def words(paragraph: Column) -> Column:
+    plain = F.trim(F.regexp_replace(F.lower(paragraph), r"[^\p{L}\p{N}.+-]+|[.]+(?=\s|$)", " "))
+    return F.filter(F.split(plain, " +"), lambda w: w != "")
 
 
 def pairs(paragraph: Column) -> Column:
     """Distinct neighbouring words of a paragraph, its ends included."""
-    plain = F.trim(F.regexp_replace(F.lower(paragraph), r"[^\p{L}\p{N}.+-]+|[.]+(?=\s|$)", " "))
-    words = F.concat(F.array(F.lit("^")), F.filter(F.split(plain, " +"), lambda w: w != ""), F.array(F.lit("$")))
-    return F.array_distinct(F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b)))
+    return _neighbours(words(paragraph))
+
+
+def _neighbours(words: Column) -> Column:
+    framed = F.concat(F.array(F.lit("^")), words, F.array(F.lit("$")))
+    return F.array_distinct(F.zip_with(framed, F.slice(framed, 2, F.size(framed)), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def template_table(spark: SparkSession) -> DataFrame:
@@ -107,11 +119,15 @@ def _grams_of(notices: DataFrame) -> list[tuple[int, list[str]]]:
 
 
 def paragraphs(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Paragraphs with at least one known word pair: ``doc_id``, ``paragraph``, ``family``, ``probability``, ``overlap``, ``confirmed``.
+    """Paragraphs with at least one known word pair: ``doc_id``, ``paragraph``, ``lines``, ``family``, ``probability``, ``overlap``, ``confirmed``.
+
+    A paragraph is a line, named by its number, or a run of up to ``RUN_LINES`` lines, named by its first, over which
+    a notice is wrapped; of runs only the confirmed ones are listed. They may overlap. A line without
+    words inside a run costs it the pair that it breaks.
 
     Every document also has a row for paragraph -1, which holds nothing. ``family`` is the likeliest
     class, ``unknown`` below the least probability. It is confirmed if the paragraph holds enough of
-    the word pairs of one of the family's templates. A paragraph without known pairs is unknown and
+    the word pairs of one of the family's templates. A line without known pairs is unknown and
     not listed.
     """
     spark = docs.sparkSession
@@ -119,41 +135,101 @@ def paragraphs(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: s
     grams = _grams_of(template_table(spark))
     classes = [f"c{i}" for i in range(len(families))]
     marks = [f"t{i}" for i, _ in grams]
-    table = [(g, *map(float, model["weights"][:, i]), *[int(g in own) for _, own in grams]) for i, g in enumerate(vocabulary)]
-    table.append((MARK, *[0.0] * len(classes), *[0] * len(marks)))
-    known = spark.createDataFrame(table, ", ".join(["gram string", *[f"{c} double" for c in classes], *[f"{m} int" for m in marks]]))
+    table = [(g, i, *map(float, model["weights"][:, i]), *[int(g in own) for _, own in grams]) for i, g in enumerate(vocabulary)]
+    nothing = [*[0.0] * len(classes), *[0] * len(marks)]
+    named = ", ".join(["gram string", "pair int", *[f"{c} double" for c in classes], *[f"{m} int" for m in marks]])
+    # A pair over a line's end says nothing of the line: its weights are zero there.
+    known = spark.createDataFrame([*table, *[(BREAK + g, i, *nothing) for i, g in enumerate(vocabulary)], (MARK, None, *nothing)], named)
     lines = F.concat(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), F.array(F.lit(MARK)))
     # Numbered before the lines are unfolded: all lines of a row share its number.
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), lines.alias("lines"))
-    rows = rows.select("doc_id", "row", F.posexplode("lines").alias("at", "line"))
-    hits = (rows.select("doc_id", "row", F.when(F.col("line") == MARK, -1).otherwise(F.col("at")).alias("paragraph"),
-                        F.explode(F.when(F.col("line") == MARK, F.array(F.lit(MARK))).otherwise(pairs(F.col("line")))).alias("gram"))
+    rows = rows.select("doc_id", "row", F.transform("lines", lambda x: F.when(x == MARK, F.array(F.lit(MARK))).otherwise(words(x))).alias("lines"))
+    paired = F.zip_with("lines", F.slice("lines", 2, F.size("lines")), lambda a, b: F.when(F.get(a, F.lit(0)) == MARK, a).otherwise(
+        F.concat(_neighbours(a), _over(a, b))))
+    rows = rows.select("doc_id", "row", F.posexplode(paired).alias("at", "grams"))
+    hits = (rows.select("doc_id", "row", F.when(F.get("grams", F.lit(0)) == MARK, -1).otherwise(F.col("at")).alias("paragraph"),
+                        F.explode("grams").alias("gram"))
             .join(F.broadcast(known), "gram"))  # the templates' word pairs: a fixed list
-    sums = hits.groupBy("row", "paragraph").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in [*classes, *marks]])
-    logits = [F.col(c) + F.lit(float(b)) for c, b in zip(classes, model["bias"])]
-    top = F.greatest(*logits)
-    total = sum((F.exp(x - top) for x in logits), F.lit(0.0))
-    best = F.coalesce(*[F.when(x == top, F.lit(f)) for x, f in zip(logits, families)])
+    # What a line gives to a run: its inner pairs, and at the run's ends or breaks those of its own.
+    first, last, over = F.col("gram").startswith("^ "), F.col("gram").endswith(" $"), F.col("gram").startswith(BREAK)
+    sums = hits.groupBy("row", "paragraph").agg(
+        F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in [*classes, *marks]],
+        F.collect_set(F.when(~first & ~last & ~over, F.col("pair"))).alias("inner"), F.max(F.when(first, F.col("pair"))).alias("first"),
+        F.max(F.when(last, F.col("pair"))).alias("last"), F.collect_set(F.when(over, F.col("pair"))).alias("over"))
+    # Stored: the lines are read twice, for themselves and for the runs.
+    judged = materialize(_judge(sums, model, grams, classes, marks).drop(*classes, *marks, "logits"), "lines")
+    given = judged.where("paragraph >= 0").select(
+        "doc_id", "row", F.explode(F.array(F.floor(F.col("paragraph") / RUN_LINES), F.floor(F.col("paragraph") / RUN_LINES) - 1)).alias("block"),
+        F.struct(F.col("paragraph").alias("at"), "inner", "first", "last", "over").alias("line"))
+    # A block and the next hold every run that begins in the block; few hold enough of any template.
+    near = given.groupBy("row", "block").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list("line")).alias("near")).where("size(near) > 1")
+    place = {g: i for i, g in enumerate(vocabulary)}
+    held = F.flatten(F.transform("near", lambda x: F.concat(x["inner"], x["over"], F.array(x["first"], x["last"]))))
+    near = near.withColumn("held", F.array_distinct(held)).where(F.greatest(*[
+        F.size(F.array_intersect("held", F.array(*[F.lit(place[g]) for g in own]))) / F.lit(float(len(own))) for _, own in grams]) >= CONFIRM)
+    begun = near.select("doc_id", "row", "block", "near", F.explode("near").alias("from")).where(F.floor(F.col("from.at") / RUN_LINES) == F.col("block"))
+    ended = begun.select("doc_id", "row", "near", "from", F.explode(F.filter("near", lambda x: (x["at"] > F.col("from.at")) & (x["at"] < F.col("from.at") + RUN_LINES))).alias("to"))
+    inside = F.filter("near", lambda x: (x["at"] >= F.col("from.at")) & (x["at"] <= F.col("to.at")))
+    runs = ended.select("doc_id", "row", "from", "to", inside.alias("inside")).select(
+        "doc_id", "row", F.col("from.at").alias("paragraph"), (F.col("to.at") - F.col("from.at") + 1).alias("lines"),
+        F.explode(F.array_distinct(F.concat(F.flatten("inside.inner"), F.array("from.first", "to.last"),
+                                            F.flatten(F.transform(F.filter("inside", lambda x: x["at"] < F.col("to.at")), lambda x: x["over"]))))).alias("pair"))
+    weighed = spark.createDataFrame(table, named).drop("gram")
+    totals = (runs.join(F.broadcast(weighed), "pair").groupBy("row", "paragraph", "lines")
+              .agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in [*classes, *marks]]))
+    wrapped = _judge(totals, model, grams, classes, marks).where("confirmed")
+    names = ["doc_id", "row", "paragraph", "lines", "family", "probability", "overlap", "confirmed"]
+    return judged.withColumn("lines", F.lit(1)).select(names).unionByName(wrapped.select(names))
+
+
+def _over(a: Column, b: Column) -> Column:
+    """Pairs over the end of a line ``a`` and the beginning of the next, marked; a word broken at its hyphen is one word."""
+    last, first = F.get(a, F.size(a) - 1), F.get(b, F.lit(0))
+    broken = F.concat(last, first)
+    over = lambda x, y: F.concat(F.lit(BREAK), x, F.lit(" "), y)
+    return F.when(last.endswith("-"), F.array(over(F.get(a, F.size(a) - 2), broken), over(broken, F.get(b, F.lit(1))))).otherwise(
+        F.array(over(last, first)))
+
+
+def _judge(sums: DataFrame, model: dict, grams: list[tuple[int, list[str]]], classes: list[str], marks: list[str]) -> DataFrame:
+    """``family``, ``probability``, ``overlap`` and ``confirmed`` from the summed weights and template pairs."""
+    families = model["families"]
+    # Columns of their own, as the code made for one expression of all of it grows too long to compile.
+    sums = (sums.withColumn("logits", F.array(*[F.col(c) + F.lit(float(b)) for c, b in zip(classes, model["bias"])]))
+            .withColumn("top", F.array_max("logits"))
+            .withColumn("likeliest", F.get(F.array(*[F.lit(f) for f in families]), (F.array_position("logits", F.col("top")) - 1).cast("int"))))
+    total = F.aggregate("logits", F.lit(0.0), lambda done, x: done + F.exp(x - F.col("top")))
     family_of = [f for f, texts in TEMPLATES.items() for _ in texts]
     overlap = F.greatest(F.lit(0.0), *[F.when(F.col("likeliest") == family, F.col(mark) / F.lit(float(len(own)))).otherwise(0.0)
                                        for mark, (_, own), family in zip(marks, grams, family_of)])
-    judged = sums.withColumn("likeliest", best).withColumn("probability", F.lit(1.0) / total).withColumn("overlap", overlap)
+    judged = sums.withColumn("probability", F.lit(1.0) / total).withColumn("overlap", overlap)
     family = F.when((F.col("likeliest") != UNKNOWN) & (F.col("probability") >= model["least"]), F.col("likeliest")).otherwise(UNKNOWN)
-    return (judged.withColumn("family", family)
-            .withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("overlap") >= CONFIRM))
-            .select("doc_id", "row", "paragraph", "family", "probability", "overlap", "confirmed"))
+    return judged.withColumn("family", family).withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("overlap") >= CONFIRM))
+
+
+def _apart(spans: Column, like: str) -> Column:
+    """The spans that overlap no better one, in their order: the most of a template first, then the fewest lines."""
+    meets = lambda x: lambda y: (x["at"] < y["at"] + y["lines"]) & (y["at"] < x["at"] + x["lines"])
+    return F.aggregate(spans, F.array().cast(like), lambda done, x: F.when(F.exists(done, meets(x)), done).otherwise(F.concat(done, F.array(x))))
 
 
 def scan(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its confirmed licence families in order, how many paragraphs, and the surest one.
 
+    Of overlapping paragraphs of one family the one with the most of a template counts, so a wrapped notice counts once.
     A document without a confirmed paragraph has an empty list, 0 and nulls. Null and empty texts
     have none; null ids and repeated rows keep a row each; other columns are not read.
     """
     found = paragraphs(docs, model, id_col, text_col)
-    sure = F.when(F.col("confirmed"), F.struct(F.col("probability"), F.col("overlap"), (-F.col("paragraph")).alias("p"), F.col("family")))
-    by_doc = found.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("families"),
-        F.count_if("confirmed").alias("n_licence_paragraphs"), F.max(sure).alias("best"))
+    fields = {"missing": -F.col("overlap"), "lines": F.col("lines"), "at": F.col("paragraph"), "probability": F.col("probability")}
+    like = "array<struct<missing: double, lines: int, at: int, probability: double>>"
+    span = F.when(F.col("confirmed"), F.struct(*[c.cast("double" if n in ("missing", "probability") else "int").alias(n) for n, c in fields.items()]))
+    by_family = (found.groupBy("row", F.when(F.col("confirmed"), F.col("family")).alias("family"))
+                 .agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(span)).alias("spans")).withColumn("spans", _apart(F.col("spans"), like)))
+    sure = F.array_max(F.transform("spans", lambda x: F.struct(
+        x["probability"].alias("probability"), (-x["missing"]).alias("overlap"), (-x["at"]).alias("p"), F.col("family").alias("family"))))
+    by_doc = by_family.withColumn("best", sure).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set("family")).alias("families"),
+        F.sum(F.size("spans")).alias("n_licence_paragraphs"), F.max("best").alias("best"))
     return by_doc.select("doc_id", "families", "n_licence_paragraphs", F.col("best.family").alias("surest_family"),
                          F.col("best.probability").alias("probability"), F.col("best.overlap").alias("overlap"), (-F.col("best.p")).alias("paragraph"))
