@@ -277,6 +277,16 @@ def test_mixing(spark, odd, none):
     assert taken.count() == 9 and mixing.mix(none, ["lang", "source"], mixing.word_count(F.col("text"))).collect() == []
 
 
+def test_toxicity_of_a_sure_word_among_mild_ones():
+    scorer = toxicity.Scorer(np.zeros(toxicity.BASE ** 4, dtype=np.float32), 0.5, 0.0, frozenset(["bad"]))
+    scorer.memory = {"bad": 3.0, **{f"mild{c}": -1.0 for c in "abcde"}}
+    mild = " ".join(f"mild{c}" for c in "abcde")
+    margins = scorer.margins([f"{mild} bad", "bad bad", mild, "", "bad milda. mildb"])
+    assert margins.tolist() == [toxicity.SURE - 1.5, toxicity.SURE + 3.5, -4.5, toxicity.NOTHING, toxicity.SURE + 2.5]
+    got = toxicity.judge(margins, {"knots": ([-1.0, 1.0], [0.0, 0.9]), "share": 0.95})
+    assert min(got[[0, 1, 4]]) > 0.9 and max(got[2:4]) < 0.1 and got[1] > got[0]
+
+
 def brute_budgets(leaves, weights, total, epochs):
     """Budgets of the leaves, shared out from the root down by raising one level for all siblings."""
     def takes(path):

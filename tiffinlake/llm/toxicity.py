@@ -7,6 +7,9 @@ is trained on labelled sentences (long ones are cut); a text's margin is its wor
 monotone fit on texts kept apart makes it a probability. Wrong labels at either end cannot tilt that
 fit, as they would a logistic one.
 
+A word that is plainly and often toxic speaks for itself, whatever the mild words around it: a text with one has at
+least the probability that such texts have among those kept apart.
+
 The decision is linear in the landmarks' kernel values and these are linear in a word's
 subsequences. Landmarks, whitening and weights therefore fold into one weight per subsequence, and
 scoring a word needs no pass over the landmarks.
@@ -41,6 +44,8 @@ TELLING_LANDMARKS, COMMON_LANDMARKS = 256, 64
 SENTENCES_PER_DOC = 2
 RIDGE = 1e-3
 MEMORY = 200_000
+# Log odds that a surely toxic word has at least, two standard errors below its own; added to the margin of a text with one.
+SURE_ODDS, SURE = 3.0, 1000.0
 # Margin of a text without words: below any sentence's.
 NOTHING = -30.0
 LETTER = re.compile(r"[^\W\d_]+")
@@ -173,11 +178,20 @@ def probability(margin: np.ndarray, knots: tuple[list[float], list[float]]) -> n
     return 0.98 * np.interp(margin, *knots) + 0.02 * smooth
 
 
+def judge(margin: np.ndarray, model: dict) -> np.ndarray:
+    """Probabilities from margins, among them those of texts with a surely toxic word."""
+    sure = margin > SURE / 2
+    plain = np.where(sure, margin - SURE, margin)
+    out = probability(plain, model["knots"])
+    least = 0.98 * model["share"] + 0.02 / (1 + np.exp(-np.clip(plain, -30, 30)))
+    return np.where(sure, np.maximum(out, least), out)
+
+
 class Scorer:
     """Margins of texts under folded weights, with the words already scored."""
 
-    def __init__(self, weights: np.ndarray, offset: float, each: float):
-        self.weights, self.offset, self.each = weights, offset, each
+    def __init__(self, weights: np.ndarray, offset: float, each: float, sure: frozenset[str] = frozenset()):
+        self.weights, self.offset, self.each, self.sure = weights, offset, each, sure
         self.memory: dict[str, float] = {}
 
     def _learn(self, words: list[str]) -> None:
@@ -199,6 +213,8 @@ class Scorer:
             sums = np.bincount(cut.sentence, value[cut.word], minlength=len(cut.sentence_doc)) + self.offset
             first = np.flatnonzero(np.r_[True, cut.sentence_doc[1:] != cut.sentence_doc[:-1]])
             out[cut.sentence_doc[first]] = np.maximum.reduceat(sums, first)
+            sure = np.fromiter((w in self.sure for w in cut.words), dtype=bool, count=len(cut.words))
+            out[np.unique(cut.sentence_doc[cut.sentence[sure[cut.word]]])] += SURE
         return out
 
 
@@ -217,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
               .where("key is not null and y in (0, 1)").groupBy("key").agg(F.max("y").alias("y")))
     marked = materialize(marked, "labels")
     known = dict(marked.groupBy("y").count().collect())
-    nothing = {"weights": np.zeros(BASE ** 4, dtype=np.float32), "offset": 0.0, "each": 0.0, "knots": ([], [])}
+    nothing = {"weights": np.zeros(BASE ** 4, dtype=np.float32), "offset": 0.0, "each": 0.0, "sure": frozenset(), "share": 0.0, "knots": ([], [])}
     if len(known) < 2:
         return nothing
     chosen = bounded_sample(marked, "y", "key", per_label, seed)
@@ -249,6 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
     landmarks = [r["word"] for r in [*telling, *common]]
     if not landmarks:
         return nothing
+    sure = frozenset(r["word"] for r in telling if r["odds"] - 2 * (1 / (r["pos"] + 0.5) + 1 / (r["neg"] + 0.5)) ** 0.5 >= SURE_ODDS)
     hint = spark.sparkContext.broadcast({r["word"]: r["telling"] for r in telling})  # bounded by the landmarks
 
     @lean
@@ -297,19 +314,22 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
     folded = np.zeros(BASE ** 4)
     for owner, codes, w in subsequences(landmarks):
         np.add.at(folded, codes, w * (whiten @ weight)[owner])
-    model = {"weights": folded.astype(np.float32), "offset": offset, "each": each, "knots": ([], [])}
+    model = {"weights": folded.astype(np.float32), "offset": offset, "each": each, "sure": sure, "share": 0.0, "knots": ([], [])}
     held = sample.where("held").select("y", _apply(spark, F.col("text"), model, lambda m: m).alias("m")).toPandas()
     if held["y"].nunique() == 2:
         y = held["y"].to_numpy(dtype=float)
         share = {v: known[v] / max(1, (y == v).sum()) for v in (0, 1)}
         w = np.where(y > 0, share[1], share[0])
-        model["knots"] = calibrate(held["m"].to_numpy(), y, w / w.mean())
+        w, m = w / w.mean(), held["m"].to_numpy()
+        spoken = m > SURE / 2
+        model["knots"] = calibrate(np.where(spoken, m - SURE, m), y, w)
+        model["share"] = float(((w * y)[spoken].sum() + 0.5) / (w[spoken].sum() + 1))
     return model
 
 
 def _apply(spark: SparkSession, text: Column, model: dict, finish) -> Column:
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model["weights"], model["offset"], model["each"]))  # 10 MB whatever the corpus
+    shared = spark.sparkContext.broadcast((model["weights"], model["offset"], model["each"], model["sure"]))  # 10 MB whatever the corpus
 
     @pandas_udf("double")
     @lean
@@ -323,5 +343,5 @@ def _apply(spark: SparkSession, text: Column, model: dict, finish) -> Column:
 
 def score(spark: SparkSession, text: Column, model: dict) -> Column:
     """Probability that a text is toxic, from its worst sentence. A null or empty text, or one without words, scores lowest."""
-    knots = model["knots"]
-    return _apply(spark, text, model, lambda m: probability(m, knots))
+    fitted = {"knots": model["knots"], "share": model["share"]}
+    return _apply(spark, text, model, lambda m: judge(m, fitted))
