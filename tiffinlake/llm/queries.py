@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tiffinlake.session import prepare
 
-from . import bpe, fingerprint, langid, licenses, mixing, sharding, simhash, topk, toxicity, warc
+from . import audit, bpe, fingerprint, langid, licenses, mixing, sharding, simhash, topk, toxicity, warc
 from .support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-#: Folder of the public vocabulary files.
-VOCABULARIES = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-WORD_BPE = f"{VOCABULARIES}/word_bpe_49k.json"
-PIECES = f"{VOCABULARIES}/piece_bpe_32k.model"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOXIC_FROM = 0.7
 
 
@@ -262,3 +260,31 @@ def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolve_revisits(crawl(table(spark, sf_dir, "pages")))
     lines = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
     return found.withColumn("headers", lines)
+
+
+@query("op12_audit", r"""
+WITH words AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  tested AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {
+      'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w), 'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+      'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE)} AS fails
+    FROM words LEFT JOIN (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)),
+  cells AS (SELECT part, (CASE WHEN fails.A THEN 'A' ELSE '' END) || (CASE WHEN fails.B THEN 'B' ELSE '' END) || (CASE WHEN fails.C THEN 'C' ELSE '' END)
+      || (CASE WHEN fails.D THEN 'D' ELSE '' END) || (CASE WHEN fails.E THEN 'E' ELSE '' END) AS failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM tested GROUP BY ALL),
+  letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+  orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE a.l NOT IN (b.l, c.l, d.l, e.l) AND b.l NOT IN (c.l, d.l, e.l) AND c.l NOT IN (d.l, e.l) AND d.l <> e.l),
+  steps AS (SELECT *, substr(filter_order, step, 1) AS l, left(filter_order, step - 1) AS earlier FROM orders, range(1, 6) r(step)),
+  judged AS (SELECT part, filter_order, step, l, n, good, toxic, contains(failed, l) AS fails, failed = l AS alone,
+      translate(failed, earlier, '') <> failed AS gone FROM cells, steps),
+  counted AS (SELECT part, filter_order, step::INT AS step, l, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept,
+      coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant,
+      coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND fails), 0)::BIGINT AS good_lost,
+      coalesce(sum(toxic) FILTER (NOT gone AND fails), 0)::BIGINT AS toxic_lost
+    FROM judged GROUP BY ALL)
+SELECT * EXCLUDE (l), (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM counted
+""")
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents by language: what each removes at each step of all 120 orders."""
+    return audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
