@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tiffinlake.session import prepare
 
-from . import audit, bpe, fingerprint, langid, licenses, mixing, sharding, simhash, topk, toxicity, warc
+from . import audit, bpe, fingerprint, langid, lexical, licenses, mixing, sharding, simhash, topk, toxicity, warc
 from .support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -288,3 +288,22 @@ SELECT * EXCLUDE (l), (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shap
 def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters over all documents by language: what each removes at each step of all 120 orders."""
     return audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_lexical", r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+  item AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+  total AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS length FROM doc WHERE len(terms) > 0),
+  posting AS (SELECT doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM doc),
+  tf AS (SELECT doc_id, n, term, count(*) AS tf FROM posting GROUP BY ALL),
+  weighed AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term),
+  scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+    FROM item JOIN tf USING (term) JOIN weighed USING (term), total GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+""")
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item, against all documents."""
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), 50)
