@@ -7,15 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tiffinlake.session import prepare
+from tiffinlake.session import prepare, scratch
 
-from . import audit, bpe, fingerprint, langid, lexical, licenses, mixing, sharding, simhash, topk, toxicity, warc
+from . import audit, bpe, codes, fingerprint, langid, lexical, licenses, mixing, sharding, simhash, topk, toxicity, warc
 from .support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOXIC_FROM = 0.7
 
@@ -262,6 +263,14 @@ def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("headers", lines)
 
 
+@query("op11_codes")
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as directly addressable codes, and what is read back from the files."""
+    folder = scratch(spark, "codes")
+    codes.write_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, folder, end_id=2)
+    return codes.documents(spark, folder)
+
+
 @query("op12_audit", r"""
 WITH words AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

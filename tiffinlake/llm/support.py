@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import sys
 from collections.abc import Callable, Iterator
 from functools import wraps
 
@@ -54,6 +55,14 @@ def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
     return run
 
 
+def kept_by_worker(name: str, make: Callable[[], object]) -> object:
+    """An object that the Python worker process keeps for later tasks, such as a bounded memory of words."""
+    held = sys.__dict__.setdefault("_kept_by_worker", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def bounded_sample(df: DataFrame, by: str, key: str, per_value: int, seed: int) -> DataFrame:
     """At most ``per_value`` rows of each value of ``by``, in the order of a seeded hash of ``key``.
 
@@ -78,3 +87,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+def parts_of(df: DataFrame, bytes_each: int) -> int:
+    """Number of parts that each stand for so many bytes of what ``df`` reads, one for each core at least.
+
+    Where Spark has no size (rows that a program made), the session's number of shuffle partitions.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 62:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_each))
