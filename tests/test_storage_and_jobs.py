@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
@@ -155,3 +156,35 @@ def test_late_click_within_the_delay_is_credited(spark, base):
     click.write.mode("append").parquet(f"{base}/clicks")
     run_available(job())
     assert [r.order_id for r in spark.read.parquet(f"{base}/out").collect()] == ["o"]
+
+
+def test_replace_computes_once_and_empties_escaped_partitions(spark, base):
+    from tiffinlake.sources.files import files_by_folder, partition_folder
+    from tiffinlake.sources.tables import replace_partition, write_table
+
+    path = f"{base}/replace"
+    old = spark.createDataFrame([(1, None), (2, "a:b"), (3, "c/d"), (4, "e")], "id int, k string")
+    write_table(old, path, ["k"])
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            passed.add(len(frame))
+            yield frame
+
+    new = spark.createDataFrame([(5, "e"), (6, "f")], "id int, k string").mapInPandas(count, "id int, k string")
+    replace_partition(new, path, ["k"], [{"k": None}, {"k": "a:b"}, {"k": "e"}, {"k": "never there"}])
+    assert passed.value == 2
+    assert {(r["id"], r["k"]) for r in spark.read.schema("id int, k string").parquet(path).collect()} == {(3, "c/d"), (5, "e"), (6, "f")}
+    assert len(files_by_folder(spark, path)) == 3
+    with pytest.raises(ValueError):
+        partition_folder(spark, path, ["a", "b"], {"b": 1})
+
+
+def test_leading_columns_name_all_below(spark, base):
+    from tiffinlake.sources.tables import replace_partition, write_table
+
+    path = f"{base}/below"
+    write_table(spark.createDataFrame([(1, 1, "x"), (2, 1, "y"), (3, 2, "x")], "id int, hour int, kind string"), path, ["hour", "kind"])
+    replace_partition(spark.createDataFrame([(9, 1, "x")], "id int, hour int, kind string"), path, ["hour", "kind"], [{"hour": 1}])
+    assert {r["id"] for r in spark.read.parquet(path).collect()} == {9, 3}

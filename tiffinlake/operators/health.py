@@ -17,10 +17,14 @@ def layer_health(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def tables_present(spark: SparkSession, names: list[str]) -> DataFrame:
-    """Which catalog tables exist."""
-    rows = [(n, spark.catalog.tableExists(n)) for n in names]
-    return spark.createDataFrame(rows, "table_name string, is_present boolean")
+def tables_present(spark: SparkSession, names: DataFrame | list[str], column: str = "table_name") -> DataFrame:
+    """Which of the named tables and views the session's catalog knows; names compare without case, as the catalog does."""
+    if isinstance(names, list):
+        names = spark.createDataFrame([(n,) for n in names], f"{column} string")
+    known = spark.createDataFrame([(t.name.lower(), True) for t in spark.catalog.listTables()], "_known string, _there boolean")
+    held = F.broadcast(known.distinct())  # the catalog's own list, which the driver holds anyway
+    return names.join(held, F.lower(names[column]) == held["_known"], "left").select(
+        names[column], F.coalesce("_there", F.lit(False)).alias("is_present"))
 
 
 def latest_null_check(df: DataFrame, cols: list[str], n: int, ts: str, tiebreak: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.dedup import dedup_latest
 from ..operators.delivery import delivery_kpis, flatten_delivery, hourly_summary, quality_flags
-from ..sources.files import HOUR_KEYS, read_bronze, write_gold
+from ..sources.files import HOUR_KEYS, read_bronze
+from ..sources.tables import empty_partitions, replace_partition
 
 
 def to_silver(bronze: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -18,7 +19,7 @@ def to_silver(bronze: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def run(spark: SparkSession, base: str, hour: dt.datetime, run_ts: dt.datetime) -> dict[str, int]:
-    """Process one hour. A missing hour is skipped; a repeated run replaces its own output.
+    """Process one hour. A repeated run replaces its own output; if the hour's bronze is missing or empty, with nothing.
 
     Row counts come from observations of the write itself, not from extra jobs. Gold reads the
     silver files just written, so bronze is parsed once.
@@ -30,14 +31,18 @@ def run(spark: SparkSession, base: str, hour: dt.datetime, run_ts: dt.datetime)
         kept, F.count(F.lit(1)).alias("rows"), F.count_if("is_valid_delivery_time").alias("valid"))
     stamp = {"year": hour.year, "month": f"{hour.month:02d}", "day": f"{hour.day:02d}", "hour": f"{hour.hour:02d}"}
     stamped = silver.select("*", *[F.lit(v).alias(k) for k, v in stamp.items()])
-    write_gold(stamped, f"{base}/silver", HOUR_KEYS)
+    metrics, summary, here = f"{base}/gold/delivery_metrics", f"{base}/gold/hourly_summary", [stamp]
+    replace_partition(stamped, f"{base}/silver", HOUR_KEYS, here)
     counts = {"bronze_rows": seen.get["rows"], "silver_rows": kept.get["rows"], "valid_rows": kept.get["valid"]}
     counts["duplicates"] = counts["bronze_rows"] - counts["silver_rows"]
     if counts["silver_rows"] == 0:
+        empty_partitions(spark, metrics, HOUR_KEYS, here)
+        empty_partitions(spark, summary, HOUR_KEYS, here)
         return counts
     path = f"{base}/silver/" + "/".join(f"{k}={v}" for k, v in stamp.items())
     hour_rows = spark.read.schema(silver.schema).parquet(path)
     at = [F.lit(v).alias(k) for k, v in stamp.items()]
-    write_gold(delivery_kpis(hour_rows).select("*", *at), f"{base}/gold/delivery_metrics", [*HOUR_KEYS, "metric_type"])
-    write_gold(hourly_summary(hour_rows).select("*", *at), f"{base}/gold/hourly_summary", HOUR_KEYS)
+    # The hour is named, so that a kind of metric that no longer occurs goes too.
+    replace_partition(delivery_kpis(hour_rows).select("*", *at), metrics, [*HOUR_KEYS, "metric_type"], here)
+    replace_partition(hourly_summary(hour_rows).select("*", *at), summary, HOUR_KEYS, here)
     return counts

@@ -26,12 +26,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it is not there."""
+    if not path_exists(spark, path):
+        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of a table, if it is there."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def _partition_text(value: object) -> str | None:
+    """A partition value as Spark writes it into a folder's name, before escaping."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    return None if value is None else str(value)
+
+
+def partition_folder(spark: SparkSession, path: str, partition_by: list[str], named: dict[str, object]) -> str:
+    """The folder of a partition, or of all partitions under its leading columns, with the names escaped as Spark does."""
+    if not named or list(partition_by[:len(named)]) != [c for c in partition_by if c in named] or len(named) > len(partition_by):
+        raise ValueError(f"a partition is named by its leading columns, not by {sorted(named)}")
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path.rstrip("/"), *[utils.getPartitionPathString(c, _partition_text(named[c])) for c in partition_by[:len(named)]]])
+
+
+def files_by_folder(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Names of the data files under a folder, by the folder that holds them; nothing if there is none."""
+    found: dict[str, set[str]] = {}
+    if path_exists(spark, path):
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        listed = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
+        while listed.hasNext():
+            file = listed.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
+
+
 def partition_path(base: str, layer: str, year: int, month: int, day: int, hour: int) -> str:
     """``base/layer/year=YYYY/month=MM/day=DD/hour=HH``."""
     return f"{base}/{layer}/year={year}/month={month:02d}/day={day:02d}/hour={hour:02d}"
@@ -59,6 +95,32 @@ def _read_hour(spark: SparkSession, base: str, layer: str, hour: dt.datetime | N
     return spark.read.schema(schema).option("basePath", root).format(fmt).load(path)
 
 
+def read_hours(spark: SparkSession, base: str, layer: str, first: dt.datetime, last: dt.datetime, schema: T.StructType,
+               fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """The rows of a layer from hour ``first`` to hour ``last``, and the hours between that have no folder.
+
+    Only the days of the range are listed; the folders found are one scan. The gaps are ``hour`` rows.
+    """
+    start, end = (t.replace(minute=0, second=0, microsecond=0, tzinfo=None) for t in (first, last))
+    days = [start.date() + dt.timedelta(days=i) for i in range((end.date() - start.date()).days + 1)]
+    present: dict[dt.datetime, str] = {}
+    for day in days:
+        root = f"{base}/{layer}/year={day.year}/month={day.month:02d}/day={day.day:02d}"
+        for name in folder_names(spark, root):
+            at = dt.datetime(day.year, day.month, day.day, int(name.removeprefix("hour="))) if name.startswith("hour=") else None
+            if at is not None and start <= at <= end:
+                present[at] = f"{root}/{name}"
+    spine = spark.sql("select explode(sequence(:first, :last, interval 1 hour)) as hour", {"first": start, "last": end})
+    spine = spine.select(F.col("hour").cast("timestamp_ntz").alias("hour"))
+    there = spark.createDataFrame([(at,) for at in sorted(present)], "hour timestamp_ntz")
+    gaps = spine.join(there, "hour", "left_anti")
+    if not present:
+        with_keys = T.StructType([*schema.fields, *[T.StructField(k, T.IntegerType()) for k in HOUR_KEYS]])
+        return spark.createDataFrame([], with_keys), gaps
+    paths = [present[at] for at in sorted(present)]
+    return spark.read.schema(schema).option("basePath", f"{base}/{layer}").format(fmt).load(paths), gaps
+
+
 def read_bronze(spark: SparkSession, base: str, hour: dt.datetime | None = None, missing: str = "fail",
                 schema: T.StructType = DELIVERY_EVENT) -> DataFrame:
     """JSONL events of an hour (or all), with partition columns; a missing hour fails or is empty."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.dedup import dedup_latest
 from ..session import materialize
-from .files import delete_path, path_exists, rebalanced
+from .files import delete_path, files_by_folder, partition_folder, path_exists, rebalanced
 
 
 def read_table(spark: SparkSession, path: str, date: dt.date | str | None = None, columns: list[str] | None = None,
@@ -34,19 +34,27 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 def replace_partition(df: DataFrame, path: str, partition_by: list[str], replaced: list[dict[str, object]] | None = None) -> None:
     """Delete-then-insert of the partitions in ``df``, as one dynamic overwrite.
 
-    ``replaced`` names partitions (all their columns) that belong to the replacement even if ``df``
-    has no row for them: those are emptied, so that a correction to nothing leaves nothing behind.
+    ``replaced`` names partitions, by all their columns or the leading ones, that belong to the
+    replacement even if ``df`` has no row for them: those are emptied, so that a correction to nothing
+    leaves nothing behind. ``df`` is computed once: a folder that still holds the files it held before the write got no rows.
     """
+    spark = df.sparkSession
+    before = [files_by_folder(spark, partition_folder(spark, path, partition_by, named)) for named in replaced or []]
     (
         rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path)
     )
-    if replaced:
-        filled = {tuple(map(str, r)) for r in df.select(*partition_by).distinct().collect()}
-        for named in replaced:
-            value = tuple(str(named[c]) for c in partition_by)
-            if value not in filled:
-                delete_path(df.sparkSession, "/".join([path, *[f"{c}={v}" for c, v in zip(partition_by, value)]]))
+    for named, held in zip(replaced or [], before):
+        now = files_by_folder(spark, partition_folder(spark, path, partition_by, named)) if held else {}
+        for folder, names in held.items():
+            if now.get(folder) == names:
+                delete_path(spark, folder)
+
+
+def empty_partitions(spark: SparkSession, path: str, partition_by: list[str], named: list[dict[str, object]]) -> None:
+    """Remove the rows of the named partitions, given by all columns or the leading ones."""
+    for one in named:
+        delete_path(spark, partition_folder(spark, path, partition_by, one))
 
 
 def _touched(source: DataFrame, path: str, partition_by: list[str]) -> DataFrame:
