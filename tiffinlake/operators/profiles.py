@@ -19,13 +19,24 @@ DEFAULT_LIMIT, MAX_LIMIT = 10, 25
 REASONS = ["user_item_preference", "user_category_preference", "cold_start_popular"]
 
 
-def event_score(event_type: str, event_time: str, as_of: Column) -> Column:
-    """Weight of the event type, decayed by age in minutes; undecayed without an event time."""
+def event_weight(event_type: str) -> Column:
     weight = F.lit(OTHER_WEIGHT)
     for kind, value in EVENT_WEIGHTS.items():
         weight = F.when(F.col(event_type) == kind, F.lit(value)).otherwise(weight)
+    return weight
+
+
+def event_score(event_type: str, event_time: str, as_of: Column) -> Column:
+    """Weight of the event type, decayed by age in minutes; undecayed without an event time."""
     age = F.greatest(F.lit(0.0), (epoch_us(as_of) - epoch_us(event_time)) / F.lit(60e6))
-    return weight * F.coalesce(F.exp(-age / F.lit(DECAY_MINUTES)), F.lit(1.0))
+    return event_weight(event_type) * F.coalesce(F.exp(-age / F.lit(DECAY_MINUTES)), F.lit(1.0))
+
+
+def fresh_users(scored: DataFrame, as_of: dt.datetime, ttl: str) -> DataFrame:
+    """The rows of users with an update in the time to live; one short row a user decides, no user's rows meet in a task."""
+    newest = scored.groupBy("user_id").agg(F.max("last_update").alias("_newest"))
+    alive = newest.where(epoch_us("_newest") + micros(ttl) > epoch_us(F.lit(as_of))).select("user_id")
+    return scored.join(alive, "user_id", "left_semi")
 
 
 def interest_profiles(events: DataFrame, as_of: dt.datetime | None = None, kind: str = "item",
@@ -46,10 +57,7 @@ def interest_profiles(events: DataFrame, as_of: dt.datetime | None = None, kind:
     )
     if ttl is None or as_of is None:
         return scored
-    from pyspark.sql import Window
-
-    fresh = F.max(epoch_us("last_update")).over(Window.partitionBy("user_id")) + micros(ttl) > epoch_us(F.lit(as_of))
-    return scored.withColumn("_fresh", fresh).where("_fresh").drop("_fresh")
+    return fresh_users(scored, as_of, ttl)
 
 
 def recommend(users: DataFrame, item_scores: DataFrame, category_scores: DataFrame, foods: DataFrame,

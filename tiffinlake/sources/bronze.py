@@ -87,5 +87,6 @@ def ingest_bronze(messages: DataFrame) -> dict[str, DataFrame]:
         )
     )
     quarantine = read.where(F.col("reason").isNotNull()).select(
-        "topic", "partition", "offset", "timestamp", "raw", "reason", ingestion_id().alias("ingestion_id"))
+        "topic", "partition", "offset", "timestamp", "raw", "reason", ingestion_id().alias("ingestion_id"),
+        F.to_date("timestamp").alias("partition_date"))  # of arrival: an unreadable event has no time of its own
     return {"orders": orders, "clicks": clicks, "quarantine": quarantine}

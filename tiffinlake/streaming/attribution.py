@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.ads import ATTRIBUTION_WINDOW, COUNTERS, item_day_counters
+from ..operators.ads import ATTRIBUTION_WINDOW, COUNTERS
+from ..sources.serving import BATCH, MERGE_EVERY, ServingTable, summed
 from ..sources.streams import batch_sink
 from .windows import with_watermark
 
@@ -44,17 +45,19 @@ def counter_increments(df: DataFrame) -> DataFrame:
     )
 
 
-def counter_log(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Append each micro-batch's increments under its batch id; a replayed batch overwrites itself."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        counter_increments(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+_COUNTER_ROW = "item_id bigint, date date, impressions bigint, clicks bigint, orders bigint, attributed_orders bigint, revenue decimal(38,2)"
 
-    return batch_sink(events, write, checkpoint)
 
+def counter_table(spark: SparkSession, path: str, every: int = MERGE_EVERY) -> ServingTable:
+    return ServingTable(spark, path, _COUNTER_ROW, summed(["item_id", "date"], COUNTERS), every)
 
-def read_counters(spark: SparkSession, path: str) -> DataFrame:
-    """Current counters: the sum of all increments."""
-    return spark.read.parquet(path).groupBy("item_id", "date").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+
+def counter_log(events: DataFrame, path: str, checkpoint: str, every: int = MERGE_EVERY) -> DataStreamWriter:
+    """Each micro-batch's increments into a serving table; a replayed batch counts once."""
+    table = counter_table(events.sparkSession, path, every)
+    return batch_sink(events, lambda batch, batch_id: table.write(counter_increments(batch), batch_id), checkpoint)
 
 
-__all__ = ["attribute_stream", "counter_increments", "counter_log", "item_day_counters", "read_counters"]
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """Current counters."""
+    return counter_table(spark, path).read().drop(BATCH)

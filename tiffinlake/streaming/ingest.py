@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.aggregates import revenue_by
 from ..schemas import STREAM_ORDER
 from ..sources.bronze import ingest_bronze
 from ..sources.files import JSON_TIME
+from ..sources.serving import MERGE_EVERY, ServingTable, appended
 from ..sources.streams import batch_sink, file_sink, parse_json_lines
-from ..sources.tables import append_idempotent, write_table
+from ..sources.tables import append_idempotent
 from .windows import dedup_stream
 
 
@@ -48,18 +49,25 @@ def ingest_stream(messages: DataFrame, base: str, checkpoint: str) -> DataStream
             routed = ingest_bronze(batch)
             append_idempotent(routed["orders"], f"{base}/orders", "ingestion_id", ["partition_date"])
             append_idempotent(routed["clicks"], f"{base}/clicks", "ingestion_id", ["partition_date"])
-            append_idempotent(routed["quarantine"], f"{base}/quarantine", "ingestion_id", [])
+            append_idempotent(routed["quarantine"], f"{base}/quarantine", "ingestion_id", ["partition_date"])
         finally:
             batch.unpersist()
 
     return batch_sink(messages, write, checkpoint)
 
 
-def store_alerts(alerts: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Alert store: typed columns plus the alert as JSON, one folder per batch id so that replays replace."""
-    from ..operators.fraud import alert_records
+_ALERT_RECORD = """alert_type string, user_id string, device_id string, order_id string, event_id string, amount double, severity string,
+  message string, detected_at bigint, alert_data string"""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_table(alert_records(batch), f"{path}/batch_id={batch_id}", mode="overwrite")
 
-    return batch_sink(alerts, write, checkpoint)
+def alert_log(spark: SparkSession, path: str, every: int = MERGE_EVERY) -> ServingTable:
+    """The alert store: typed columns plus the alert as JSON."""
+    return ServingTable(spark, path, _ALERT_RECORD, appended, every)
+
+
+def store_alerts(alerts: DataFrame, path: str, checkpoint: str, every: int = MERGE_EVERY) -> DataStreamWriter:
+    """Alerts into the alert store; replayed batches replace themselves, small batches are merged into larger files."""
+    from ..operators.fraud import alert_records
+
+    log = alert_log(alerts.sparkSession, path, every)
+    return batch_sink(alerts, lambda batch, batch_id: log.write(alert_records(batch), batch_id), checkpoint)

@@ -257,6 +257,29 @@ class TrailingMembers(_Trailing):
         yield out
 
 
+class ArrivalAttribution(_Trailing):
+    """Orders with a flag: was there a click of their key in the window before them, among those that have arrived?
+
+    Rows carry ``is_order``. Within a micro-batch rows arrive in event-time order, a click before an order of its
+    instant. A click that arrives after its order is not credited to it, only to later ones. The state holds the
+    distinct instants of clicks that an order yet to come can still reach.
+    """
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = _in_order(rows, "at_us")
+        stored = self._stored()
+        at, is_order = batch["at_us"].to_numpy(), batch["is_order"].to_numpy(dtype=bool)
+        known = np.array([t for _, t in stored], dtype="int64")
+        fresh = np.setdiff1d(at[~is_order], known)
+        line = np.sort(np.concatenate([known, fresh]))
+        orders = batch[is_order].copy()
+        t = at[is_order]
+        orders["attributed"] = np.searchsorted(line, t, "right") > np.searchsorted(line, t - self._window, "left")
+        if len(fresh):
+            self._store(stored, [(None, int(c)) for c in fresh], timerValues)
+        yield orders.drop(columns="is_order")
+
+
 def _apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: T.StructType | str,
            time_mode: str = "None") -> DataFrame:
     return df.groupBy(*keys).transformWithStateInPandas(
@@ -359,3 +382,19 @@ def fraud_stream(df: DataFrame, ts: str = "event_time", velocity_limit: int = fr
         fraud.high_value_alerts(df, threshold, ts=ts),
         geo_anomaly_stream(df, geo_window, ts, delay),
     )
+
+
+def attribution_by_arrival(orders: DataFrame, clicks: DataFrame, window: str, ts: str = "event_timestamp", delay: str = DELAY,
+                           include_impressions: bool = False) -> DataFrame:
+    """``orders`` as they arrive, with ``attributed``: judged once, by the clicks of user and item that came before them.
+
+    Both streams become one tagged stream with one watermark; orders are neither held back for late clicks nor
+    revised, so an order's result is final when it is emitted. Rows more than ``delay`` late are dropped.
+    """
+    source = clicks if include_impressions else clicks.where("event_type = 'click'")
+    keys = ["user_id", "item_id"]
+    bare = [F.lit(None).cast(f.dataType).alias(f.name) if f.name not in (*keys, ts) else F.col(f.name) for f in orders.schema.fields]
+    tagged = orders.withColumn("is_order", F.lit(True)).unionByName(source.select(*bare).withColumn("is_order", F.lit(False)))
+    timed = _watermarked(tagged.where("user_id is not null and item_id is not null"), ts, delay)
+    out = T.StructType([*_extended(timed.drop("is_order")).fields, T.StructField("attributed", T.BooleanType())])
+    return _like(_apply(timed, keys, ArrivalAttribution(micros(window)), out, "EventTime").drop("at_us"), orders, ts)

@@ -9,12 +9,12 @@ from tiffinlake.operators import fraud
 from tiffinlake.schemas import STREAM_ORDER
 from tiffinlake.session import materialize, scratch
 from tiffinlake.sources.streams import batch_sink, file_sink, file_source, read_events_stream, run_available
-from tiffinlake.streaming import attribution, ingest, processors, windows
+from tiffinlake.streaming import attribution, ingest, processors, profiles, windows
 
 from .ads import _COUNTERS, _attributed_sql
 from .fraudwatch import (
-    DEVICE_WINDOW, GEO_WINDOW, HIGH_VALUE, VELOCITY_WINDOW, _ALL, _COMMON, _DEVICE_SQL, _GEO_SQL, _SESSIONS, _velocity_sql, all_alerts,
-    cool_sql, _keyed, tx_sql,
+    DEVICE_WINDOW, GEO_WINDOW, HIGH_VALUE, PROFILE_AS_OF, VELOCITY_WINDOW, _ALL, _COMMON, _DEVICE_SQL, _GEO_SQL, _SESSIONS, _velocity_sql,
+    _signals, all_alerts, cool_sql, _keyed, profile_sql, tx_sql,
 )
 from .registry import query
 from .storage import messages
@@ -31,15 +31,29 @@ def replay(spark, df, label):
     return file_source(spark, path, df.schema)
 
 
+# Files of a micro-batch, written and read by so many tasks.
+FILES = 4
+
+
+def time_part(ts, first, last, batches):
+    """Which of so many equal parts of the time range a row lies in."""
+    return F.least(F.floor((epoch_us(ts) - first) * batches / (last - first + 1)), F.lit(batches - 1)).cast("int")
+
+
 def arriving(spark, df, ts, label, batches=4):
-    """A table as a stream of several files in time order, one file a micro-batch."""
-    path = scratch(spark, label)
+    """A table as a stream in time order, a part of the time range in each micro-batch."""
     df = materialize(df, label)
     first, last = df.select(F.min(epoch_us(ts)), F.max(epoch_us(ts))).first()
-    part = F.least(F.floor((epoch_us(ts) - first) * batches / (last - first + 1)), F.lit(batches - 1))
+    return in_parts(spark, df.withColumn("_part", time_part(ts, first, last, batches)), label, batches)
+
+
+def in_parts(spark, df, label, batches):
+    """A table as a stream, one value of ``_part`` a micro-batch; each is written as several files by parallel tasks."""
+    path = scratch(spark, label)
     for i in range(batches):
-        df.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return file_source(spark, path, df.schema, max_files=1)
+        part = df.where(F.col("_part") == i).drop("_part")
+        part.repartition(FILES).write.mode("append").parquet(path)
+    return file_source(spark, path, df.drop("_part").schema, max_files=FILES)
 
 
 def collected(spark, stream, label):
@@ -60,7 +74,7 @@ def completed(spark, stream, label):
 @query("stream_dedup", events_sql("SELECT ingestion_id, event_id, event_type FROM ev"))
 def stream_dedup(spark, sf):
     rows = delivered(spark, sf).select("ingestion_id", "event_id", "event_type", F.col("event_timestamp").cast("timestamp").alias("t"))
-    out = windows.dedup_stream(replay(spark, rows, "dedup"), ["ingestion_id"], "t", REPLAY)
+    out = windows.dedup_stream(arriving(spark, rows, "t", "dedup"), ["ingestion_id"], "t", REPLAY)
     return collected(spark, out.drop("t"), "dedup")
 
 
@@ -130,10 +144,56 @@ def stream_counters(spark, sf):
     hits = attributed_orders(orders, clicks, "1 day").where("attributed")
     feed = part(clicks, F.col("event_type")).unionByName(part(orders, F.lit("order"))).unionByName(part(hits, F.lit("attributed_order")))
     path = scratch(spark, "counters")
-    run_available(attribution.counter_log(replay(spark, feed, "engagement"), path, scratch(spark, "counters-checkpoint")))
+    run_available(attribution.counter_log(arriving(spark, feed, "event_timestamp", "engagement"), path, scratch(spark, "counters-checkpoint"), every=3))
     return attribution.read_counters(spark, path)
 
 
+_ARRIVALS = """
+span AS (SELECT min(epoch_us(t)) AS lo, max(epoch_us(t)) AS hi FROM
+  (SELECT event_timestamp AS t FROM good_orders UNION ALL SELECT event_timestamp FROM good_clicks WHERE event_type = 'click')),
+came_clicks AS (SELECT c.*, least(floor((epoch_us(event_timestamp) - lo) * 4 / (hi - lo + 1)), 3) + (event_id % 5 = 0)::INT AS came
+  FROM good_clicks c, span WHERE event_type = 'click'),
+came_orders AS (SELECT o.*, least(floor((epoch_us(event_timestamp) - lo) * 4 / (hi - lo + 1)), 3) AS came FROM good_orders o, span)
+"""
+
+
+@query("stream_attribution_arrival", events_sql("""
+SELECT order_id, user_id, item_id, EXISTS (SELECT 1 FROM came_clicks c WHERE c.user_id = o.user_id AND c.item_id = o.item_id AND c.came <= o.came
+    AND c.event_timestamp <= o.event_timestamp AND c.event_timestamp >= o.event_timestamp - INTERVAL 1 DAY) AS attributed
+FROM came_orders o""", _ARRIVALS.strip()))
+def stream_attribution_arrival(spark, sf):
+    """Every fifth click comes a quarter of the time range late: an order that came before it is not credited."""
+    clicks = good_clicks(spark, sf).where("event_type = 'click'").select(
+        F.lit(False).alias("is_order"), "event_id", "user_id", "item_id", F.lit(None).cast("string").alias("order_id"), "event_timestamp")
+    orders = good_orders(spark, sf).select(
+        F.lit(True).alias("is_order"), "event_id", "user_id", "item_id", "order_id", "event_timestamp")
+    rows = materialize(clicks.unionByName(orders), "arrivals")
+    first, last = rows.select(F.min(epoch_us("event_timestamp")), F.max(epoch_us("event_timestamp"))).first()
+    late = (~F.col("is_order") & (F.col("event_id") % 5 == 0)).cast("int")
+    stream = in_parts(spark, rows.withColumn("_part", time_part("event_timestamp", first, last, 4) + late), "arrivals", 5)
+    came = stream.where("is_order").select("order_id", "user_id", "item_id", "event_timestamp")
+    clicked = stream.where("not is_order").select("user_id", "item_id", "event_timestamp", F.lit("click").alias("event_type"))
+    out = processors.attribution_by_arrival(came, clicked, "1 day", delay="9 days")
+    return collected(spark, out, "arrivals").select("order_id", "user_id", "item_id", "attributed")
+
+
+def _stream_profiles(spark, sf, kind):
+    updates = profiles.profile_updates(arriving(spark, _signals(spark, sf), "event_time", "signals"))
+    path = scratch(spark, "profiles")
+    run_available(profiles.keep_profiles(updates, path, scratch(spark, "profiles-checkpoint"), every=3))
+    return profiles.current_profiles(spark, path, PROFILE_AS_OF, kind).withColumn("score", F.round("score", 6))
+
+
+@query("stream_interest_items", profile_sql("SELECT user_id, item_id, round(score, 6) AS score, last_update FROM item_scores"))
+def stream_interest_items(spark, sf):
+    return _stream_profiles(spark, sf, "item")
+
+
+@query("stream_interest_categories", profile_sql("SELECT user_id, category, round(score, 6) AS score, last_update FROM category_scores"))
+def stream_interest_categories(spark, sf):
+    return _stream_profiles(spark, sf, "category")
+
+
 def _tx(spark, sf):
     return arriving(spark, transactions(spark, sf), "event_time", "transactions")
 
@@ -165,11 +225,13 @@ def stream_cooldown(spark, sf):
     return collected(spark, out.drop("key"), "cooldown")
 
 
-@query("stream_alert_store", tx_sql("SELECT alert_type, severity, count(*) AS n FROM alerts GROUP BY 1, 2", _ALL))
+@query("stream_alert_store", tx_sql("SELECT * REPLACE (epoch_us(detected_at) // 1000 AS detected_at) FROM alerts", _ALL))
 def stream_alert_store(spark, sf):
+    """Every alert once, from folders of which three were merged on the way."""
     path = scratch(spark, "alert-store")
-    run_available(ingest.store_alerts(replay(spark, all_alerts(spark, sf), "store"), path, scratch(spark, "store-checkpoint")))
-    return spark.read.parquet(path).groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("n"))
+    alerts = arriving(spark, all_alerts(spark, sf), "detected_at", "store")
+    run_available(ingest.store_alerts(alerts, path, scratch(spark, "store-checkpoint"), every=3))
+    return ingest.alert_log(spark, path).read().drop("alert_data", "batch_id")
 
 
 @query("stream_ingest_bronze", events_sql("""
