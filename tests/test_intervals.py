@@ -107,7 +107,7 @@ def greedy(data, period):
     return sorted(keep)
 
 
-@pytest.mark.parametrize("options", [{}, {"fold_limit": 0, "block": "1 hour"}, {"fold_limit": 20, "block": "10 minutes"}])
+@pytest.mark.parametrize("options", [{}, {"listed": 1}, {"listed": 4}])
 @pytest.mark.parametrize("seed", range(2))
 def test_cooldown_equals_the_state_machine(spark, seed, options):
     data = [d for d in noisy(seed, 600, span=30000) if d[0]]

@@ -1,155 +1,136 @@
 """Alert cooldown: per key, an alert passes only if none passed within the period before it.
 
-The rule is greedy: whether an alert passes depends on which earlier ones did. Three things bound
-the work. Alerts of one key and instant are merged first. A key's time line is cut into blocks,
-and a run of blocks breaks wherever a block starts more than one period after the previous one
-ended, because the first alert after such a silence always passes; each run is independent.
-Runs of ordinary size are folded in the JVM. Longer runs are resolved block by block in parallel:
-
-1. every block works out, for each alert that could be the first to pass in it, the last alert
-   that then passes (only alerts within one period of the block's start, and the next, qualify);
-2. one narrow walk per run over those pairs alone settles where each block really starts;
-3. every block replays its chain from that start.
+The rule is greedy: whether an alert passes depends on which earlier ones did. But after an alert that
+passes the next one is fixed, whatever came before: the first more than one period later. So every
+alert has one successor, and what passes is the chain of successors from a key's first alert.
+
+Time is cut into blocks of one period, in which at most one alert can pass. For each alert by which a
+chain can enter a block, its row says where the chain leaves: the last alert that passed, and the
+successor of that. Rows of neighbouring blocks compose by a join, successor with entry, and four blocks
+become one in a round. Only entries from outside the larger block are kept, so each round has about a
+quarter of the rows of the one before, whatever the keys, and the number of rounds is the logarithm of the
+time range in periods. Rows list the alerts that passed on the way until a block holds ``listed`` of them;
+rounds beyond that are walked back down from the first alerts, by the same joins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import epoch_us, micros, time_bucket
 from ..session import materialize
 
-DEFAULT_BLOCK = "1 day"
-DEFAULT_FOLD_LIMIT = 20_000
+#: Blocks that become one in a round.
+RADIX = 4
+#: Alerts a row lists at most.
+DEFAULT_LISTED = 4096
 
 
 def cooldown(
     alerts: DataFrame, keys: list[str], ts: str = "detected_at", period: str = "5 minutes",
-    tiebreak: list[str] | None = None, block: str = DEFAULT_BLOCK, fold_limit: int = DEFAULT_FOLD_LIMIT,
+    tiebreak: list[str] | None = None, listed: int = DEFAULT_LISTED,
 ) -> DataFrame:
     """The alerts that pass: the first per key, then each one more than ``period`` after the last that passed.
 
-    Of several alerts at one instant the least by ``tiebreak`` (default: all columns) passes. The
-    alerts are used several times, so they are first written to the shared folder: the rules that
-    produced them run once.
+    Of several alerts at one instant the least by ``tiebreak`` (default: all columns) passes. Null
+    keys are one key; alerts without a time do not pass. The alerts are used several times, so they
+    are first written to the shared folder: the rules that produced them run once.
     """
-    c, width = micros(period), micros(block)
-    if width < c:
-        raise ValueError("block must be at least one period")
+    c = micros(period)
     rest = [x for x in alerts.columns if x not in keys]
     ties = tiebreak or [x for x in rest if x != ts]
     points = materialize(
         alerts.where(F.col(ts).isNotNull())
-        .groupBy(*keys, epoch_us(ts).alias("_t"))
-        .agg(F.min_by(F.struct(*rest), F.struct(*ties)).alias("_row"))
-        .withColumn("_block", time_bucket("_t", width)), "cooldown")
-    times = points.select(*keys, "_t", "_block")
-    runs = _runs(times, keys, c)
-    tagged = times.join(runs, [*keys, "_block"])
-    passed = _fold_short_runs(tagged.where(F.col("_run_n") <= fold_limit), keys, c)
-    if not runs.where(F.col("_run_n") > fold_limit).isEmpty():
-        passed = passed.unionByName(_walk_long_runs(tagged.where(F.col("_run_n") > fold_limit), keys, c, width))
-    return (
-        points.join(passed, [*keys, "_t"])
-        .select(*[F.col(x) if x in keys else F.col("_row")[x].alias(x) for x in alerts.columns])
-    )
-
-
-def _runs(times: DataFrame, keys: list[str], period_us: int) -> DataFrame:
-    """(key, block) -> number of its run and the alerts in that run."""
-    blocks = times.groupBy(*keys, "_block").agg(
-        F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count(F.lit(1)).alias("_n"))
-    in_time = Window.partitionBy(*keys).orderBy("_block")
-    quiet = F.coalesce((F.col("_first") - F.lag("_last").over(in_time) > period_us).cast("int"), F.lit(1))
-    numbered = blocks.withColumn("_quiet", quiet).withColumn(
-        "_run", F.sum("_quiet").over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.select(
-        *keys, "_block", "_run", F.sum("_n").over(Window.partitionBy(*keys, "_run")).alias("_run_n"))
-
-
-def _fold_short_runs(tagged: DataFrame, keys: list[str], period_us: int) -> DataFrame:
-    """Runs of at most ``fold_limit`` alerts: one bounded sorted array, folded by a built-in expression."""
-    start = F.array().cast("array<bigint>")
-
-    def step(acc: Column, t: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        return F.when(last.isNull() | (t - last > period_us), F.array_append(acc, t)).otherwise(acc)
-
-    return (
-        tagged.groupBy(*keys, "_run").agg(F.sort_array(F.collect_list("_t")).alias("_ts"))
-        .select(*keys, F.explode(F.aggregate("_ts", start, step)).alias("_t"))
-    )
-
-
-def _next_after(t: np.ndarray, period_us: int) -> np.ndarray:
-    """Index of the first alert more than one period after each alert (``len(t)``: none in the block)."""
-    return np.searchsorted(t, t + period_us, side="right")
-
-
-def _last_of_chain(t: np.ndarray, period_us: int) -> np.ndarray:
-    """Last alert that passes in the block if the chain starts at each alert, by pointer doubling."""
-    nxt = _next_after(t, period_us)
-    end = np.arange(len(t))
-    jump = nxt.copy()
-    live = jump < len(t)
-    while live.any():
-        end[live] = end[jump[live]]
-        further = np.full(len(t), len(t))
-        further[live] = jump[jump[live]]
-        jump = further
-        live = jump < len(t)
-    return t[end]
-
-
-def _walk_long_runs(tagged: DataFrame, keys: list[str], period_us: int, width_us: int) -> DataFrame:
-    key_struct = F.struct(*keys)
-    rows = tagged.select(F.to_json(key_struct).alias("k"), key_struct.alias("key"),
-                         F.col("_run").alias("run"), F.col("_block").alias("block"), F.col("_t").alias("t"))
-    narrow = rows.select("k", "run", "block", "t")
-
-    def entries(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["t"].to_numpy())
-        block = int(pdf["block"].iloc[0])
-        n = int(np.searchsorted(t, block * width_us + period_us, side="right")) + 1
-        last = _last_of_chain(t, period_us)
-        return pd.DataFrame({
-            "k": pdf["k"].iloc[0], "run": pdf["run"].iloc[0], "block": block, "entry": t[:n], "last": last[:n]})
-
-    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, last, done = None, None, None
-        for pdf in batches:
-            out = []
-            for k, run, block, entry, end in pdf.itertuples(index=False):
-                if at != (k, run):
-                    at, last, done = (k, run), None, None
-                if done != block and (last is None or entry - last > period_us):
-                    out.append((k, run, block, entry))
-                    last, done = end, block
-            yield pd.DataFrame(out, columns=["k", "run", "block", "entry"])
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["t"].to_numpy())
-        nxt = _next_after(t, period_us)
-        i = int(np.searchsorted(t, pdf["entry"].iloc[0]))
-        chain = []
-        while i < len(t):
-            chain.append(t[i])
-            i = int(nxt[i])
-        return pd.DataFrame({"k": pdf["k"].iloc[0], "t": chain})
-
-    table = narrow.groupBy("k", "run", "block").applyInPandas(
-        entries, "k string, run bigint, block bigint, entry bigint, last bigint")
-    starts = (
-        table.repartition("k", "run").sortWithinPartitions("k", "run", "block", "entry")
-        .mapInPandas(settle, "k string, run bigint, block bigint, entry bigint")
-    )
-    chains = (
-        narrow.join(starts, ["k", "run", "block"]).groupBy("k", "run", "block")
-        .applyInPandas(replay, "k string, t bigint")
-    )
-    schema = tagged.select(*keys).schema.simpleString()
-    return chains.select(F.from_json("k", schema).alias("key"), F.col("t").alias("_t")).select("key.*", "_t")
+        .groupBy(F.struct(*keys).alias("_k"), epoch_us(ts).alias("_t"))
+        .agg(F.min_by(F.struct(*rest), F.struct(*ties)).alias("_row")), "cooldown")
+    passed = passing(points.select("_k", "_t"), c, listed)
+    return points.join(passed, ["_k", "_t"]).select(
+        *[F.col("_k")[x].alias(x) if x in keys else F.col("_row")[x].alias(x) for x in alerts.columns])
+
+
+def passing(times: DataFrame, period_us: int, listed: int = DEFAULT_LISTED) -> DataFrame:
+    """``_k, _t`` of the instants that pass, from distinct instants of each key."""
+    rows, rounds = _entries(times, period_us)
+    stored, length, top = [], 1, 0
+    for number in range(1, rounds + 1):
+        with_list = length * RADIX <= max(1, listed)
+        if not with_list:
+            stored.append((number, rows))
+        rows = materialize(_compose(rows, number, with_list), "cooldown-round")
+        if with_list:
+            length, top = length * RADIX, number
+    if not stored:
+        return rows.select("_k", F.explode("passed").alias("_t"))
+    # The chains' first alerts enter the largest blocks; from there down to the blocks whose rows have lists.
+    entered = rows.select("_k", "entry")
+    for number, below in reversed(stored):
+        entered = materialize(_entered_below(entered, below, number), "cooldown-entered")
+    return stored[0][1].join(entered, ["_k", "entry"]).select("_k", F.explode("passed").alias("_t"))
+
+
+def _entries(times: DataFrame, period_us: int) -> tuple[DataFrame, int]:
+    """One row for each instant that can pass: ``entry``, its block, the block of its first predecessor, and its successor.
+
+    An instant that is no successor, and not the first of its key, never passes. Blocks count from the key's
+    first. The number of rounds that make one block of any key comes with it.
+    """
+    blocked = times.withColumn("_b", time_bucket("_t", period_us))
+    in_time = Window.partitionBy("_k").orderBy("_b")
+    blocks = blocked.groupBy("_k", "_b").agg(F.min("_t").alias("_first"))
+    blocks = materialize(blocks.select(
+        "_k", "_b", F.min("_b").over(Window.partitionBy("_k")).alias("_b0"), F.lag("_b").over(in_time).isNull().alias("_opens"),
+        F.lead("_b").over(in_time).alias("_b1"), F.lead("_first").over(in_time).alias("_f1"), F.lead("_first", 2).over(in_time).alias("_f2")), "cooldown-blocks")
+    # What each instant meets in the next block: of instants and probes there, the first instant after the probe.
+    instants = blocked.select("_k", "_b", "_t", F.lit(0).alias("_probe"), F.col("_t").alias("_at"))
+    probes = blocked.select("_k", (F.col("_b") + 1).alias("_b"), "_t", F.lit(1).alias("_probe"), (F.col("_t") + period_us).alias("_at"))
+    after = Window.partitionBy("_k", "_b").orderBy("_at", "_probe").rowsBetween(1, Window.unboundedFollowing)
+    met = instants.unionByName(probes).withColumn("_met", F.first(F.when(F.col("_probe") == 0, F.col("_at")), ignorenulls=True).over(after))
+    met = met.where("_probe = 1").select("_k", (F.col("_b") - 1).alias("_b"), "_t", "_met")
+    first = F.col("_opens") & (F.row_number().over(Window.partitionBy("_k", "_b").orderBy("_t")) == 1)
+    successor = F.when(F.col("_b1") == F.col("_b") + 1, F.coalesce("_met", "_f2")).otherwise(F.col("_f1"))
+    linked = materialize(met.join(blocks, ["_k", "_b"]).select(
+        "_k", F.col("_t").alias("entry"), (F.col("_b") - F.col("_b0")).alias("block"), first.alias("_opens"), successor.alias("next")), "cooldown-links")
+    reached = linked.where("next is not null").groupBy("_k", F.col("next").alias("entry")).agg(F.min("block").alias("source"))
+    rows = linked.join(reached, ["_k", "entry"], "left").where("_opens or source is not null")
+    widest = linked.agg(F.max("block")).first()[0] or 0
+    rounds = 0
+    while RADIX ** rounds <= widest:
+        rounds += 1
+    return rows.select("_k", "entry", "block", "source", "next", F.array("entry").alias("passed")), rounds
+
+
+def _parent(block: Column, number: int) -> Column:
+    """The block that ``block`` is part of after so many rounds."""
+    return F.floor(block / F.lit(RADIX ** number))
+
+
+def _onward(rows: DataFrame, number: int) -> DataFrame:
+    """The rows as the next part of a chain: by the entry, in which larger block."""
+    return rows.select(F.col("_k").alias("_ko"), F.col("entry").alias("_eo"), _parent(F.col("block"), number).alias("_po"),
+                       F.col("next").alias("_no"), F.col("passed").alias("_lo"))
+
+
+def _compose(rows: DataFrame, number: int, with_list: bool) -> DataFrame:
+    """Rows of the blocks after round ``number``: chains followed through all parts of the larger block."""
+    here = _parent(F.col("block"), number)
+    out = rows.where(F.col("source").isNull() | (_parent(F.col("source"), number) < here))
+    further = _onward(rows, number)
+    for _ in range(RADIX - 1):
+        out = out.join(further, (F.col("_k") == F.col("_ko")) & (F.col("next") == F.col("_eo")) & (here == F.col("_po")), "left")
+        onward = F.col("_eo").isNotNull()
+        listed = F.when(onward, F.concat("passed", "_lo")).otherwise(F.col("passed")) if with_list else F.lit(None).cast("array<bigint>")
+        out = out.select("_k", "entry", "block", "source", F.when(onward, F.col("_no")).otherwise(F.col("next")).alias("next"), listed.alias("passed"))
+    return out
+
+
+def _entered_below(entered: DataFrame, below: DataFrame, number: int) -> DataFrame:
+    """The entries of the parts of blocks that were entered at these."""
+    rows = below.select("_k", "entry", "next", _parent(F.col("block"), number).alias("parent"))
+    step = entered.join(rows, ["_k", "entry"])
+    out = step.select("_k", "entry")
+    further = _onward(below, number).select("_ko", "_eo", "_po", "_no")
+    for _ in range(RADIX - 1):
+        step = step.join(further, (F.col("_k") == F.col("_ko")) & (F.col("next") == F.col("_eo")) & (F.col("parent") == F.col("_po"))).select(
+            "_k", F.col("_eo").alias("entry"), F.col("_no").alias("next"), "parent")
+        out = out.unionByName(step.select("_k", "entry"))
+    return out
