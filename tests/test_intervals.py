@@ -119,3 +119,24 @@ def test_cooldown_equals_the_state_machine(spark, seed, options):
 def test_cooldown_needs_more_than_the_period(spark):
     df = spark.createDataFrame([("u", 1, at(0), 0), ("u", 2, at(300), 0), ("u", 3, at(300, 1), 0)], SCHEMA)
     assert sorted(r.event_id for r in cooldown(df, ["user"], "t", "5 minutes").collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("slice_rows", [1, 7, 40])
+def test_busy_buckets_are_walked_in_slices(spark, slice_rows):
+    data = [d for d in noisy(4, 500, span=4000) if d[0]]
+    df = spark.createDataFrame(data, SCHEMA)
+    measures = {"n": F.lit(1), "x": F.col("event_id").cast("decimal(20,2)")}
+    whole, cut = (intervals.interval_totals(df, df, ["user"], "t", "t", "10 minutes", measures, slice_rows=n) for n in (10**6, slice_rows))
+    assert rows(cut) == rows(whole)
+    whole, cut = (intervals.trailing_distinct(df, ["user"], "v", "t", "10 minutes", slice_rows=n) for n in (10**6, slice_rows))
+    assert rows(cut) == rows(whole)
+    whole, cut = (intervals.running_count(df, ["user"], "t", ["event_id"], slice_rows=n) for n in (10**6, slice_rows))
+    assert rows(cut) == rows(whole)
+
+
+def test_no_slice_holds_much_of_a_hot_key(spark):
+    # One user has all rows, in one bucket of the window.
+    df = spark.range(20_000).select(F.lit("u").alias("user"), "id", F.lit(0).alias("b"), (F.col("id") * 1000).alias("at"))
+    cut = intervals._in_slices(df, ["user", "b"], "at", F.lit(0), 20_000_000, {"n": F.count(F.lit(1))}, 500)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 600 and len(sizes) >= 35

@@ -5,7 +5,8 @@ All of them share one idea. Cut time into buckets as wide as the window; then a
 bucket contributes is aggregated before the shuffle and carried forward, so rows are grouped by
 (key, bucket) instead of by key: a key holding a third of the data is split over all its buckets.
 Within one (key, bucket) rows of equal time are merged first, so a group holds at most one narrow
-row per clock tick of the window, however many copies the input has. No pair of rows is formed
+row per clock tick of the window, however many copies the input has; a group that is still large is
+walked in slices at measured counts, each starting from the total of those before. No pair of rows is formed
 except in :func:`interval_join`, whose result is the pairs.
 """
 
@@ -17,6 +18,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import epoch_us, micros, time_bucket
 
+# Rows of a (key, bucket) that one task walks; larger ones are cut into slices of so many at cells of the bucket.
+SLICE_ROWS = 500_000
+CELLS = 4096
 # Order of the steps at one instant.
 _ENTER, _PROBE, _LEAVE = 0, 1, 2
 
@@ -100,18 +104,45 @@ def interval_join(
     return out
 
 
-def _running(points: DataFrame, keys: list[str], totals: list[str]) -> DataFrame:
+def _in_slices(rows: DataFrame, group: list[str], at: str, start: Column, width: int, measures: dict[str, Column],
+               slice_rows: int) -> DataFrame:
+    """``rows`` plus ``_slice`` and, for each measure, ``_base_<name>``: its total over the group's earlier slices.
+
+    A group of at most ``slice_rows`` rows is one slice. A larger one is cut between the cells of its time
+    line at measured counts, so that no slice has more rows than that and one cell; rows of one
+    instant stay together. Only the cells of large groups are looked up, a few for each slice of theirs.
+    """
+    cell = F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor((F.col(at) - start) * (CELLS / width)))).cast("int")
+    placed = rows.withColumn("_cell", cell)
+    cells = placed.groupBy(*group, "_cell").agg(F.count(F.lit(1)).alias("_n"), *[m.alias(f"_sum_{n}") for n, m in measures.items()])
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    large = (
+        cells.withColumn("_all", F.sum("_n").over(whole)).where(F.col("_all") > slice_rows)
+        .withColumn("_slice", F.floor(before("_n") / F.lit(slice_rows)).cast("int"))
+        .select("*", *[before(f"_sum_{n}").alias(f"_until_{n}") for n in measures])
+    )
+    first = Window.partitionBy(*group, "_slice").orderBy("_cell")
+    lookup = large.select(*group, "_cell", "_slice", *[F.first(f"_until_{n}").over(first).alias(f"_base_{n}") for n in measures])
+    # Large groups have no null keys: these are left out before.
+    return placed.join(lookup, [*group, "_cell"], "left").select(
+        *rows.columns, F.coalesce("_slice", F.lit(0)).alias("_slice"), *[F.coalesce(f"_base_{n}", F.lit(0)).alias(f"_base_{n}") for n in measures])
+
+
+def _running(points: DataFrame, keys: list[str], totals: list[str], width: int, slice_rows: int) -> DataFrame:
     """Running totals of signed steps within (key, bucket), steps of one instant and phase together."""
+    cut = _in_slices(points, [*keys, "_b"], "_at", F.col("_b") * F.lit(width), width, {c: F.sum(c) for c in totals}, slice_rows)
     w = (
-        Window.partitionBy(*keys, "_b").orderBy("_at", "_phase")
+        Window.partitionBy(*keys, "_b", "_slice").orderBy("_at", "_phase")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return points.select("*", *[F.sum(c).over(w).alias(f"_run_{c}") for c in totals])
+    return cut.select(*points.columns, *[(F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_base_{c}")).alias(f"_run_{c}") for c in totals])
 
 
 def interval_totals(
     probe: DataFrame, source: DataFrame, keys: list[str], probe_ts: str, source_ts: str,
-    window: str | int, measures: dict[str, Column], lower: str = "closed", lag_us: int = 0,
+    window: str | int, measures: dict[str, Column], lower: str = "closed", lag_us: int = 0, slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Totals of ``source`` over the trailing window of every distinct probe point.
 
@@ -148,7 +179,7 @@ def interval_totals(
     )
     moves = steps.unionByName(carried).unionByName(probes, allowMissingColumns=True)
     return (
-        _running(moves, keys, names)
+        _running(moves, keys, names, w, slice_rows)
         .where(F.col("_phase") == _PROBE)
         .select(*keys, (F.col("_at") - F.lit(lag_us)).alias("at_us"),
                 *[F.col(f"_run_{n}").alias(n) for n in names])
@@ -180,7 +211,7 @@ def presence(source: DataFrame, keys: list[str], member: str, ts: str, window: s
 
 
 def trailing_distinct(
-    source: DataFrame, keys: list[str], member: str, ts: str, window: str | int, out: str = "n_distinct",
+    source: DataFrame, keys: list[str], member: str, ts: str, window: str | int, out: str = "n_distinct", slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Distinct members of each key in ``[t - window, t]`` at every time the key has a row.
 
@@ -209,30 +240,33 @@ def trailing_distinct(
         .select(*keys, time_bucket("_at", w).alias("_b"), "_at", F.lit(_PROBE).alias("_phase"))
     )
     return (
-        _running(moves.unionByName(probes, allowMissingColumns=True), keys, ["_d"])
+        _running(moves.unionByName(probes, allowMissingColumns=True), keys, ["_d"], w, slice_rows)
         .where(F.col("_phase") == _PROBE)
         .select(*keys, F.col("_at").alias("at_us"), F.col("_run__d").alias(out))
     )
 
 
 def running_count(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str], slice_: str = "1 hour",
-                  out: str = "running_count") -> DataFrame:
+                  out: str = "running_count", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` plus how many rows of the key came up to and including each row, in (ts, tiebreak) order.
 
-    Counts per (key, time slice) are taken first; a row's count is the total of earlier slices
-    plus its position in its own, so no task has to walk a whole key.
+    Counts per (key, time slice) are taken first; a row's count is the total of earlier slices plus
+    its position in its own. A slice with very many rows is cut again, so no task has to walk a
+    whole key or a busy hour of one.
     """
+    width = micros(slice_)
     present = df.where(_all_present(keys) & F.col(ts).isNotNull())
-    sliced = present.withColumn("_s", time_bucket(epoch_us(ts), micros(slice_)))
-    earlier = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sliced = present.withColumn("_at", epoch_us(ts)).withColumn("_b", time_bucket("_at", width))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     base = (
-        sliced.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+        sliced.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     )
-    within = Window.partitionBy(*keys, "_s").orderBy(ts, *tiebreak)
+    cut = _in_slices(sliced, [*keys, "_b"], "_at", F.col("_b") * F.lit(width), width, {"n": F.count(F.lit(1))}, slice_rows)
+    within = Window.partitionBy(*keys, "_b", "_slice").orderBy(ts, *tiebreak)
     return (
-        sliced.join(base, [*keys, "_s"])
-        .select(*[F.col(c) for c in df.columns], (F.col("_base") + F.row_number().over(within)).alias(out))
+        cut.join(base, [*keys, "_b"])
+        .select(*[F.col(c) for c in df.columns], (F.col("_base") + F.col("_base_n") + F.row_number().over(within)).alias(out))
     )
 
 
