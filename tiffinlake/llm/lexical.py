@@ -251,7 +251,7 @@ class Batch:
         out = np.zeros((len(self.vocabulary), len(some)), dtype=np.int64)
         damper = dampers(sizes, self.documents, self.length)
         for j, i in enumerate(some.tolist()):
-            counted = Counter(filter(None.__ne__, map(self.vocabulary.get, terms_of(texts[i].as_py()))))
+            counted = Counter(v for v in map(self.vocabulary.get, terms_of(texts[i].as_py())) if v is not None)
             if counted:
                 tf = np.fromiter(counted.values(), dtype=np.int64, count=len(counted))
                 out[np.fromiter(counted, dtype=np.int64, count=len(counted)), j] = saturated(tf, damper[i])
