@@ -81,6 +81,14 @@ class ServingTable:
             merged.write.mode("overwrite").parquet(self._folder((level + 1, min(r[1] for r in same), max(r[2] for r in same))))
             level += 1
 
+    def is_merged(self, batch_id: int) -> bool:
+        """Whether a batch was written long enough ago to be part of a merged folder; writing it again has no effect."""
+        return any(r[0] > 0 and r[1] <= batch_id <= r[2] for r in self._complete())
+
+    def without(self, batch_id: int) -> DataFrame:
+        """The rows of all batches but one that is not merged yet."""
+        return self._merge(self._rows([r for r in self._visible() if r != (0, batch_id, batch_id)])).select(self._schema.names)
+
     def read(self) -> DataFrame:
         """The current rows, with the last batch that changed them."""
         return self._merge(self._rows(self._visible())).select(self._schema.names)

@@ -99,14 +99,14 @@ def upserted(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame
     return _without(target, source, keys).unionByName(source)
 
 
-def merge_insert(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
-    """Insert the rows whose key is new. Only the partitions the source touches are compared."""
+def merge_insert(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> int:
+    """Insert the rows whose key is new, and say how many. Only the partitions the source touches are compared."""
     _check(keys, partition_by)
     spark = source.sparkSession
-    fresh = source
-    if path_exists(spark, path):
-        fresh = materialize(not_matched(source, _touched(source, path, partition_by), keys), "merge")
-    write_table(fresh, path, partition_by)
+    fresh = not_matched(source, _touched(source, path, partition_by), keys) if path_exists(spark, path) else source
+    staged = materialize(fresh, "merge")
+    write_table(staged, path, partition_by)
+    return staged.count()  # from the files' footers
 
 
 def merge_upsert(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
@@ -132,10 +132,10 @@ def merge_upsert(source: DataFrame, path: str, keys: list[str], partition_by: li
         staged.write.mode("overwrite").parquet(path)
 
 
-def append_idempotent(df: DataFrame, path: str, key: str, partition_by: list[str]) -> None:
-    """Insert-ignore on a unique id: repeated deliveries, within the batch or before it, are dropped."""
+def append_idempotent(df: DataFrame, path: str, key: str, partition_by: list[str]) -> int:
+    """Insert-ignore on a unique id: repeated deliveries, within the batch or before it, are dropped. The number of rows stored."""
     keys = [key, *[p for p in partition_by if p != key]]
-    merge_insert(dedup_latest(df, keys, []), path, keys, partition_by)
+    return merge_insert(dedup_latest(df, keys, []), path, keys, partition_by)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str] | None = None, predicate: str | None = None,

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.ads import ATTRIBUTION_WINDOW, COUNTERS
-from ..sources.serving import BATCH, MERGE_EVERY, ServingTable, summed
+from ..session import materialize
+from ..sources.serving import BATCH, MERGE_EVERY, ServingTable, appended, summed
 from ..sources.streams import batch_sink
 from .windows import with_watermark
 
@@ -61,3 +62,44 @@ def counter_log(events: DataFrame, path: str, checkpoint: str, every: int = MERG
 def read_counters(spark: SparkSession, path: str) -> DataFrame:
     """Current counters."""
     return counter_table(spark, path).read().drop(BATCH)
+
+
+_CHANGE = "item_id bigint, date date, metric string, before double, after double, amount double"
+
+
+def change_feed(spark: SparkSession, path: str, every: int = MERGE_EVERY) -> ServingTable:
+    """What every micro-batch changed in the counters, one row for each (item, date, metric) it touched."""
+    return ServingTable(spark, f"{path}/changes", _CHANGE, appended, every)
+
+
+def counter_changes(increments: DataFrame, before: DataFrame) -> DataFrame:
+    """Each non-zero increment with the counter's value before and after it."""
+    def long(df: DataFrame, value: str) -> DataFrame:
+        plain = df.select("item_id", "date", *[F.col(m).cast("double").alias(m) for m in COUNTERS])
+        return plain.unpivot(["item_id", "date"], COUNTERS, "metric", value)
+
+    old = long(before.join(increments.select("item_id", "date"), ["item_id", "date"], "left_semi"), "before")
+    start = F.coalesce("before", F.lit(0.0))
+    return long(increments, "amount").where("amount <> 0").join(old, ["item_id", "date", "metric"], "left").select(
+        "item_id", "date", "metric", start.alias("before"), (start + F.col("amount")).alias("after"), "amount")
+
+
+def apply_with_changes(batch: DataFrame, batch_id: int, path: str, every: int = MERGE_EVERY) -> None:
+    """One micro-batch of engagement rows into the counters at ``path``, and what it changes into the change feed.
+
+    The feed is written first and the counters are its ledger: a batch that failed between the two, or is
+    replayed, gives the same changes against the totals of the other batches and replaces its own; one
+    that is merged into the counters was emitted before and is skipped.
+    """
+    spark = batch.sparkSession
+    counters, feed = counter_table(spark, f"{path}/counters", every), change_feed(spark, path, every)
+    if counters.is_merged(batch_id):
+        return
+    increments = materialize(counter_increments(batch), "increments")
+    feed.write(counter_changes(increments, counters.without(batch_id)), batch_id)
+    counters.write(increments, batch_id)
+
+
+def billing_increments(events: DataFrame, path: str, checkpoint: str, every: int = MERGE_EVERY) -> DataStreamWriter:
+    """Engagement rows into counters, with the increments to be billed as a feed (see :func:`change_feed`)."""
+    return batch_sink(events, lambda batch, batch_id: apply_with_changes(batch, batch_id, path, every), checkpoint)

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.aggregates import revenue_by
 from ..schemas import STREAM_ORDER
+from ..session import materialize
 from ..sources.bronze import ingest_bronze
 from ..sources.files import JSON_TIME
 from ..sources.serving import MERGE_EVERY, ServingTable, appended
@@ -37,21 +38,32 @@ def stream_gold(orders: DataFrame, path: str, checkpoint: str, key: str = "resta
     return batch_sink(revenue_by(orders, key), write, checkpoint, "complete")
 
 
-def ingest_stream(messages: DataFrame, base: str, checkpoint: str) -> DataStreamWriter:
-    """Messages to the bronze tables under ``base``.
+TARGETS = ["orders", "clicks", "quarantine"]
+_COUNTS = "target string, received bigint, stored bigint, repeated bigint"
 
-    Offsets commit after all three writes, so a crash replays the batch; rows already stored are
-    recognised by ingestion id and skipped.
+
+def ingest_counts(spark: SparkSession, base: str, every: int = MERGE_EVERY) -> ServingTable:
+    """What each micro-batch of :func:`ingest_stream` received, stored and recognised as repeated, by target table."""
+    return ServingTable(spark, f"{base}/_counts", _COUNTS, appended, every)
+
+
+def ingest_stream(messages: DataFrame, base: str, checkpoint: str, every: int = MERGE_EVERY) -> DataStreamWriter:
+    """Messages to the bronze tables under ``base``, and the counts of each batch.
+
+    Offsets commit after all writes, so a crash replays the batch; rows already stored are recognised by
+    ingestion id and skipped, and a replayed batch replaces its counts.
     """
+    counts = ingest_counts(messages.sparkSession, base, every)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            routed = ingest_bronze(batch)
-            append_idempotent(routed["orders"], f"{base}/orders", "ingestion_id", ["partition_date"])
-            append_idempotent(routed["clicks"], f"{base}/clicks", "ingestion_id", ["partition_date"])
-            append_idempotent(routed["quarantine"], f"{base}/quarantine", "ingestion_id", ["partition_date"])
-        finally:
-            batch.unpersist()
+        routed, rows = ingest_bronze(batch), []
+        for name in TARGETS:
+            # Staged once: parsing is not repeated, and the files' footers know the count.
+            staged = materialize(routed[name], "ingest")
+            received = staged.count()
+            stored = append_idempotent(staged, f"{base}/{name}", "ingestion_id", ["partition_date"])
+            rows.append((name, received, stored, received - stored))
+        counts.write(batch.sparkSession.createDataFrame(rows, _COUNTS), batch_id)
 
     return batch_sink(messages, write, checkpoint)
 

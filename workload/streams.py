@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tiffinlake.functions import epoch_us, from_epoch_us
 from tiffinlake.operators import fraud
+from tiffinlake.operators.ads import COUNTERS
 from tiffinlake.schemas import STREAM_ORDER
 from tiffinlake.session import materialize, scratch
 from tiffinlake.sources.streams import batch_sink, file_sink, file_source, read_events_stream, run_available
@@ -132,22 +133,42 @@ def stream_attribution(spark, sf):
     return collected(spark, out, "attribution").select("order_id", "user_id", "item_id")
 
 
-@query("stream_counters", events_sql(
-    "SELECT item_id, date::VARCHAR AS date, impressions, clicks, orders, attributed_orders, revenue::DOUBLE AS revenue FROM counters", _COUNTERS.strip()))
-def stream_counters(spark, sf):
-    """Clicks, orders and attributed orders as one engagement stream, summed from its increment log."""
+def _engagement(spark, sf):
+    """Clicks, orders and attributed orders as one engagement stream."""
     from tiffinlake.operators.ads import attributed_orders
 
     clicks, orders = good_clicks(spark, sf), good_orders(spark, sf)
     part = lambda df, kind: df.select(
         kind.alias("event_type"), "item_id", F.col("event_timestamp").cast("timestamp").alias("event_timestamp"), F.col("price"))
     hits = attributed_orders(orders, clicks, "1 day").where("attributed")
-    feed = part(clicks, F.col("event_type")).unionByName(part(orders, F.lit("order"))).unionByName(part(hits, F.lit("attributed_order")))
-    path = scratch(spark, "counters")
-    run_available(attribution.counter_log(arriving(spark, feed, "event_timestamp", "engagement"), path, scratch(spark, "counters-checkpoint"), every=3))
+    return part(clicks, F.col("event_type")).unionByName(part(orders, F.lit("order"))).unionByName(part(hits, F.lit("attributed_order")))
+
+
+@query("stream_counters", events_sql(
+    "SELECT item_id, date::VARCHAR AS date, impressions, clicks, orders, attributed_orders, revenue::DOUBLE AS revenue FROM counters", _COUNTERS.strip()))
+def stream_counters(spark, sf):
+    """Counters of the engagement stream, of whose four folders three were merged on the way."""
+    path, feed = scratch(spark, "counters"), arriving(spark, _engagement(spark, sf), "event_timestamp", "engagement")
+    run_available(attribution.counter_log(feed, path, scratch(spark, "counters-checkpoint"), every=3))
     return attribution.read_counters(spark, path)
 
 
+@query("stream_billing_increments", events_sql(
+    " UNION ALL ".join(f"SELECT item_id, date::VARCHAR AS date, '{m}' AS metric, round({m}::DOUBLE, 2) AS amount, round({m}::DOUBLE, 2) AS latest FROM counters WHERE {m} <> 0"
+                       for m in COUNTERS), _COUNTERS.strip()))
+def stream_billing_increments(spark, sf):
+    """The increments of every counter, each batch applied twice; they sum to the counters, and the last one ends at them."""
+    path, feed = scratch(spark, "billing"), arriving(spark, _engagement(spark, sf), "event_timestamp", "engagement")
+
+    def twice(batch, batch_id):
+        for _ in range(2):
+            attribution.apply_with_changes(batch, batch_id, path, every=3)
+
+    run_available(batch_sink(feed, twice, scratch(spark, "billing-checkpoint")))
+    return attribution.change_feed(spark, path).read().groupBy("item_id", "date", "metric").agg(
+        F.round(F.sum("amount"), 2).alias("amount"), F.round(F.max_by("after", "batch_id"), 2).alias("latest"))
+
+
 _ARRIVALS = """
 span AS (SELECT min(epoch_us(t)) AS lo, max(epoch_us(t)) AS hi FROM
   (SELECT event_timestamp AS t FROM good_orders UNION ALL SELECT event_timestamp FROM good_clicks WHERE event_type = 'click')),
@@ -234,19 +255,42 @@ def stream_alert_store(spark, sf):
     return ingest.alert_log(spark, path).read().drop("alert_data", "batch_id")
 
 
-@query("stream_ingest_bronze", events_sql("""
-SELECT 'orders' AS target, count(*) AS n, count(DISTINCT event_id) AS n_ids FROM ev WHERE event_type = 'order' AND event_id % 53 <> 0
-UNION ALL SELECT 'clicks', count(*), count(DISTINCT event_id) FROM ev WHERE event_type NOT IN ('order', 'signup') AND event_id % 53 <> 0
-UNION ALL SELECT 'quarantine', count(*), count(DISTINCT event_id) FROM ev WHERE event_type = 'signup' OR event_id % 53 = 0"""))
-def stream_ingest_bronze(spark, sf):
-    """Every message is delivered twice; ingestion ids keep one of each."""
-    feed = messages(spark, sf)
+_INGESTED = """
+sent AS (SELECT event_id, event_timestamp, CASE WHEN event_id % 53 = 0 OR event_type = 'signup' THEN 'quarantine' WHEN event_type = 'order' THEN 'orders' ELSE 'clicks' END AS target,
+  least(floor((epoch_us(event_timestamp) - min(epoch_us(event_timestamp)) OVER ()) * 3
+    / (max(epoch_us(event_timestamp)) OVER () - min(epoch_us(event_timestamp)) OVER () + 1)), 2) AS part FROM ev)
+"""
+
+
+def _ingested(spark, sf):
+    """Messages in three parts of the time range; every other one is delivered again in the part after its own."""
+    feed = materialize(messages(spark, sf), "messages")
+    first, last = feed.select(F.min(epoch_us("timestamp")), F.max(epoch_us("timestamp"))).first()
+    once = feed.withColumn("_part", time_part("timestamp", first, last, 3))
+    again = once.where("offset % 2 = 0").withColumn("_part", F.col("_part") + 1)
     base = scratch(spark, "bronze-tables")
-    run_available(ingest.ingest_stream(replay(spark, feed.unionByName(feed), "messages"), base, scratch(spark, "bronze-checkpoint")))
-    return spark.read.parquet(f"{base}/orders").select(F.lit("orders").alias("target"), "ingestion_id").unionByName(
-        spark.read.parquet(f"{base}/clicks").select(F.lit("clicks").alias("target"), "ingestion_id")).unionByName(
-        spark.read.parquet(f"{base}/quarantine").select(F.lit("quarantine").alias("target"), "ingestion_id")).groupBy("target").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("ingestion_id").alias("n_ids"))
+    run_available(ingest.ingest_stream(in_parts(spark, once.unionByName(again), "messages", 4), base, scratch(spark, "bronze-checkpoint")))
+    return base
+
+
+@query("stream_ingest_bronze", events_sql(
+    "SELECT target, CASE WHEN target = 'quarantine' THEN 'q' ELSE 'e' END || event_id AS id, event_timestamp::DATE::VARCHAR AS partition_date FROM sent", _INGESTED.strip()))
+def stream_ingest_bronze(spark, sf):
+    """Each message is stored once, in the table and the day it belongs to."""
+    base = _ingested(spark, sf)
+    part = lambda name, id: spark.read.parquet(f"{base}/{name}").select(F.lit(name).alias("target"), id.alias("id"), "partition_date")
+    return part("orders", F.concat(F.lit("e"), "event_id")).unionByName(part("clicks", F.concat(F.lit("e"), "event_id"))).unionByName(
+        part("quarantine", F.concat(F.lit("q"), F.col("offset").cast("string"))))
+
+
+@query("stream_ingest_counts", events_sql("""
+SELECT part::BIGINT AS batch_id, target, count(*) AS received, count(*) FILTER (WHERE NOT again) AS stored, count(*) FILTER (WHERE again) AS repeated
+FROM (SELECT part, target, FALSE AS again FROM sent UNION ALL SELECT part + 1, target, TRUE FROM sent WHERE event_id % 2 = 0) GROUP BY 1, 2
+UNION ALL SELECT 3, target, 0, 0, 0 FROM (SELECT DISTINCT target FROM sent) WHERE target NOT IN (SELECT target FROM sent WHERE part = 2 AND event_id % 2 = 0)""",
+    _INGESTED.strip()))
+def stream_ingest_counts(spark, sf):
+    """What every batch received, stored and knew already, by target."""
+    return ingest.ingest_counts(spark, _ingested(spark, sf)).read()
 
 
 _SIMPLE = """concat('{"event_id":"e', event_id, '","order_id":', event_id, ',"user_id":', user_id, ',"amount":', cast(value * 100 as int),
