@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -44,6 +45,8 @@ TELLING_LANDMARKS, COMMON_LANDMARKS = 256, 64
 SENTENCES_PER_DOC = 2
 RIDGE = 1e-3
 MEMORY = 200_000
+# Partitions of the taught sentences, each of which sends its sums in every step.
+FIT_PARTS = 8
 # Log odds that a surely toxic word has at least, two standard errors below its own; added to the margin of a text with one.
 SURE_ODDS, SURE = 3.0, 1000.0
 # Margin of a text without words: below any sentence's.
@@ -137,24 +140,48 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def separate(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
-    """Weights and offset of a linear machine with squared hinge loss, both classes weighing the same (Newton steps)."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    sign = np.where(y > 0, 1.0, -1.0)
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
-    keep = np.full(x.shape[1], ridge)
+def separate(rows: DataFrame, size: int, counts: dict[int, int], ridge: float = RIDGE) -> tuple[np.ndarray, float]:
+    """Weights and offset of a linear machine with squared hinge loss, both classes weighing the same (Newton steps).
+
+    ``rows`` holds labels ``y`` and features ``x`` (bytes of ``size`` single-precision numbers). A step
+    sums what the rows within the margin add to a (size + 1)-square matrix and a vector; only these
+    sums, one for each of a few partitions, come to the driver.
+    """
+    cost = {y: 0.5 / max(1, counts.get(y, 0)) for y in (0, 1)}
+    keep = np.full(size + 1, ridge)
     keep[-1] = 1e-9
-    w = np.zeros(x.shape[1])
+    w = np.zeros(size + 1)
     loss = np.inf
+
+    def sums(at: np.ndarray):
+        @lean
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matrix, vector, total = np.zeros((size + 1, size + 1)), np.zeros(size + 1), 0.0
+            for batch in batches:
+                y = batch.column(0).to_numpy(zero_copy_only=False)
+                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<f4").reshape(len(y), size).astype(np.float64)
+                x = np.hstack([x, np.ones((len(y), 1))])
+                sign, each = np.where(y > 0, 1.0, -1.0), np.where(y > 0, cost[1], cost[0])
+                short = 1 - sign * (x @ at)
+                on = short > 0
+                some = x[on] * each[on, None]
+                matrix += x[on].T @ some
+                vector += some.T @ sign[on]
+                total += float((each[on] * short[on] ** 2).sum())
+            yield pa.RecordBatch.from_arrays([pa.array([matrix.tobytes()], pa.binary()), pa.array([vector.tobytes()], pa.binary()), pa.array([total])],
+                                             ["matrix", "vector", "loss"])
+
+        found = rows.select("y", "x").mapInArrow(work, "matrix binary, vector binary, loss double").collect()
+        return (sum(np.frombuffer(r["matrix"]).reshape(size + 1, size + 1) for r in found),
+                sum(np.frombuffer(r["vector"]) for r in found), sum(r["loss"] for r in found))
+
     for _ in range(50):
-        short = 1 - sign * (x @ w)
-        on = short > 0
-        now = float((cost[on] * short[on] ** 2).sum() + (keep * w * w).sum())
+        matrix, vector, now = sums(w)
+        now += float((keep * w * w).sum())
         if loss - now < 1e-9:
             break
         loss = now
-        some = x[on] * cost[on, None]
-        w = np.linalg.solve(x[on].T @ some + np.diag(keep), some.T @ sign[on])
+        w = np.linalg.solve(matrix + np.diag(keep), vector)
     return w[:-1], float(w[-1])
 
 
@@ -295,21 +322,25 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
                 sums = np.zeros((int(pick.sum()), len(landmarks)), dtype=np.float32)
                 np.add.at(sums, numbers[cut.sentence[use]], k[inverse])
                 length = np.bincount(numbers[cut.sentence[use]], minlength=len(sums))
-                yield pd.DataFrame({"y": label[pick], "n": length, "x": list(sums)})
+                yield taught_rows(label[pick], sums, length)
                 # The most telling word of a toxic sentence is also taught as a sentence of its own, as it is and with a letter put in.
                 tells = pick[cut.sentence] & (label[cut.sentence] == 1) & (value[cut.word] > 0) & (value[cut.word] == worst[cut.sentence])
                 if tells.any():
                     plain = [cut.words[i] for i in cut.word[tells]]
                     alone = kernel([*plain, *[w[:len(w) // 2] + "xqz"[i % 3] + w[len(w) // 2:] for i, w in enumerate(plain)]], landmarks)
-                    yield pd.DataFrame({"y": np.ones(len(alone), dtype=int), "n": 1, "x": list(alone)})
+                    yield taught_rows(np.ones(len(alone), dtype=int), alone, np.ones(len(alone)))
 
-    taught = learn.select("y", "text").mapInPandas(features, "y int, n long, x array<float>").toPandas()
     among = kernel(landmarks, landmarks).astype(np.float64)
     value, vector = np.linalg.eigh((among + among.T) / 2)
     whiten = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    x = np.stack(taught["x"].to_numpy()).astype(np.float64) @ whiten
-    # The number of words is a feature too, so that short sentences are no milder than long ones.
-    weight, offset = separate(np.hstack([x, taught[["n"]].to_numpy() / SENTENCE_WORDS]), taught["y"].to_numpy())
+
+    def taught_rows(labels_of: np.ndarray, sums: np.ndarray, length: np.ndarray) -> pd.DataFrame:
+        # The number of words is a feature too, so that short sentences are no milder than long ones.
+        x = np.hstack([sums @ whiten, length[:, None] / SENTENCE_WORDS]).astype("<f4")
+        return pd.DataFrame({"y": labels_of, "x": [row.tobytes() for row in x]})
+
+    taught = materialize(learn.select("y", "text").mapInPandas(features, "y int, x binary").coalesce(FIT_PARTS), "taught")
+    weight, offset = separate(taught, len(landmarks) + 1, dict(taught.groupBy("y").count().collect()))
     weight, each = weight[:-1], float(weight[-1]) / SENTENCE_WORDS
     folded = np.zeros(BASE ** 4)
     for owner, codes, w in subsequences(landmarks):
@@ -329,7 +360,10 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
 
 def _apply(spark: SparkSession, text: Column, model: dict, finish) -> Column:
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model["weights"], model["offset"], model["each"], model["sure"]))  # 10 MB whatever the corpus
+    if "shared" not in model:
+        # 10 MB whatever the corpus, sent once for calibration and scoring.
+        model["shared"] = spark.sparkContext.broadcast((model.pop("weights"), model["offset"], model["each"], model["sure"]))
+    shared = model["shared"]
 
     @pandas_udf("double")
     @lean
