@@ -26,6 +26,7 @@ QUERY_BLOCK = 4096  # queries all tasks hold at once
 ROW_BLOCK = 2048  # vectors a task compares with them at once
 SCALE = 1024
 EXACT_FLOAT = float(1 << 53)
+NONE = np.iinfo(np.int64).min  # no row yet
 
 
 def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -68,7 +69,7 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, places: np.ndarray, k: int):
         self.ids, self.vectors, self.places, self.k = ids, vectors, places, k
         self.stats = [statistics(vectors, s) for s in LEVELS]
-        self.score = np.full((len(ids), k), -np.inf)
+        self.score = np.full((len(ids), k), NONE)
         self.row = np.full((len(ids), k), np.iinfo(np.int64).max)
         self.kept = 0
 
@@ -77,7 +78,7 @@ class Block:
             self._meet(ids[at:at + ROW_BLOCK], vectors[at:at + ROW_BLOCK])
 
     def _meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        least = self.score[:, -1]
+        least = np.where(self.score[:, -1] == NONE, -np.inf, self.score[:, -1].astype(np.float64))
         coarse = self.stats[0] @ statistics(vectors, LEVELS[0]).T
         # Rounding of the statistics must not cost a pair: the bound is widened a little.
         slack = 1e-9 * (np.linalg.norm(self.vectors, axis=1)[:, None] * np.linalg.norm(vectors, axis=1)) + 1e-6
@@ -91,26 +92,36 @@ class Block:
         self.kept += len(q)
         if not len(q):
             return
-        exact = np.concatenate([self._exact(q[i:i + 100_000], vectors[v[i:i + 100_000]]) for i in range(0, len(q), 100_000)])
-        order = np.lexsort((ids[v], -exact, q))
+        exact = self._exact(q, v, vectors)
+        # The complement of an integer falls as the integer rises, for the smallest one too.
+        order = np.lexsort((ids[v], ~exact, q))
         q, v, exact = q[order], v[order], exact[order]
         rank = np.arange(len(q)) - np.maximum.accumulate(np.where(np.r_[True, q[1:] != q[:-1]], np.arange(len(q)), 0))
         best = rank < self.k
-        new_score = np.full((len(self.ids), self.k), -np.inf)
+        new_score = np.full((len(self.ids), self.k), NONE)
         new_row = np.full((len(self.ids), self.k), np.iinfo(np.int64).max)
         new_score[q[best], rank[best]], new_row[q[best], rank[best]] = exact[best], ids[v[best]]
         score, row = np.hstack([self.score, new_score]), np.hstack([self.row, new_row])
-        order = np.lexsort((row, -score), axis=1)[:, :self.k]
+        order = np.lexsort((row, ~score), axis=1)[:, :self.k]
         self.score, self.row = np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
 
-    def _exact(self, q: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-        mine = self.vectors[q]
-        if vectors.shape[1] * np.abs(mine).max(initial=0) * np.abs(vectors).max(initial=0) < EXACT_FLOAT:
-            return np.einsum("ij,ij->i", mine, vectors)
-        return np.array([sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(mine, vectors)], dtype=object).astype(float)
+    def _exact(self, q: np.ndarray, v: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Integer inner products of the pairs: in floats where all sums are exact there, else in integers of any size."""
+        largest = vectors.shape[1] * np.abs(self.vectors[np.unique(q)]).max(initial=0) * np.abs(vectors[np.unique(v)]).max(initial=0)
+        if largest < EXACT_FLOAT:
+            if len(q) * 10 > len(self.ids) * len(vectors):
+                # With this many survivors one product of all is less work than the pairs one by one.
+                return (self.vectors @ vectors.T)[q, v].astype(np.int64)
+            parts = [np.einsum("ij,ij->i", self.vectors[q[i:i + 100_000]], vectors[v[i:i + 100_000]]) for i in range(0, len(q), 100_000)]
+            return np.concatenate(parts).astype(np.int64)
+        mine, theirs = ({i: [int(x) for x in rows[i]] for i in np.unique(at).tolist()} for at, rows in ((q, self.vectors), (v, vectors)))
+        found = [sum(a * b for a, b in zip(mine[i], theirs[j])) for i, j in zip(q.tolist(), v.tolist())]
+        if found and max(map(abs, found)) >= 1 << 63:
+            raise OverflowError("an inner product does not fit into 64 bits: scale the vectors down")
+        return np.array(found, dtype=np.int64)
 
     def found(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        real = np.isfinite(self.score)
+        real = self.score != NONE
         q, _ = np.nonzero(real)
         yield self.places[q], self.row[real], self.score[real]
 
@@ -122,7 +133,8 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "vec_i
     Queries are met in blocks: a block is sent to all tasks, each task keeps k rows a query, and
     the k best of these are the result. Vectors that are null, or hold null or non-finite
     components, or have no id take no part; nor do pairs of unlike length. Rows with the query's id are its own. Equal scores go
-    to the smaller id; repeated rows stay. Empty tables give an empty result.
+    to the smaller id; repeated rows stay. Empty tables give an empty result. Scores are exact; one that does
+    not fit into 64 bits is an error.
     """
     spark = rows.sparkSession
     asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id is not null and v is not null")
@@ -155,7 +167,7 @@ def _pass(spark: SparkSession, part: DataFrame, rows: DataFrame, k: int) -> Data
         for some in mine.values():
             for place, row, score in some.found():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(place, pa.int64()), pa.array(row, pa.int64()), pa.array(score.astype(np.int64), pa.int64())], ["place", "vec_id", "score"])
+                    [pa.array(place, pa.int64()), pa.array(row, pa.int64()), pa.array(score, pa.int64())], ["place", "vec_id", "score"])
 
     near = rows.mapInArrow(compare, "place long, vec_id long, score long")
     best = Window.partitionBy("place").orderBy(F.desc("score"), "vec_id")
