@@ -29,7 +29,7 @@ def canonical_url(url: Column) -> Column:
 
 def _latest_full(records: DataFrame) -> DataFrame:
     """``records`` with ``original``: id and validators of the latest earlier full response of the key, or null."""
-    at = F.struct("date", "record_id", "etag", "last_modified", "digest")
+    at = F.struct("date", "record_id", "etag", "last_modified", "digest", "_id")
     full = F.when(F.col("type") == "response", at)
     span = records.agg(F.min("date"), F.max("date")).first()
     low, high = (span[0] or 0), (span[1] or 0)
@@ -57,13 +57,17 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     validator), ``missing`` (no earlier response). Only ``merged`` rows have headers: the
     original's, with those replaced that a not-modified response may change. Records without URL or
     date can't be found or find anything; types other than the two are ignored; a response given
-    twice counts once, its headers being the lesser list. Other columns are not read.
+    twice counts once, its headers being the lesser list. A record without id takes part like any other and is
+    known by its content; a revisit of one refers to null. Other columns are not read.
     """
     rows = records.select("record_id", canonical_url(F.col("url")).alias("key"), F.col("date").cast("long").alias("date"), "type",
                           "etag", "last_modified", "digest", "headers")
+    # A record without id is known by its content, so that it keeps its own headers.
+    content = F.sha2(F.to_json(F.struct("key", "date", "type", "etag", "last_modified", "digest", F.array_sort(F.map_entries("headers")).alias("h"))), 256)
+    rows = rows.withColumn("_id", F.coalesce(F.concat(F.lit("="), F.col("record_id").cast("string")), content))
     placed = rows.where("key is not null and date is not null and type in ('response', 'revisit')")
     found = _latest_full(placed.drop("headers")).where("type = 'revisit'").select(
-        "record_id", "key", "date", "etag", "last_modified", "digest", "original")
+        "record_id", "_id", "key", "date", "etag", "last_modified", "digest", "original")
     lost = rows.where("type = 'revisit' and (key is null or date is null)")
     lost = lost.select("record_id", "key", F.lit(None).cast("string").alias("refers_to"), F.lit("missing").alias("outcome"),
                        F.lit(None).cast("map<string,string>").alias("headers"))
@@ -73,11 +77,12 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     for mine, theirs in checks:
         both = mine.isNotNull() & theirs.isNotNull()
         outcome = outcome.when(both & (mine == theirs), "merged").when(both, "mismatch")
-    judged = found.withColumn("outcome", outcome.otherwise("unverified")).withColumn("refers_to", F.col("original.record_id"))
-    own = (rows.where("type = 'revisit'").groupBy("record_id").agg(F.min(F.array_sort(F.map_entries("headers"))).alias("changed")))
-    kept = (rows.where("type = 'response'").groupBy(F.col("record_id").alias("refers_to"))
+    judged = found.withColumn("outcome", outcome.otherwise("unverified")).withColumn("refers_to", F.col("original.record_id")).withColumn(
+        "_original", F.col("original._id"))
+    own = (rows.where("type = 'revisit'").groupBy("_id").agg(F.min(F.array_sort(F.map_entries("headers"))).alias("changed")))
+    kept = (rows.where("type = 'response'").groupBy(F.col("_id").alias("_original"))
             .agg(F.min(F.array_sort(F.map_entries("headers"))).alias("stored")))
-    whole = judged.join(kept, "refers_to", "left").join(own, "record_id", "left")
+    whole = judged.join(kept, "_original", "left").join(own, "_id", "left")
     nothing = F.array().cast("array<struct<key:string,value:string>>")
     new = F.filter(F.coalesce("changed", nothing), lambda e: e["key"].isin(PERMITTED))
     replaced = F.transform(new, lambda e: e["key"])
