@@ -127,6 +127,18 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.limit(0), df).collect() == []
 
 
+def test_top_k_of_large_integers():
+    asked = topk.Block(np.array([9]), np.array([[2.0 ** 30, 1.0]]), np.array([0]), 2)
+    asked.meet(np.array([1, 2, 9]), np.array([[2.0 ** 30, 1.0], [2.0 ** 30, 2.0], [0.0, 0.0]]))
+    _, rows, scores = next(asked.found())
+    assert rows.tolist() == [2, 1] and scores.tolist() == [2 ** 60 + 2, 2 ** 60 + 1]
+    with pytest.raises(OverflowError):
+        asked.meet(np.array([3]), np.array([[2.0 ** 40, 1.0]]))
+    negative = topk.Block(np.array([9]), np.array([[-(2.0 ** 30), 1.0]]), np.array([0]), 1)
+    negative.meet(np.array([1, 2]), np.array([[2.0 ** 30, 1.0], [2.0 ** 30, 2.0]]))
+    assert next(negative.found())[2].tolist() == [2 - 2 ** 60]
+
+
 def test_language(spark, odd, none):
     rows = queries.QUERIES["op4_language"](spark, SF)
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -237,6 +249,18 @@ def test_revisits(spark):
     assert warc.resolve_revisits(df.limit(0)).collect() == []
 
 
+def test_revisits_of_records_without_id(spark):
+    rows = [(None, "a.com/x", 1, "response", "e1", {"etag": "e1", "server": "s"}, "k"), (None, "a.com/x", 1, "response", "e1", {"etag": "e1", "server": "s"}, "k"),
+            (None, "a.com/x", 3, "revisit", "e1", {"vary": "n"}, "k"), (None, "a.com/x", 4, "revisit", "e1", {"vary": "m"}, "k"),
+            ("r", "b.com", 1, "response", "e", {"server": "b"}, None), (None, "b.com", 2, "revisit", "e", {"date": "2"}, None),
+            (None, "b.com", 2, None, "e", None, None), ("w", "b.com/" + "p" * 30_000, 2, "revisit", None, None, None)]
+    df = spark.createDataFrame(rows, "record_id string, url string, date long, type string, etag string, headers map<string,string>, key string")
+    df = df.withColumn("last_modified", F.lit(None).cast("string")).withColumn("digest", F.lit(None).cast("string"))
+    got = sorted((r["refers_to"] or "", r["outcome"], sorted((r["headers"] or {}).items())) for r in warc.resolve_revisits(df).collect())
+    assert got == [("", "merged", [("etag", "e1"), ("server", "s"), ("vary", "m")]), ("", "merged", [("etag", "e1"), ("server", "s"), ("vary", "n")]),
+                   ("", "missing", []), ("r", "merged", [("date", "2"), ("server", "b")])]
+
+
 def test_toxicity_tolerates_gaps(spark, none):
     random.seed(1)
     plain = "the and of to in a he is that er an on re ha st nd".split()

@@ -108,13 +108,13 @@ def _mix_sql() -> str:
                         for k, w in MIX_WEIGHTS.items() if len(k) == depth)
         return f"CASE{cases} ELSE 1.0 END"
 
-    steps, parent = [], "SELECT *, least(sum(tokens) OVER () * 0.8::DOUBLE, sum(tokens) OVER () * 2.0::DOUBLE) AS given0 FROM leaf"
+    steps, parent = [], "SELECT *, least(sum(tokens) OVER () * 0.8::DOUBLE, sum(usable) OVER () * 2.0::DOUBLE) AS given0 FROM leaf"
     for d in (1, 2, 3):
         path, family = ", ".join(f"n{i}" for i in range(d)), ", ".join(f"n{i}" for i in range(d - 1)) or "1"
         joined = " AND ".join(f"p.n{i} = k.n{i}" for i in range(d))
         steps.append(f"""
   up{d} AS ({parent}),
-  kid{d} AS (SELECT {path}, any_value(given{d - 1}) AS purse, 2.0 * sum(tokens) AS room, any_value({weight(d)}) AS w FROM up{d} GROUP BY {path}),
+  kid{d} AS (SELECT {path}, any_value(given{d - 1}) AS purse, 2.0 * sum(usable) AS room, any_value({weight(d)}) AS w FROM up{d} GROUP BY {path}),
   test{d} AS (SELECT *, w > 0 AND coalesce(sum(room) OVER rise, 0) + room / w * (sum(w) OVER kin - coalesce(sum(w) OVER rise, 0)) <= purse * (1 + 1e-12) AS sated
     FROM kid{d} WINDOW kin AS (PARTITION BY {family}), rise AS (PARTITION BY {family} ORDER BY CASE WHEN w > 0 THEN room / w ELSE 'inf'::DOUBLE END, {path}
       RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
@@ -127,7 +127,8 @@ WITH doc AS (
     coalesce(lang, '') AS n1, coalesce(source, '') AS n2,
     coalesce(len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')), 0) AS size
   FROM documents),
-  leaf AS (SELECT n0, n1, n2, sum(size) AS tokens FROM doc GROUP BY ALL),{",".join(steps)},
+  leaf AS (SELECT *, CASE WHEN {" OR ".join(f"{weight(d)} = 0" for d in (1, 2, 3))} THEN 0 ELSE tokens END AS usable
+    FROM (SELECT n0, n1, n2, sum(size) AS tokens FROM doc GROUP BY ALL)),{",".join(steps)},
   plan AS (SELECT n0, n1, n2, tokens, floor(given3 / tokens + 1e-9)::BIGINT AS rounds, floor(given3 + 1e-6)::BIGINT AS whole FROM ({parent})),
   run AS (SELECT d.*, rounds, whole - rounds * tokens AS left_over,
       sum(size) OVER (PARTITION BY n0, n1, n2 ORDER BY md5('{MIX_SEED}:' || rounds || ':' || doc_id), size ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
