@@ -2,64 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
 
 
+def _ordered(df: DataFrame, value: str) -> Column:
+    """A number of any type as one that compares alike: as a double, and exactly where a decimal or long has more digits."""
+    exact = None if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else F.col(value)
+    return F.struct(F.col(value).cast("double").alias("about"),
+                    (F.lit(None) if exact is None else exact).cast("decimal(38,6)").alias("exact"))
+
+
 def add_rank(df: DataFrame, groups: list[str], value: str, out: str, slices: int | None = None) -> DataFrame:
     """``rank() over (partition by groups order by value desc)``, plus ``<out>_pct`` (percent_rank).
 
     ``groups`` may be empty for a rank over the whole table. ``df`` is read several times; pass a
     stored table if it is costly (:func:`add_ranks` does).
     """
-    return df.join(_rank_table(df, groups, value, out, slices), [*groups, value])
+    return _with_ranks(df, groups, {value: out}, slices)
 
 
 def add_ranks(df: DataFrame, groups: list[str], ranks: dict[str, str], slices: int | None = None) -> DataFrame:
     """Several ranks at once, ``{value column: rank column}``. ``df`` is written to the shared folder first."""
-    stored = materialize(df, "ranked")
-    out = stored
-    for value, name in ranks.items():
-        out = out.join(_rank_table(stored, groups, value, name, slices), [*groups, value])
-    return out
+    return _with_ranks(materialize(df, "ranked"), groups, ranks, slices)
+
+
+def _with_ranks(df: DataFrame, groups: list[str], ranks: dict[str, str], slices: int | None) -> DataFrame:
+    """``df`` with its ranks. The values of all ranked columns form one long table, so their order is worked out in one pass."""
+    entries = [F.struct(F.lit(i).alias("_ranked"), _ordered(df, value).alias("_value")) for i, value in enumerate(ranks)]
+    long = df.select(*groups, F.explode(F.array(*entries)).alias("_e")).select(*groups, "_e.*")
+    table = _rank_table(long, [*groups, "_ranked"], slices)
+    if len(ranks) > 1:
+        table = materialize(table, "ranks")
+    out = df
+    for i, (value, name) in enumerate(ranks.items()):
+        mine = table.where(F.col("_ranked") == i).select(*groups, "_value", F.col("_rank").alias(name), F.col("_pct").alias(f"{name}_pct"))
+        out = out.withColumn("_value", _ordered(df, value)).join(mine, [*groups, "_value"]).drop("_value")
+    return out.select(*df.columns, *[c for name in ranks.values() for c in (name, f"{name}_pct")])
 
 
-def _rank_table(df: DataFrame, groups: list[str], value: str, out: str, slices: int | None) -> DataFrame:
-    """Rank of every distinct (group, value).
+def _rank_table(long: DataFrame, groups: list[str], slices: int | None) -> DataFrame:
+    """``_rank`` and ``_pct`` of every distinct (group, ``_value``).
 
     Equal values are counted first. Each group's values are cut into slices at approximate
     quantiles; a value's rank is the size of the slices above it plus its position within its
     slice (by default as many as shuffle partitions). The quantiles only balance the slices: ranks are exact whatever they are. Values must
     not be null.
     """
-    slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    slices = slices or max(2, int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    about = F.col("_value.about")
+    counts = long.groupBy(*groups, "_value").agg(F.count(F.lit(1)).alias("_n"))
     probabilities = [i / slices for i in range(1, slices)]
     cuts = counts.groupBy(*groups).agg(
-        F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probabilities, 2000)).alias("_cuts"),
-        F.sum("_n").alias("_total"),
-    )
-    if groups:
-        placed = counts.join(cuts, groups)
-    else:
-        placed = counts.select("*", cuts.select(F.struct("_cuts", "_total")).scalar().alias("_c")).select("*", "_c.*").drop("_c")
-    placed = placed.withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(value).cast("double")))).drop("_cuts")
+        F.array_distinct(F.percentile_approx(about, probabilities, 2000)).alias("_cuts"), F.sum("_n").alias("_total"))
+    placed = counts.join(cuts, groups).withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < about))).drop("_cuts")
     totals = placed.groupBy(*groups, "_slice").agg(F.sum("_n").alias("_slice_n"))
     above = Window.partitionBy(*groups).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(*groups, "_slice", F.coalesce(F.sum("_slice_n").over(above), F.lit(0)).alias("_above"))
-    within = Window.partitionBy(*groups, "_slice").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        placed.join(base, [*groups, "_slice"])
-        .select(
-            *groups, value,
-            (F.col("_above") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + 1).alias(out),
-            "_total",
-        )
-        .withColumn(f"{out}_pct", F.when(F.col("_total") > 1, (F.col(out) - 1) / (F.col("_total") - 1)).otherwise(0.0))
-        .drop("_total")
-    )
+    within = Window.partitionBy(*groups, "_slice").orderBy(F.desc("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("_above") + F.coalesce(F.sum("_n").over(within), F.lit(0)) + 1
+    return placed.join(base, [*groups, "_slice"]).select(*groups, "_value", rank.alias("_rank"), "_total").withColumn(
+        "_pct", F.when(F.col("_total") > 1, (F.col("_rank") - 1) / (F.col("_total") - 1)).otherwise(0.0)).drop("_total")
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list, k: int, out: str = "rank") -> DataFrame:
