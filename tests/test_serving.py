@@ -86,3 +86,39 @@ def test_late_clicks_are_not_credited_to_earlier_orders(spark, base):
     run_available(file_sink(out, f"{base}/out", f"{base}/checkpoint"))
     got = {r["id"]: r["attributed"] for r in spark.read.schema(out.schema).parquet(f"{base}/out").collect()}
     assert got == {"same instant": True, "before": False, "after": True, "too late": False, "out of order": True, "click later": False}
+
+
+def test_a_failed_batch_leaves_nothing_visible(spark, base):
+    import os
+
+    from tiffinlake.sources.sinks import committed_sink, read_committed
+
+    spark.range(200).repartition(4).write.parquet(f"{base}/in")
+    os.makedirs(f"{base}/marks")
+    mark = f"{base}/marks/failed"
+
+    def flaky(frames):
+        for frame in frames:
+            if 7 in set(frame["id"]) and not os.path.exists(mark):
+                open(mark, "w").close()
+                raise RuntimeError("lost")
+            yield frame
+
+    schema = spark.range(0).schema
+    job = lambda: committed_sink(file_source(spark, f"{base}/in", schema).mapInPandas(flaky, "id long"), f"{base}/out", f"{base}/cp")
+    with pytest.raises(Exception, match="lost"):
+        run_available(job())
+    assert read_committed(spark, f"{base}/out", schema).count() == 0
+    run_available(job())
+    got = read_committed(spark, f"{base}/out", schema)
+    assert sorted(r["id"] for r in got.collect()) == list(range(200)) and got.select("batch").distinct().count() == 1
+
+
+def test_state_left_after_timers(spark, base):
+    from tiffinlake.streaming.state import state_left
+
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    stream = _files(spark, base, "seen", [[("a", at(0)), ("b", at(0))], [("b", at(50))], [("c", at(65))]], "user_id string, t timestamp")
+    out = processors.inactive_keys_stream(stream, "user_id", "t", "30 minutes")
+    run_available(file_sink(out, f"{base}/out", f"{base}/cp"))
+    assert {r["key"]["key"] for r in state_left(spark, f"{base}/cp", "last").collect()} == {"b", "c"}

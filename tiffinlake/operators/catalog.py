@@ -24,13 +24,16 @@ def categories(foods: DataFrame) -> DataFrame:
 
 
 def enrich_orders(orders: DataFrame, foods: DataFrame) -> DataFrame:
-    """Silver orders with the food's category and description; unknown items keep nulls.
+    """Silver orders with the food's category, description and preparation time; unknown items keep nulls.
+
+    A catalog without ``preparation_time`` leaves it null for all.
 
     The join strategy is left to AQE, which broadcasts the catalog only when its measured size allows.
     """
     details = foods.select(
         F.col("food_id").alias("item_id"), F.col("category").alias("enriched_category"),
-        F.col("description").alias("enriched_description"))
+        F.col("description").alias("enriched_description"),
+        (F.col("preparation_time") if "preparation_time" in foods.columns else F.lit(None)).cast("int").alias("enriched_preparation_time"))
     return orders.join(details, "item_id", "left")
 
 

@@ -150,7 +150,8 @@ class Inactivity(StatefulProcessor):
         yield self._fired(key, np.array([last]))
 
     def _fired(self, key, lasts: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"key": [key[0]] * len(lasts), "last_us": lasts.astype("int64"),
+        # Text keys as objects: the Arrow-backed text of a list can't be sent back.
+        return pd.DataFrame({"key": pd.Series([key[0]] * len(lasts), dtype=object), "last_us": lasts.astype("int64"),
                              "fired_us": lasts.astype("int64") + self._gap})
 
     def close(self) -> None:

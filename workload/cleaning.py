@@ -303,8 +303,9 @@ def catalog_categories(spark, sf):
 
 
 @query("enrich_silver_orders", events_sql("""
-SELECT s.event_id, s.item_id, f.category AS enriched_category, f.description AS enriched_description
-FROM silver_orders s LEFT JOIN foods f ON s.item_id = f.food_id""", FOODS_SQL.strip()))
+SELECT s.event_id, s.item_id, f.category AS enriched_category, f.description AS enriched_description, f.minutes AS enriched_preparation_time
+FROM silver_orders s LEFT JOIN (SELECT *, p_size AS minutes FROM foods JOIN part ON p_partkey = food_id) f ON s.item_id = f.food_id""", FOODS_SQL.strip()))
 def enrich_silver_orders(spark, sf):
-    return catalog.enrich_orders(silver_orders(spark, sf), foods(spark, sf)).select(
-        "event_id", "item_id", "enriched_category", "enriched_description")
+    minutes = table(spark, sf, "part").select(F.col("p_partkey").alias("food_id"), F.col("p_size").alias("preparation_time"))
+    return catalog.enrich_orders(silver_orders(spark, sf), foods(spark, sf).join(minutes, "food_id")).select(
+        "event_id", "item_id", "enriched_category", "enriched_description", "enriched_preparation_time")

@@ -9,8 +9,9 @@ from tiffinlake.operators import fraud
 from tiffinlake.operators.ads import COUNTERS
 from tiffinlake.schemas import STREAM_ORDER
 from tiffinlake.session import materialize, scratch
+from tiffinlake.sources import sinks
 from tiffinlake.sources.streams import batch_sink, file_sink, file_source, read_events_stream, run_available
-from tiffinlake.streaming import attribution, ingest, processors, profiles, windows
+from tiffinlake.streaming import attribution, ingest, processors, profiles, state, windows
 
 from .ads import _COUNTERS, _attributed_sql
 from .fraudwatch import (
@@ -64,6 +65,13 @@ def collected(spark, stream, label):
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def drained(spark, stream, label):
+    """The checkpoint of an append-mode stream that has processed everything; its rows are not kept."""
+    checkpoint = scratch(spark, f"{label}-checkpoint")
+    run_available(stream.writeStream.format("noop").option("checkpointLocation", checkpoint))
+    return checkpoint
+
+
 def completed(spark, stream, label):
     """Final state of a complete-mode aggregate."""
     path = scratch(spark, f"{label}-out")
@@ -125,6 +133,16 @@ def stream_inactive_users(spark, sf):
         "user_id", from_epoch_us("last_us").alias("ended"), from_epoch_us("fired_us").alias("fired"))
 
 
+@query("stream_state_left", "WITH " + _SESSIONS.strip() + """
+SELECT user_id, max(ended) AS ended FROM sessions GROUP BY user_id HAVING epoch_ms(max(ended)) + 10800000 >= (SELECT epoch_ms(max(ts)) FROM events)""")
+def stream_state_left(spark, sf):
+    """The users whose inactivity timer the watermark has not passed: they alone are still in the state."""
+    rows = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    out = processors.inactive_keys_stream(arriving(spark, rows, "ts", "left"), "user_id", "ts", "3 hours")
+    return state.state_left(spark, drained(spark, out, "left"), "last").select(
+        F.col("key.key").alias("user_id"), from_epoch_us("value.v").alias("ended"))
+
+
 @query("stream_attribution", events_sql(f"SELECT order_id, user_id, item_id FROM good_orders o WHERE {_attributed_sql('click', False)}"))
 def stream_attribution(spark, sf):
     orders = good_orders(spark, sf).select("order_id", "user_id", "item_id", F.col("event_timestamp").cast("timestamp").alias("event_timestamp"))
@@ -246,6 +264,25 @@ def stream_cooldown(spark, sf):
     return collected(spark, out.drop("key"), "cooldown")
 
 
+@query("stream_alert_sink", tx_sql("SELECT * FROM alerts", _ALL))
+def stream_alert_sink(spark, sf):
+    """Alerts through a sink whose batches are committed, read back from the files the commits name."""
+    path, alerts = scratch(spark, "sink"), all_alerts(spark, sf)
+    stream = arriving(spark, alerts, "detected_at", "sink")
+    run_available(sinks.committed_sink(stream, path, scratch(spark, "sink-checkpoint")))
+    return sinks.read_committed(spark, path, alerts.schema).drop("batch")
+
+
+@query("stream_cooldown_processing", cool_sql("SELECT a.* EXCLUDE (key) FROM keyed a QUALIFY row_number() OVER (PARTITION BY key ORDER BY detected_at, event_id) = 1", "1 day"))
+def stream_cooldown_processing(spark, sf):
+    """All alerts come within one period of the clock, so each key's first one passes, whatever the alerts' own times."""
+    alerts = _keyed(all_alerts(spark, sf))
+    out = processors.cooldown_stream(replay(spark, alerts, "alerts"), ["key"], period="30 days", clock="processing").drop("key")
+    path = scratch(spark, "processing-out")
+    run_available(file_sink(out, path, scratch(spark, "processing-checkpoint")), single_batch=True)
+    return spark.read.schema(out.schema).parquet(path)
+
+
 @query("stream_alert_store", tx_sql("SELECT * REPLACE (epoch_us(detected_at) // 1000 AS detected_at) FROM alerts", _ALL))
 def stream_alert_store(spark, sf):
     """Every alert once, from folders of which three were merged on the way."""
