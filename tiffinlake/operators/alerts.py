@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import epoch_us, micros, time_bucket
+from ..session import materialize
 from .fraud import SEVERITY_ORDER
 
 
@@ -35,16 +36,18 @@ def recent_with_total(alerts: DataFrame, limit: int = 200) -> DataFrame:
 def alert_stats(alerts: DataFrame, as_of: dt.datetime, top_users: int = 5, ts: str = "detected_at") -> DataFrame:
     """One long table ``(section, position, label, n)``: total, by type, by severity, top users, last hour, last day.
 
-    Totals, types and severities are grouping sets of one aggregate; users are a second one, of
-    which each task keeps its top few.
+    Alerts are counted once by user, type and severity, and all sections come from these counts, so
+    the rules that produced the alerts run once. Of the users each task keeps its top few.
     """
     age = epoch_us(F.lit(as_of)) - epoch_us(ts)
-    counts = [F.count(F.lit(1)).alias("n"), F.count_if(age < micros("1 hour")).alias("n_hour"),
-              F.count_if(age < micros("1 day")).alias("n_day")]
+    counted = materialize(alerts.groupBy("user_id", "alert_type", "severity").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(age < micros("1 hour")).alias("n_hour"), F.count_if(age < micros("1 day")).alias("n_day")), "alert-counts")
+    # A total of no alerts is 0, not null.
+    counts = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "n_hour", "n_day")]
     # Fixed value: severities are listed from most to least severe, unknown ones last.
     severity_rank = F.coalesce(F.nullif(F.array_position(F.lit(SEVERITY_ORDER), F.col("severity")), F.lit(0)),
                                F.lit(len(SEVERITY_ORDER) + 1))
-    grouped = alerts.groupingSets([[], [F.col("alert_type")], [F.col("severity")]], "alert_type", "severity").agg(
+    grouped = counted.groupingSets([[], [F.col("alert_type")], [F.col("severity")]], "alert_type", "severity").agg(
         F.grouping("alert_type").alias("no_type"), F.grouping("severity").alias("no_severity"), *counts)
     line = lambda section, label, n, order: F.struct(
         F.lit(section).alias("section"), label.alias("label"), F.col(n).alias("n"), order.cast("bigint").alias("sort"))
@@ -56,7 +59,7 @@ def alert_stats(alerts: DataFrame, as_of: dt.datetime, top_users: int = 5, ts: s
             line("total", everything, "n", F.lit(1)), line("last_hour", everything, "n_hour", F.lit(1)),
             line("last_day", everything, "n_day", F.lit(1))))).alias("x")).select("x.*")
     top = (
-        alerts.where("user_id is not null").groupBy(F.col("user_id").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+        counted.where("user_id is not null").groupBy(F.col("user_id").alias("label")).agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "label").limit(top_users)
         .select(F.lit("top_users").alias("section"), "label", "n", (-F.col("n")).alias("sort"))
     )

@@ -71,10 +71,11 @@ def enrich_many(
         return fact.join(combined, key)
     copied: set[int] = set()
     if broadcast in ("all", "smallest"):
-        sizes = {i: measured_bytes(d) for i, (d, _) in enumerate(dims)}
         room = max_broadcast_mb * 1024 * 1024
+        # Only what the planner holds for small is measured.
+        sizes = {i: measured_bytes(d) for i, (d, _) in enumerate(dims) if planned_bytes(d) <= room}
         for i in sorted(sizes, key=sizes.get)[: 1 if broadcast == "smallest" else None]:
-            if sizes[i] <= room and planned_bytes(dims[i][0]) <= max_broadcast_mb * 1024 * 1024:
+            if sizes[i] <= room:
                 copied.add(i)
                 room -= sizes[i]
     elif broadcast != "auto":

@@ -50,17 +50,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder.
+    Only a local session that names none, where driver and executors are one process, gets a
+    temporary folder, which its Spark context then remembers.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tiffinlake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tiffinlake-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -72,4 +71,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a frame from :func:`materialize` that nothing reads any more."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

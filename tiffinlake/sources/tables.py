@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.dedup import dedup_latest
-from ..session import materialize
+from ..session import discard, materialize
 from .files import delete_path, files_by_folder, partition_folder, path_exists, rebalanced
 
 
@@ -106,7 +106,9 @@ def merge_insert(source: DataFrame, path: str, keys: list[str], partition_by: li
     fresh = not_matched(source, _touched(source, path, partition_by), keys) if path_exists(spark, path) else source
     staged = materialize(fresh, "merge")
     write_table(staged, path, partition_by)
-    return staged.count()  # from the files' footers
+    stored = staged.count()  # from the files' footers
+    discard(staged)
+    return stored
 
 
 def merge_upsert(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> None:
@@ -130,6 +132,7 @@ def merge_upsert(source: DataFrame, path: str, keys: list[str], partition_by: li
         replace_partition(staged, path, partition_by)
     else:
         staged.write.mode("overwrite").parquet(path)
+    discard(staged)
 
 
 def append_idempotent(df: DataFrame, path: str, key: str, partition_by: list[str]) -> int:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.ads import ATTRIBUTION_WINDOW, COUNTERS
-from ..session import materialize
+from ..session import discard, materialize
 from ..sources.serving import BATCH, MERGE_EVERY, ServingTable, appended, summed
 from ..sources.streams import batch_sink
 from .windows import with_watermark
@@ -98,6 +98,7 @@ def apply_with_changes(batch: DataFrame, batch_id: int, path: str, every: int =
     increments = materialize(counter_increments(batch), "increments")
     feed.write(counter_changes(increments, counters.without(batch_id)), batch_id)
     counters.write(increments, batch_id)
+    discard(increments)
 
 
 def billing_increments(events: DataFrame, path: str, checkpoint: str, every: int = MERGE_EVERY) -> DataStreamWriter:

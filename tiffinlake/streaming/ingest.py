@@ -7,7 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.aggregates import revenue_by
 from ..schemas import STREAM_ORDER
-from ..session import materialize
+from ..session import discard, materialize
 from ..sources.bronze import ingest_bronze
 from ..sources.files import JSON_TIME
 from ..sources.serving import MERGE_EVERY, ServingTable, appended
@@ -62,6 +62,7 @@ def ingest_stream(messages: DataFrame, base: str, checkpoint: str, every: int =
             staged = materialize(routed[name], "ingest")
             received = staged.count()
             stored = append_idempotent(staged, f"{base}/{name}", "ingestion_id", ["partition_date"])
+            discard(staged)
             rows.append((name, received, stored, received - stored))
         counts.write(batch.sparkSession.createDataFrame(rows, _COUNTS), batch_id)
 

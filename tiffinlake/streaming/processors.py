@@ -76,14 +76,17 @@ class Cooldown(StatefulProcessor):
         batch = _in_order(rows, "at_us", "event_id")
         if not self._last.exists():
             self._handle.registerTimer(_timer_ms(int(batch["at_us"].iloc[0]) + self._period))
-        last = self._last.get()[0] if self._last.exists() else None
-        keep = np.zeros(len(batch), dtype=bool)
-        for i, t in enumerate(batch["at_us"].to_numpy()):
-            if last is None or t - last > self._period:
-                last = int(t)
-                keep[i] = True
+        at = batch["at_us"].to_numpy()
+        last = int(self._last.get()[0]) if self._last.exists() else None
+        passed = []
+        # From one row that passes to the next; those between are not looked at.
+        i = 0 if last is None else int(np.searchsorted(at, last + self._period, "right"))
+        while i < len(at):
+            passed.append(i)
+            last = int(at[i])
+            i = int(np.searchsorted(at, last + self._period, "right"))
         self._last.update((last,))
-        yield batch[keep]
+        yield batch.iloc[passed]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         last = int(self._last.get()[0])
