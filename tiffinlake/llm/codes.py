@@ -39,7 +39,7 @@ RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 22
 # Bytes of the source files for each part of the table.
 PART_BYTES = 32 << 20
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 1_500_000
 MEMORY = 400_000
 
 
@@ -111,15 +111,15 @@ class Coder:
         self.memory: dict[bytes, int] = {}
         self.ids, self.begin, self.count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-    def _library(self, piece: bytes) -> list[int]:
-        """One word goes straight to the library's model, in its letters for bytes; anything else through the whole library."""
-        if WORD.fullmatch(piece):
-            return [t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(self.letters))]
-        return self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-
     def _learn(self, new: list[bytes]) -> None:
-        coded = [self._library(p) for p in new]
-        self.memory.update(zip(new, range(len(self.memory), len(self.memory) + len(new))))
+        """Words go straight to the library's model, in its letters for bytes; anything else through the whole library."""
+        words = [p for p in new if WORD.fullmatch(p)]
+        others = list(set(new).difference(words))
+        tokenize, feed = self.tokenizer.model.tokenize, self.letters[ord("\n")]
+        spelled = b"\n".join(words).decode("latin-1").translate(self.letters).split(feed) if words else []
+        coded = [[t.id for t in tokenize(w)] for w in spelled]
+        coded += [self.tokenizer.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids for p in others]
+        self.memory.update(zip([*words, *others], range(len(self.memory), len(self.memory) + len(new))))
         count = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         self.begin = np.r_[self.begin, len(self.ids) + np.cumsum(count) - count]
         self.count = np.r_[self.count, count]
