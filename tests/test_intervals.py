@@ -107,7 +107,7 @@ def greedy(data, period):
     return sorted(keep)
 
 
-@pytest.mark.parametrize("options", [{}, {"listed": 1}, {"listed": 4}])
+@pytest.mark.parametrize("options", [{}, {"listed": 1, "walked": 1}, {"listed": 4, "walked": 9}, {"walked": 1}])
 @pytest.mark.parametrize("seed", range(2))
 def test_cooldown_equals_the_state_machine(spark, seed, options):
     data = [d for d in noisy(seed, 600, span=30000) if d[0]]
@@ -116,6 +116,12 @@ def test_cooldown_equals_the_state_machine(spark, seed, options):
     assert sorted(r.event_id for r in out.collect()) == greedy(data, 300)
 
 
+def test_cooldown_of_null_keys_and_no_rows(spark):
+    df = spark.createDataFrame([(None, 1, at(0), 0), (None, 2, at(10), 0), ("u", 3, at(5), 0), ("u", 4, None, 0)], SCHEMA)
+    assert sorted(r.event_id for r in cooldown(df, ["user"], "t", "5 minutes").collect()) == [1, 3]
+    assert cooldown(df.limit(0), ["user"], "t", "5 minutes").collect() == []
+
+
 def test_cooldown_needs_more_than_the_period(spark):
     df = spark.createDataFrame([("u", 1, at(0), 0), ("u", 2, at(300), 0), ("u", 3, at(300, 1), 0)], SCHEMA)
     assert sorted(r.event_id for r in cooldown(df, ["user"], "t", "5 minutes").collect()) == [1, 3]
@@ -137,6 +143,7 @@ def test_busy_buckets_are_walked_in_slices(spark, slice_rows):
 def test_no_slice_holds_much_of_a_hot_key(spark):
     # One user has all rows, in one bucket of the window.
     df = spark.range(20_000).select(F.lit("u").alias("user"), "id", F.lit(0).alias("b"), (F.col("id") * 1000).alias("at"))
-    cut = intervals._in_slices(df, ["user", "b"], "at", F.lit(0), 20_000_000, {"n": F.count(F.lit(1))}, 500)
+    cut = intervals._in_slices(df, ["user", "b"], "at", F.lit(0), 20_000_000, {"n": F.count(F.lit(1))},
+                               df.groupBy("user", "b").agg(F.count(F.lit(1)).alias("_n")), 500)
     sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
     assert sum(sizes) == 20_000 and max(sizes) <= 600 and len(sizes) >= 35

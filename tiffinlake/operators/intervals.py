@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import epoch_us, micros, time_bucket
+from ..session import materialize
 
 # Rows of a (key, bucket) that one task walks; larger ones are cut into slices of so many at cells of the bucket.
 SLICE_ROWS = 500_000
@@ -105,34 +106,42 @@ def interval_join(
 
 
 def _in_slices(rows: DataFrame, group: list[str], at: str, start: Column, width: int, measures: dict[str, Column],
-               slice_rows: int) -> DataFrame:
+               sizes: DataFrame, slice_rows: int) -> DataFrame:
     """``rows`` plus ``_slice`` and, for each measure, ``_base_<name>``: its total over the group's earlier slices.
 
-    A group of at most ``slice_rows`` rows is one slice. A larger one is cut between the cells of its time
-    line at measured counts, so that no slice has more rows than that and one cell; rows of one
-    instant stay together. Only the cells of large groups are looked up, a few for each slice of theirs.
+    ``sizes`` has a count ``_n`` for each group. Groups of at most ``slice_rows`` rows are one slice; mostly
+    there are no others. A larger one is cut between the cells of its time line at measured counts, so that no
+    slice has more rows than that and one cell; rows of one instant stay together. Only the cells of
+    large groups are looked up, a few for each slice of theirs.
     """
+    nothing = [F.lit(0).alias("_slice"), *[F.lit(0).alias(f"_base_{n}") for n in measures]]
+    large = sizes.where(F.col("_n") > slice_rows).select(*group)
+    if large.isEmpty():
+        return rows.select("*", *nothing)
     cell = F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor((F.col(at) - start) * (CELLS / width)))).cast("int")
     placed = rows.withColumn("_cell", cell)
-    cells = placed.groupBy(*group, "_cell").agg(F.count(F.lit(1)).alias("_n"), *[m.alias(f"_sum_{n}") for n, m in measures.items()])
-    whole = Window.partitionBy(*group)
-    earlier = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = placed.join(large, group, "left_semi").groupBy(*group, "_cell").agg(
+        F.count(F.lit(1)).alias("_n"), *[m.alias(f"_sum_{n}") for n, m in measures.items()])
+    earlier = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
-    large = (
-        cells.withColumn("_all", F.sum("_n").over(whole)).where(F.col("_all") > slice_rows)
-        .withColumn("_slice", F.floor(before("_n") / F.lit(slice_rows)).cast("int"))
-        .select("*", *[before(f"_sum_{n}").alias(f"_until_{n}") for n in measures])
-    )
+    cut = cells.withColumn("_slice", F.floor(before("_n") / F.lit(slice_rows)).cast("int")).select(
+        "*", *[before(f"_sum_{n}").alias(f"_until_{n}") for n in measures])
     first = Window.partitionBy(*group, "_slice").orderBy("_cell")
-    lookup = large.select(*group, "_cell", "_slice", *[F.first(f"_until_{n}").over(first).alias(f"_base_{n}") for n in measures])
-    # Large groups have no null keys: these are left out before.
+    lookup = materialize(cut.select(*group, "_cell", "_slice", *[F.first(f"_until_{n}").over(first).alias(f"_base_{n}") for n in measures]), "slices")
+    # Groups have no null keys: these are left out before.
     return placed.join(lookup, [*group, "_cell"], "left").select(
         *rows.columns, F.coalesce("_slice", F.lit(0)).alias("_slice"), *[F.coalesce(f"_base_{n}", F.lit(0)).alias(f"_base_{n}") for n in measures])
 
 
-def _running(points: DataFrame, keys: list[str], totals: list[str], width: int, slice_rows: int) -> DataFrame:
-    """Running totals of signed steps within (key, bucket), steps of one instant and phase together."""
-    cut = _in_slices(points, [*keys, "_b"], "_at", F.col("_b") * F.lit(width), width, {c: F.sum(c) for c in totals}, slice_rows)
+def _running(points: DataFrame, keys: list[str], totals: list[str], width: int, instants: DataFrame, slice_rows: int) -> DataFrame:
+    """Running totals of signed steps within (key, bucket), steps of one instant and phase together.
+
+    ``instants`` are rows with key and bucket of which each brings at most a few steps to its bucket and the next.
+    """
+    sizes = instants.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    next_too = F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b")
+    sizes = sizes.where(F.col("_n") * 6 > slice_rows).select(*keys, next_too, (F.col("_n") * 3).alias("_n")).groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
+    cut = _in_slices(points, [*keys, "_b"], "_at", F.col("_b") * F.lit(width), width, {c: F.sum(c) for c in totals}, sizes, slice_rows)
     w = (
         Window.partitionBy(*keys, "_b", "_slice").orderBy("_at", "_phase")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -178,8 +187,11 @@ def interval_totals(
         .select(*keys, time_bucket("_at", w).alias("_b"), "_at", F.lit(_PROBE).alias("_phase"))
     )
     moves = steps.unionByName(carried).unionByName(probes, allowMissingColumns=True)
+    buckets = lambda df, ts, lag: df.where(_all_present(keys) & F.col(ts).isNotNull()).select(
+        *keys, time_bucket(epoch_us(ts) + F.lit(lag), w).alias("_b"))
+    source_buckets, probe_buckets = buckets(source, source_ts, 0), buckets(probe, probe_ts, lag_us)
     return (
-        _running(moves, keys, names, w, slice_rows)
+        _running(moves, keys, names, w, source_buckets.unionByName(probe_buckets), slice_rows)
         .where(F.col("_phase") == _PROBE)
         .select(*keys, (F.col("_at") - F.lit(lag_us)).alias("at_us"),
                 *[F.col(f"_run_{n}").alias(n) for n in names])
@@ -239,8 +251,9 @@ def trailing_distinct(
         .select(*keys, epoch_us(ts).alias("_at")).distinct()
         .select(*keys, time_bucket("_at", w).alias("_b"), "_at", F.lit(_PROBE).alias("_phase"))
     )
+    source_buckets = source.where(_all_present([*keys, member]) & F.col(ts).isNotNull()).select(*keys, time_bucket(epoch_us(ts), w).alias("_b"))
     return (
-        _running(moves.unionByName(probes, allowMissingColumns=True), keys, ["_d"], w, slice_rows)
+        _running(moves.unionByName(probes, allowMissingColumns=True), keys, ["_d"], w, source_buckets, slice_rows)
         .where(F.col("_phase") == _PROBE)
         .select(*keys, F.col("_at").alias("at_us"), F.col("_run__d").alias(out))
     )
@@ -262,7 +275,8 @@ def running_count(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
         sliced.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
         .select(*keys, "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     )
-    cut = _in_slices(sliced, [*keys, "_b"], "_at", F.col("_b") * F.lit(width), width, {"n": F.count(F.lit(1))}, slice_rows)
+    sizes = sliced.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    cut = _in_slices(sliced, [*keys, "_b"], "_at", F.col("_b") * F.lit(width), width, {"n": F.count(F.lit(1))}, sizes, slice_rows)
     within = Window.partitionBy(*keys, "_b", "_slice").orderBy(ts, *tiebreak)
     return (
         cut.join(base, [*keys, "_b"])
