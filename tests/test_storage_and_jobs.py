@@ -189,3 +189,19 @@ def test_leading_columns_name_all_below(spark, base):
     write_table(spark.createDataFrame([(1, 1, "x"), (2, 1, "y"), (3, 2, "x")], "id int, hour int, kind string"), path, ["hour", "kind"])
     replace_partition(spark.createDataFrame([(9, 1, "x")], "id int, hour int, kind string"), path, ["hour", "kind"], [{"hour": 1}])
     assert {r["id"] for r in spark.read.parquet(path).collect()} == {9, 3}
+
+
+def test_bronze_files_are_small_on_disk_and_bounded(spark, base, monkeypatch):
+    import glob
+    import os
+
+    monkeypatch.setitem(files.BRONZE_FILES, "maxRecordsPerFile", "4000")
+    sent = spark.range(10_000).select(F.col("id").cast("string").alias("event_id"), F.lit("2024-03-01T05:00:00").alias("ingestion_time"),
+                                      F.lit("2024-03-01T04:00:00").alias("event_time"))
+    files.write_bronze_jsonl(sent, base)
+    stored = glob.glob(f"{base}/bronze/*/*/*/*/part-*")
+    lines = sent.select(F.sum(F.length(F.to_json(F.struct("*"))) + 1)).first()[0]
+    # Compressed files do not split, so none may hold more records than named.
+    assert sum(map(os.path.getsize, stored)) < lines / 3 and all(p.endswith(".json.gz") for p in stored)
+    assert max(spark.read.json(p).count() for p in stored) <= 4000
+    assert files.read_bronze(spark, base).select("event_id").distinct().count() == 10_000
