@@ -134,3 +134,59 @@ def test_streams_keep_the_time_type(spark, base):
     from tiffinlake.streaming.processors import velocity_stream
     out = _by_files(spark, base, [[(i, 1, "d", "o", 1.0, "A", at(i)) for i in range(5)]], velocity_stream)
     assert dict(out.dtypes)["detected_at"] == "timestamp_ntz" and out.count() == 2
+
+
+class _Held:
+    """A state variable and its handle in one; a call that is not here fails."""
+
+    def __init__(self, rows=()):
+        self.rows, self.timers, self.calls = list(rows), [], 0
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.calls += 1
+        self.rows = list(rows)
+
+    def appendList(self, rows):
+        self.calls += 1
+        self.rows += rows
+
+    def getListState(self, name, schema):
+        return self
+
+    def registerTimer(self, at_ms):
+        self.calls += 1
+        self.timers.append(at_ms)
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_lists_of_a_crowded_device_come_in_pieces(monkeypatch):
+    import pandas as pd
+
+    from tiffinlake.streaming.processors import LongTrailingMembers
+    monkeypatch.setattr(LongTrailingMembers, "PIECE", 60)
+    held, rule = _Held(), LongTrailingMembers(1000, 3)
+    rule.init(held)
+    frame = pd.DataFrame({"event_id": range(50), "member": [str(i) for i in range(50)], "at_us": range(50)})
+    pieces = list(rule.handleInputRows(("d",), iter([frame[25:], frame[:25]]), held))
+    assert len(pieces) > 10 and max(sum(map(len, p["members"])) for p in pieces) < 60 + 50
+    got = {i: m for p in pieces for i, m in zip(p["event_id"], p["members"])}
+    assert got == {i: sorted(str(k) for k in range(i + 1)) for i in range(3, 50)}
+
+
+def test_a_key_without_news_costs_three_calls():
+    from pyspark.sql import Row
+
+    from tiffinlake.streaming.processors import TrailingCount, TrailingMembers
+    for rule in (TrailingCount(1000, 3), TrailingMembers(1000, 1, new_only=True)):
+        held = _Held()
+        rule.init(held)
+        came = [Row(event_id=2, member="b", at_us=20), Row(event_id=1, member="a", at_us=10)]
+        out = list(rule.handleInputRows((1,), iter(came), held))
+        assert held.calls == 3 and sorted(t for _, t in held.rows) == [10, 20]
+        assert [(r.event_id, r.members) for r in out] == ([] if isinstance(rule, TrailingCount) else [(2, ["a", "b"])])

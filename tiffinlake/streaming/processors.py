@@ -10,12 +10,13 @@ every key.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -38,8 +39,17 @@ def _reach(timers, window_us: int) -> int:
     return timers.getCurrentWatermarkInMs() * 1000 - window_us
 
 
-def _in_order(rows: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(list(by), kind="stable")
+def _in_order(rows: Iterator[Row], *by: str) -> list[Row]:
+    """A key's rows by these columns, nulls last."""
+    return sorted(rows, key=lambda row: [(row[c] is None, row[c]) for c in by])
+
+
+def _with(rows: list[Row], name: str, values: Iterable) -> Iterator[Row]:
+    """The rows with one more column."""
+    if rows:
+        wider = Row(*rows[0].__fields__, name)
+        for row, value in zip(rows, values):
+            yield wider(*row, value)
 
 
 class RunningCount(StatefulProcessor):
@@ -50,10 +60,9 @@ class RunningCount(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us", "event_id")
-        before = self._count.get()[0] if self._count.exists() else 0
-        batch["running_count"] = before + np.arange(1, len(batch) + 1)
-        self._count.update((int(before + len(batch)),))
-        yield batch
+        before = (self._count.get() or (0,))[0]
+        self._count.update((before + len(batch),))
+        return _with(batch, "running_count", range(before + 1, before + len(batch) + 1))
 
     def close(self) -> None:
         pass
@@ -74,19 +83,21 @@ class Cooldown(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us", "event_id")
-        if not self._last.exists():
-            self._handle.registerTimer(_timer_ms(int(batch["at_us"].iloc[0]) + self._period))
-        at = batch["at_us"].to_numpy()
-        last = int(self._last.get()[0]) if self._last.exists() else None
+        at = [row["at_us"] for row in batch]
+        known = self._last.get()
+        if known is None:
+            self._handle.registerTimer(_timer_ms(at[0] + self._period))
+        last = None if known is None else known[0]
         passed = []
         # From one row that passes to the next; those between are not looked at.
-        i = 0 if last is None else int(np.searchsorted(at, last + self._period, "right"))
+        i = 0 if last is None else bisect_right(at, last + self._period)
         while i < len(at):
-            passed.append(i)
-            last = int(at[i])
-            i = int(np.searchsorted(at, last + self._period, "right"))
-        self._last.update((last,))
-        yield batch.iloc[passed]
+            passed.append(batch[i])
+            last = at[i]
+            i = bisect_right(at, last + self._period)
+        if passed:
+            self._last.update((last,))
+        return iter(passed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         last = int(self._last.get()[0])
@@ -113,12 +124,10 @@ class ProcessingTimeCooldown(StatefulProcessor):
         self._open = handle.getValueState("open", _LONG, self._period)
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = _in_order(rows, "at_us", "event_id")
         if self._open.exists():
-            yield batch.iloc[:0]
-        else:
-            self._open.update((1,))
-            yield batch.iloc[:1]
+            return iter(())
+        self._open.update((1,))
+        return iter(_in_order(rows, "at_us", "event_id")[:1])
 
     def close(self) -> None:
         pass
@@ -135,27 +144,28 @@ class Inactivity(StatefulProcessor):
         self._last = handle.getValueState("last", _LONG)
 
     def handleInputRows(self, key, rows, timerValues):
-        times = np.sort(np.concatenate([pdf["at_us"].to_numpy() for pdf in rows]))
-        stored = int(self._last.get()[0]) if self._last.exists() else None
-        line = times if stored is None else np.sort(np.append(times, stored))
-        closed = line[:-1][np.diff(line) >= self._gap]
-        last = int(line[-1])
-        self._last.update((last,))
-        for timer in list(self._handle.listTimers()):
-            self._handle.deleteTimer(timer)
-        # Timers have millisecond resolution; round up so that none fires early.
-        self._handle.registerTimer(-(-(last + self._gap) // 1000))
-        yield self._fired(key, closed)
+        known = self._last.get()
+        stored = [] if known is None else [known[0]]
+        line = sorted(stored + [row["at_us"] for row in rows])
+        if stored != line[-1:]:
+            self._last.update((line[-1],))
+            # The last activity is all there is to a timer, so the one to replace is known without a list.
+            if stored:
+                self._handle.deleteTimer(self._timer(stored[0]))
+            self._handle.registerTimer(self._timer(line[-1]))
+        return self._fired(key, [a for a, b in zip(line, line[1:]) if b - a >= self._gap])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last = int(self._last.get()[0])
+        last = self._last.get()[0]
         self._last.clear()
-        yield self._fired(key, np.array([last]))
+        return self._fired(key, [last])
 
-    def _fired(self, key, lasts: np.ndarray) -> pd.DataFrame:
-        # Text keys as objects: the Arrow-backed text of a list can't be sent back.
-        return pd.DataFrame({"key": pd.Series([key[0]] * len(lasts), dtype=object), "last_us": lasts.astype("int64"),
-                             "fired_us": lasts.astype("int64") + self._gap})
+    def _timer(self, last: int) -> int:
+        """Timers have millisecond resolution; rounded up so that none fires early."""
+        return -(-(last + self._gap) // 1000)
+
+    def _fired(self, key, lasts: list[int]) -> Iterator[Row]:
+        return iter([Row(key=key[0], last_us=t, fired_us=t + self._gap) for t in lasts])
 
     def close(self) -> None:
         pass
@@ -175,7 +185,7 @@ class _Trailing(StatefulProcessor):
         self._seen = handle.getListState("seen", _MEMBER)
 
     def _stored(self) -> list[tuple[str | None, int]]:
-        return [(m, int(t)) for m, t in self._seen.get()] if self._seen.exists() else []
+        return [(m, t) for m, t in self._seen.get()]
 
     def _store(self, stored: list, fresh: list, timers) -> None:
         reach = _reach(timers, self._window)
@@ -211,12 +221,11 @@ class TrailingCount(_Trailing):
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us")
         stored = self._stored()
-        at = batch["at_us"].to_numpy()
-        line = np.sort(np.concatenate([np.array([t for _, t in stored], dtype="int64"), at]))
-        n = np.searchsorted(line, at, "right") - np.searchsorted(line, at - self._window, "left")
-        self._store(stored, [(None, int(t)) for t in at], timerValues)
-        batch["n"] = n
-        yield batch[n > self._limit]
+        at = [row["at_us"] for row in batch]
+        line = sorted([t for _, t in stored] + at)
+        n = [bisect_right(line, t) - bisect_left(line, t - self._window) for t in at]
+        self._store(stored, [(None, t) for t in at], timerValues)
+        return _with([row for row, k in zip(batch, n) if k > self._limit], "n", [k for k in n if k > self._limit])
 
 
 class TrailingMembers(_Trailing):
@@ -231,12 +240,18 @@ class TrailingMembers(_Trailing):
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us")
+        crowds = list(self._crowds([(row["member"], row["at_us"]) for row in batch], timerValues))
+        return _with([row for row, c in zip(batch, crowds) if c], "members", [c for c in crowds if c])
+
+    def _crowds(self, came: list[tuple[str, int]], timers) -> Iterator[list[str] | None]:
+        """The members that each row, given by member and time in order of time, passes with; none if it does not."""
         stored = self._stored()
-        fresh = sorted(set(zip(batch["member"], batch["at_us"].map(int))) - set(stored), key=lambda x: x[1])
+        fresh = sorted(set(came) - set(stored), key=lambda x: x[1])
+        if fresh:
+            self._store(stored, fresh, timers)
         line = sorted(stored + fresh, key=lambda x: x[1])
         window, lo, hi = Counter(), 0, 0
-        keep, members = [], []
-        for t, peers in batch.groupby("at_us", sort=True)["member"]:
+        for t, peers in groupby(came, key=lambda x: x[1]):
             while hi < len(line) and line[hi][1] < t:
                 window[line[hi][0]] += 1
                 hi += 1
@@ -246,19 +261,41 @@ class TrailingMembers(_Trailing):
                 if not window[gone]:
                     del window[gone]
                 lo += 1
-            known = {m for m in set(peers) if m in window} if self._new_only else set()
+            members = [m for m, _ in peers]
+            known = {m for m in members if m in window} if self._new_only else set()
             while hi < len(line) and line[hi][1] == t:
                 window[line[hi][0]] += 1
                 hi += 1
             crowd = sorted(window) if len(window) > self._limit else None
-            passes = [crowd is not None and m not in known for m in peers]
-            keep += passes
-            members += [crowd] * sum(passes)
-        if fresh:
-            self._store(stored, fresh, timerValues)
-        out = batch[np.array(keep, dtype=bool)].copy()
-        out["members"] = pd.Series(members, index=out.index, dtype=object)
-        yield out
+            yield from (None if m in known else crowd for m in members)
+
+
+class LongTrailingMembers(TrailingMembers):
+    """The same for keys whose windows hold very many members, such as devices: frames in and out, results in pieces.
+
+    A key's lists together may be far larger than its rows, so no more than ``PIECE`` members are held at a time.
+    """
+
+    PIECE = 200_000
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("at_us", kind="stable")
+        passed, crowds, held = [], [], 0
+        for i, crowd in enumerate(self._crowds(list(zip(batch["member"], batch["at_us"].tolist())), timerValues)):
+            if crowd:
+                passed.append(i)
+                crowds.append(crowd)
+                held += len(crowd)
+            if held >= self.PIECE:
+                yield self._piece(batch, passed, crowds)
+                passed, crowds, held = [], [], 0
+        yield self._piece(batch, passed, crowds)
+
+    @staticmethod
+    def _piece(batch: pd.DataFrame, passed: list[int], crowds: list[list[str]]) -> pd.DataFrame:
+        out = batch.iloc[passed].copy()
+        out["members"] = pd.Series(crowds, index=out.index, dtype=object)
+        return out
 
 
 class ArrivalAttribution(_Trailing):
@@ -272,20 +309,25 @@ class ArrivalAttribution(_Trailing):
     def handleInputRows(self, key, rows, timerValues):
         batch = _in_order(rows, "at_us")
         stored = self._stored()
-        at, is_order = batch["at_us"].to_numpy(), batch["is_order"].to_numpy(dtype=bool)
-        known = np.array([t for _, t in stored], dtype="int64")
-        fresh = np.setdiff1d(at[~is_order], known)
-        line = np.sort(np.concatenate([known, fresh]))
-        orders = batch[is_order].copy()
-        t = at[is_order]
-        orders["attributed"] = np.searchsorted(line, t, "right") > np.searchsorted(line, t - self._window, "left")
-        if len(fresh):
-            self._store(stored, [(None, int(c)) for c in fresh], timerValues)
-        yield orders.drop(columns="is_order")
+        known = {t for _, t in stored}
+        fresh = sorted({row["at_us"] for row in batch if not row["is_order"]} - known)
+        line = sorted([*known, *fresh])
+        orders = [row for row in batch if row["is_order"]]
+        credited = [bisect_right(line, t) > bisect_left(line, t - self._window) for t in (row["at_us"] for row in orders)]
+        if fresh:
+            self._store(stored, [(None, t) for t in fresh], timerValues)
+        return _with(orders, "attributed", credited)
 
 
 def _apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: T.StructType | str,
            time_mode: str = "None") -> DataFrame:
+    """Keys come with few rows in a micro-batch, and a frame for each would cost far more than its rows."""
+    return df.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode)
+
+
+def _apply_frames(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: T.StructType | str,
+                  time_mode: str = "None") -> DataFrame:
     return df.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode)
 
@@ -350,16 +392,16 @@ def velocity_stream(df: DataFrame, limit: int = fraud.VELOCITY_LIMIT, window: st
     return hits.select(*fraud.alert_columns(fraud.VELOCITY, message, ts, [F.col("n").alias("order_count")]))
 
 
-def _members(df: DataFrame, key: str, member: str, window: str, ts: str, delay: str, limit: int, new_only: bool = False) -> DataFrame:
+def _members(df: DataFrame, key: str, member: str, processor: TrailingMembers, ts: str, delay: str, apply=_apply) -> DataFrame:
     timed = _watermarked(df, ts, delay).withColumn("member", F.col(member).cast("string"))
     out = _extended(timed, ("members", T.ArrayType(T.StringType())))
-    return _like(_apply(timed, [key], TrailingMembers(micros(window), limit, new_only), out, "EventTime"), df, ts)
+    return _like(apply(timed, [key], processor, out, "EventTime"), df, ts)
 
 
 def device_sharing_stream(df: DataFrame, limit: int = fraud.DEVICE_LIMIT, window: str = fraud.VELOCITY_WINDOW,
                           ts: str = "event_time", delay: str = DELAY) -> DataFrame:
     """Device-sharing alerts with the list of users, which the state holds anyway."""
-    hits = _members(df.where("user_id is not null"), "device_id", "user_id", window, ts, delay, limit)
+    hits = _members(df.where("user_id is not null"), "device_id", "user_id", LongTrailingMembers(micros(window), limit), ts, delay, _apply_frames)
     n = F.size("members")
     message = F.format_string(fraud.MESSAGES[fraud.DEVICE_SHARING], F.col("device_id").cast("string"), n.cast("string"))
     return hits.select(*fraud.alert_columns(
@@ -367,7 +409,7 @@ def device_sharing_stream(df: DataFrame, limit: int = fraud.DEVICE_LIMIT, window
 
 
 def geo_anomaly_stream(df: DataFrame, window: str = fraud.GEO_WINDOW, ts: str = "event_time", delay: str = DELAY) -> DataFrame:
-    hits = _members(df.where("user_id is not null and city is not null"), "user_id", "city", window, ts, delay, 1, new_only=True)
+    hits = _members(df.where("user_id is not null and city is not null"), "user_id", "city", TrailingMembers(micros(window), 1, new_only=True), ts, delay)
     hits = hits.withColumn("previous_cities", F.array_remove("members", F.col("city")))
     message = F.format_string(
         fraud.MESSAGES[fraud.GEO_ANOMALY], F.col("user_id").cast("string"), F.col("city"),
