@@ -14,6 +14,29 @@ def test_dedup_latest_ties_nulls_and_copies(spark):
         [("a", at(2), "z"), ("b", at(0), "m"), (None, at(3), "q")], df.schema))
 
 
+def _wide(spark, ids):
+    fields = [F.concat(F.lit(f"f{i}-"), F.col("n") % 7).alias(f"f{i}") for i in range(16)]
+    return spark.createDataFrame([(k, i) for i, k in enumerate(ids)], "k string, n long").select("k", "n", F.struct(*fields).alias("payload"))
+
+
+def test_wide_rows_are_sorted_in_bounded_tasks(spark):
+    df = _wide(spark, [f"k{i % 900}" for i in range(1000)] + [None, None])
+    out = dedup.dedup_latest(df, ["k"], ["n"], task_rows=100)
+    text = out._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "REPARTITION_BY_NUM" in text and text.count("Exchange hashpartitioning") == 1
+    assert out.rdd.getNumPartitions() == 11
+    got = {r["k"]: (r["n"], r["payload"]["f15"]) for r in out.collect()}
+    want = {f"k{i % 900}": (i, f"f15-{i % 7}") for i in range(1000)} | {None: (1001, f"f15-{1001 % 7}")}
+    assert got == want and out.count() == 901
+
+
+def test_wide_copies_of_a_busy_key_are_combined_before_the_shuffle(spark):
+    df = _wide(spark, ["hot"] * 500 + [f"k{i}" for i in range(100)])
+    out = dedup.dedup_latest(df, ["k"], ["n"], task_rows=100)
+    assert "REPARTITION_BY_NUM" not in out._jdf.queryExecution().toString()
+    assert {r["k"]: r["n"] for r in out.collect()} == {"hot": 499} | {f"k{i}": 500 + i for i in range(100)}
+
+
 def test_dedup_latest_keeps_map_columns(spark):
     df = spark.createDataFrame([("a", 1, {"x": "1"}), ("a", 2, {"x": "2"})], "k string, t int, m map<string,string>")
     assert dedup.dedup_latest(df, ["k"], ["t"]).first()["m"] == {"x": "2"}
