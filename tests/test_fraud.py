@@ -190,3 +190,11 @@ def test_a_key_without_news_costs_three_calls():
         out = list(rule.handleInputRows((1,), iter(came), held))
         assert held.calls == 3 and sorted(t for _, t in held.rows) == [10, 20]
         assert [(r.event_id, r.members) for r in out] == ([] if isinstance(rule, TrailingCount) else [(2, ["a", "b"])])
+
+
+def test_rules_read_stored_transactions(spark):
+    from workload import all_queries
+
+    for name in ("alert_union", "device_sharing_users"):
+        plan = all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "get_json_object" not in plan and "props" not in plan
