@@ -46,7 +46,8 @@ def _stored(schema: T.StructType) -> Column:
     return _event(flat, lambda e: F.struct(*typed_fields(e, flat)))
 
 
-def _readable(messages: DataFrame) -> DataFrame:
+def classified(messages: DataFrame) -> DataFrame:
+    """Messages with their raw text and the reason why they cannot be read, if there is one."""
     text = F.col("value").cast("string")
     is_object = F.coalesce(text.rlike(r"^\s*\{") & F.try_parse_json(text).isNotNull(), F.lit(False))
     lost = F.when(F.col("topic") == ORDERS_TOPIC, _event(ORDER_EVENT, lambda e: unconvertible(e, ORDER_EVENT))).otherwise(
@@ -66,7 +67,11 @@ def ingest_bronze(messages: DataFrame) -> dict[str, DataFrame]:
     topics and events with a value that does not convert to its type go to ``quarantine`` with a
     reason and the raw text. A timestamp that cannot be read is null, as are fields not sent.
     """
-    read = _readable(messages)
+    return routed(classified(messages))
+
+
+def routed(read: DataFrame) -> dict[str, DataFrame]:
+    """The three tables' rows out of :func:`classified` messages."""
     orders = (
         read.where(F.col("reason").isNull() & (F.col("topic") == ORDERS_TOPIC))
         .withColumn("e", _stored(ORDER_EVENT))

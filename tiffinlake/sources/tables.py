@@ -57,9 +57,11 @@ def empty_partitions(spark: SparkSession, path: str, partition_by: list[str], na
         delete_path(spark, partition_folder(spark, path, partition_by, one))
 
 
-def _touched(source: DataFrame, path: str, partition_by: list[str]) -> DataFrame:
+def _touched(source: DataFrame, path: str, partition_by: list[str], delivered: DataFrame | None = None) -> DataFrame:
     """The stored rows of the partitions that ``source`` has rows for; others are not scanned.
 
+    ``delivered`` has rows in the same partitions as ``source`` and is cheaper to ask.
+
     Partition values have the source's types, so that a text like ``01`` is not read as a number.
     The values of the batch are collected first: one short row for each partition it touches.
     """
@@ -69,7 +71,7 @@ def _touched(source: DataFrame, path: str, partition_by: list[str]) -> DataFrame
     target = spark.read.schema(typed).parquet(path)
     if not partition_by:
         return target
-    values = source.select(*partition_by).distinct().collect()
+    values = (source if delivered is None else delivered).select(*partition_by).distinct().collect()
     for i, column in enumerate(partition_by):
         known = sorted({r[i] for r in values if r[i] is not None})
         missing = F.col(column).isNull() if any(r[i] is None for r in values) else F.lit(False)
@@ -99,11 +101,14 @@ def upserted(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame
     return _without(target, source, keys).unionByName(source)
 
 
-def merge_insert(source: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> int:
-    """Insert the rows whose key is new, and say how many. Only the partitions the source touches are compared."""
+def merge_insert(source: DataFrame, path: str, keys: list[str], partition_by: list[str], delivered: DataFrame | None = None) -> int:
+    """Insert the rows whose key is new, and say how many. Only the partitions the source touches are compared.
+
+    ``delivered``, if given, has rows in the same partitions and names them without computing ``source``.
+    """
     _check(keys, partition_by)
     spark = source.sparkSession
-    fresh = not_matched(source, _touched(source, path, partition_by), keys) if path_exists(spark, path) else source
+    fresh = not_matched(source, _touched(source, path, partition_by, delivered), keys) if path_exists(spark, path) else source
     staged = materialize(fresh, "merge")
     write_table(staged, path, partition_by)
     stored = staged.count()  # from the files' footers
@@ -138,7 +143,7 @@ def merge_upsert(source: DataFrame, path: str, keys: list[str], partition_by: li
 def append_idempotent(df: DataFrame, path: str, key: str, partition_by: list[str]) -> int:
     """Insert-ignore on a unique id: repeated deliveries, within the batch or before it, are dropped. The number of rows stored."""
     keys = [key, *[p for p in partition_by if p != key]]
-    return merge_insert(dedup_latest(df, keys, []), path, keys, partition_by)
+    return merge_insert(dedup_latest(df, keys, []), path, keys, partition_by, df)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str] | None = None, predicate: str | None = None,

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..operators.aggregates import revenue_by
 from ..schemas import STREAM_ORDER
 from ..session import discard, materialize
-from ..sources.bronze import ingest_bronze
+from ..sources.bronze import classified, routed
 from ..sources.files import JSON_TIME
 from ..sources.serving import MERGE_EVERY, ServingTable, appended
 from ..sources.streams import batch_sink, file_sink, parse_json_lines
@@ -56,14 +56,16 @@ def ingest_stream(messages: DataFrame, base: str, checkpoint: str, every: int =
     counts = ingest_counts(messages.sparkSession, base, every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed, rows = ingest_bronze(batch), []
+        read, rows = materialize(classified(batch), "messages"), []
+        targets = routed(read)
         for name in TARGETS:
             # Staged once: parsing is not repeated, and the files' footers know the count.
-            staged = materialize(routed[name], "ingest")
+            staged = materialize(targets[name], "ingest")
             received = staged.count()
             stored = append_idempotent(staged, f"{base}/{name}", "ingestion_id", ["partition_date"])
             discard(staged)
             rows.append((name, received, stored, received - stored))
+        discard(read)
         counts.write(batch.sparkSession.createDataFrame(rows, _COUNTS), batch_id)
 
     return batch_sink(messages, write, checkpoint)
