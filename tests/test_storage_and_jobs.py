@@ -205,3 +205,42 @@ def test_bronze_files_are_small_on_disk_and_bounded(spark, base, monkeypatch):
     assert sum(map(os.path.getsize, stored)) < lines / 3 and all(p.endswith(".json.gz") for p in stored)
     assert max(spark.read.json(p).count() for p in stored) <= 4000
     assert files.read_bronze(spark, base).select("event_id").distinct().count() == 10_000
+
+
+def test_gold_and_silver_are_computed_once_and_written_twice(spark, monkeypatch):
+    from workload import all_queries, storage
+
+    written = []
+    write = files.write_gold
+    monkeypatch.setattr(storage.files, "write_gold", lambda df, path, keys, **options: (written.append(df), write(df, path, keys, **options)))
+    for name in ("silver_overwrite", "gold_partitions"):
+        written.clear()
+        assert all_queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+        assert len(written) == 2
+        # What is written comes from stored files alone, without joins or aggregates.
+        assert all("Aggregate" not in p and "Join" not in p for p in (df._jdf.queryExecution().optimizedPlan().toString() for df in written))
+
+
+def test_a_batch_of_messages_is_classified_once(spark, base, monkeypatch):
+    reads = []
+    routed = ingest.routed
+    monkeypatch.setattr(ingest, "routed", lambda read: (reads.append(read), routed(read))[1])
+    schema = "value string, topic string, partition int, offset bigint, timestamp timestamp"
+    body = '{"event_id": "1", "order_id": "o1", "user_id": 1, "item_id": 2, "price": 3, "timestamp": "2024-03-01T10:00:00Z"}'
+    lines = [(body, "raw.orders.v1", 0, 1, HOUR), (body, "raw.orders.v1", 0, 1, HOUR), (body, "raw.clicks.v1", 0, 2, HOUR), ("{oops", "raw.clicks.v1", 0, 3, HOUR)]
+    spark.createDataFrame(lines, schema).write.parquet(f"{base}/in")
+    run_available(ingest.ingest_stream(file_source(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema), f"{base}/out", f"{base}/checkpoint"))
+    assert len(reads) == 1 and "reason" in reads[0].columns and reads[0]._stored_at
+    got = ingest.ingest_counts(spark, f"{base}/out").read().select("target", "received", "stored", "repeated")
+    assert rows(got) == [("clicks", 1, 1, 0), ("orders", 2, 1, 1), ("quarantine", 1, 1, 0)]
+
+
+def test_partitions_of_a_repeated_delivery_are_named_without_deduplication(spark, base, monkeypatch):
+    asked = []
+    touched = tables._touched
+    monkeypatch.setattr(tables, "_touched", lambda source, path, keys, delivered=None: (asked.append(delivered), touched(source, path, keys, delivered))[1])
+    feed = spark.createDataFrame([("a", 1, None), ("a", 1, None), ("b", 2, "x")], "id string, day int, v string")
+    assert tables.append_idempotent(feed, f"{base}/t", "id", ["day"]) == 2
+    assert tables.append_idempotent(feed, f"{base}/t", "id", ["day"]) == 0
+    assert len(asked) == 1 and asked[0] is feed
+    assert rows(spark.read.parquet(f"{base}/t").select("id", "day", "v")) == [("a", 1, None), ("b", 2, "x")]

@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-# Rows of this many fields are wide: to count them is cheaper than to sort them twice. Wide rows of one task, hash cells that are counted.
-WIDE_FIELDS, TASK_ROWS, CELLS = 16, 300_000, 4096
-
-
-def _fields(kind: T.DataType) -> int:
-    return sum(_fields(f.dataType) for f in kind.fields) if isinstance(kind, T.StructType) else 1
+# Wide rows of one task, hash cells that are counted.
+TASK_ROWS, CELLS = 300_000, 4096
 
 
 def _placed(df: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
@@ -21,8 +17,6 @@ def _placed(df: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
     counted by a hash of the key first; if a key may hold more than a task's rows, all copies are combined
     before the shuffle, as they are without this.
     """
-    if df.isStreaming or _fields(df.schema) < WIDE_FIELDS:
-        return df
     cell = F.pmod(F.xxhash64(*keys), F.lit(CELLS))
     total, most = df.groupBy(cell.alias("_cell")).count().agg(F.sum("count"), F.max("count")).first()
     if not total or most > max(task_rows, 2 * total // CELLS):
@@ -39,12 +33,12 @@ def _orderable(df: DataFrame, names: list[str]) -> list[Column]:
 
 
 def dedup_latest(df: DataFrame, keys: list[str], order: list[str], tiebreak: list[str] | None = None,
-                 task_rows: int = TASK_ROWS) -> DataFrame:
+                 task_rows: int | None = None) -> DataFrame:
     """One row per key, the greatest by ``order``; ties go to the greatest remaining columns.
 
     Null keys form one group and null order values come last, as with
-    ``row_number() over (partition by keys order by order desc)``. Wide rows are counted first and
-    sorted in tasks of about ``task_rows``.
+    ``row_number() over (partition by keys order by order desc)``. With ``task_rows`` the rows,
+    which must not be a stream or observed, are counted first and sorted in tasks of about so many: for large tables of wide rows.
     """
     rest = [c for c in df.columns if c not in keys]
     ties = [c for c in rest if c not in order] if tiebreak is None else tiebreak
@@ -56,7 +50,7 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list[str], tiebreak: lis
     else:
         best = F.max_by(F.struct(*rest), F.struct(*_orderable(df, ranked)))
     return (
-        _placed(df, keys, task_rows).groupBy(*keys).agg(best.alias("_row"))
+        (df if task_rows is None else _placed(df, keys, task_rows)).groupBy(*keys).agg(best.alias("_row"))
         .select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
     )
 

@@ -117,7 +117,7 @@ def hourly_summary(spark, sf):
 
 @query("dedup_delivery_events", delivery_sql('SELECT event_id, ingestion_time, "City" AS city, "Time_taken (min)" AS minutes FROM latest'))
 def dedup_delivery_events(spark, sf):
-    out = dedup.dedup_latest(delivery_bronze(spark, sf), ["event_id"], ["ingestion_time"])
+    out = dedup.dedup_latest(delivery_bronze(spark, sf), ["event_id"], ["ingestion_time"], task_rows=dedup.TASK_ROWS)
     return out.select("event_id", F.to_timestamp("ingestion_time").alias("ingestion_time"),
                       F.col("payload.City").alias("city"), F.col("payload")["Time_taken (min)"].alias("minutes"))
 
