@@ -73,6 +73,60 @@ def test_silent_profiles_expire_and_begin_anew(spark, base):
     assert {r["category"]: round(r["score"], 9) for r in named.collect()} == {r["category"]: round(r["score"], 9) for r in batch.collect()}
 
 
+def test_a_profile_asks_its_state_as_often_for_a_thousand_targets_as_for_one():
+    calls = []
+
+    class State:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    def took(n):
+        calls.clear()
+        profile = profiles.InterestProfile(1000)
+        profile.init(Handle())
+        rows = [{"target": f"t{i % n}", "log_weight": float(i), "undated": 0.0, "at_us": i} for i in range(2 * n)]
+        out = list(profile.handleInputRows((1, "item"), iter(rows), None))
+        assert len(out) == n and out[0]["last_us"] == n and not out[0]["expired"]
+        assert out[0]["log_sum"] == pytest.approx(math.log(1 + math.exp(n)) if n < 100 else n)
+        return list(calls)
+
+    assert took(1000) == took(1) == ["get", "timer", "update"]
+
+
+def test_what_batches_add_to_a_profile_sums_up_in_any_merge(spark, base):
+    hour = lambda n: T0 + dt.timedelta(hours=n)
+    schema = "user_id bigint, item_id bigint, category string, event_type string, event_time timestamp_ntz"
+    kinds = ["order", "click", "view", "impression", "other"]
+    parts = [[(1, 7, "a", kinds[n], hour(20 * n)), (1, 7, "a", "view", hour(20 * n + 1)), (2, 5 + n, "b", kinds[n], hour(20 * n)), (None, 7, "a", "click", hour(20 * n))]
+             for n in range(5)]
+    parts[2].append((1, 7, "a", "order", None))  # no time: it does not fade
+    parts[4].append((1, 8, "a", "order", None))
+    now = hour(90)
+    for every in (2, 8):
+        path = f"{base}/profiles{every}"
+        updates = profiles.profile_updates(_files(spark, base, f"signals{every}", parts, schema))
+        run_available(profiles.keep_profiles(updates, path, f"{base}/checkpoint{every}", every=every))
+        for kind, target in (("item", "item_id"), ("category", "category")):
+            batch = interest_profiles(spark.createDataFrame(sum(parts, []), schema), now, kind)
+            want = {(r["user_id"], r[target]): r["score"] for r in batch.collect()}
+            got = {(r["user_id"], r[target]): r["score"] for r in profiles.current_profiles(spark, path, now, kind).collect()}
+            assert got == pytest.approx(want, rel=1e-12)
+
+
 def test_late_clicks_are_not_credited_to_earlier_orders(spark, base):
     at = lambda m: T0 + dt.timedelta(minutes=m)
     schema = "kind string, id string, user_id bigint, item_id bigint, event_timestamp timestamp_ntz"

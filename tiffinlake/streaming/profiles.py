@@ -9,108 +9,114 @@ never rescaled; they are kept as logarithms, so that they do not overflow howeve
 from __future__ import annotations
 
 import datetime as dt
+import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import epoch_us, from_epoch_us, micros
 from ..operators.profiles import DECAY_MINUTES, PROFILE_TTL, event_weight, fresh_users
 from ..sources.serving import BATCH, MERGE_EVERY, ServingTable
 from ..sources.streams import batch_sink
-from .processors import DELAY, _reach, _timer_ms
+from .processors import DELAY, _apply, _reach, _timer_ms
 from .windows import with_watermark
 
 #: Weights are kept relative to this instant; any will do, as long as it never changes.
 LANDMARK = dt.datetime(2024, 1, 1)
 _DECAY_US = DECAY_MINUTES * 60e6
 _UPDATE = "user_id bigint, kind string, target string, log_sum double, undated double, last_us bigint, expired boolean"
-_TARGET = T.StructType([T.StructField("target", T.StringType())])
+_ROW = Row(*[field.split()[0] for field in _UPDATE.split(",")])
 _LAST = T.StructType([T.StructField("last_us", T.LongType())])
-_MASS = T.StructType([T.StructField("log_sum", T.DoubleType()), T.StructField("undated", T.DoubleType()), *_LAST.fields])
 _LANDMARK_US = (LANDMARK - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
 
 
 class InterestProfile(StatefulProcessor):
-    """Sums of one user's items, or categories, in a map that goes when the user is silent for the time to live."""
+    """What a micro-batch adds to the sums of one user's items, or categories, and when the profile ends.
+
+    Sums merge in any order, so none is read back: the state is the last activity alone, whatever the number of targets,
+    and goes when the user is silent for the time to live.
+    """
 
     def __init__(self, ttl_us: int):
         self._ttl = ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._sums = handle.getMapState("sums", _TARGET, _MASS)
         self._last = handle.getValueState("last", _LAST)
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("target", kind="stable", ignore_index=True)
-        target = batch["target"].to_numpy()
-        first = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
-        dated = batch["at_us"].notna().to_numpy()
-        at = batch["at_us"].fillna(0).to_numpy(dtype=np.float64)
-        weight = batch["weight"].to_numpy()
-        log_weight = np.where(dated, np.log(weight) + (at - _LANDMARK_US) / _DECAY_US, -np.inf)
-        log_sum = np.logaddexp.reduceat(log_weight, first)
-        undated = np.add.reduceat(np.where(dated, 0.0, weight), first)
-        last = np.maximum.reduceat(np.where(dated, at, 0.0), first).astype(np.int64)
-        for i, name in enumerate(target[first].tolist()):
-            if self._sums.containsKey((name,)):
-                old = self._sums.getValue((name,))
-                log_sum[i], undated[i], last[i] = np.logaddexp(log_sum[i], old[0]), undated[i] + old[1], max(last[i], int(old[2]))
-            self._sums.updateValue((name,), (float(log_sum[i]), float(undated[i]), int(last[i])))
-        if self._last.exists():
-            self._last.update((max(int(last.max()), int(self._last.get()[0])),))
-        else:
-            self._last.update((int(last.max()),))
-            self._handle.registerTimer(_timer_ms(int(last.max()) + self._ttl))
-        yield self._rows(key, target[first], log_sum, undated, last, False)
+        added = {}
+        for row in rows:
+            target, log_weight, undated, at = row["target"], row["log_weight"], row["undated"], row["at_us"]
+            if target in added:
+                before = added[target]
+                added[target] = (_log_add(before[0], log_weight), before[1] + undated, max(before[2], at))
+            else:
+                added[target] = (log_weight, undated, at)
+        last, known = max(at for _, _, at in added.values()), self._last.get()
+        if known is None:
+            self._handle.registerTimer(_timer_ms(last + self._ttl))
+        if known is None or known[0] < last:
+            self._last.update((last,))
+        return (_ROW(*key, target, *sums, False) for target, sums in added.items())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        last = int(self._last.get()[0])
+        last = self._last.get()[0]
         if last < _reach(timerValues, self._ttl):
-            self._sums.clear()
             self._last.clear()
-            yield self._rows(key, [None], [0.0], [0.0], [last], True)
-        else:
-            self._handle.registerTimer(_timer_ms(last + self._ttl))
-
-    @staticmethod
-    def _rows(key, target, log_sum, undated, last, expired: bool) -> pd.DataFrame:
-        return pd.DataFrame({"user_id": int(key[0]), "kind": key[1], "target": target, "log_sum": log_sum, "undated": undated,
-                             "last_us": last, "expired": expired})
+            return iter([_ROW(*key, None, 0.0, 0.0, last, True)])
+        self._handle.registerTimer(_timer_ms(last + self._ttl))
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
+def _log_add(a: float, b: float) -> float:
+    """The logarithm of the sum of two numbers given by theirs."""
+    low, high = (a, b) if a < b else (b, a)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+
 def profile_updates(events: DataFrame, ts: str = "event_time", ttl: str = PROFILE_TTL, delay: str = DELAY) -> DataFrame:
-    """What changes in the profiles: the new sums of touched targets, and one row for each profile that expires.
+    """What changes in the profiles: what each micro-batch adds to the touched targets, and one row for each profile that expires.
 
     Users and items must be positive, categories not blank. Each event feeds its item and its category.
     """
     timed = with_watermark(events.where("user_id > 0"), ts, delay)
     item = F.when(F.col("item_id") > 0, F.struct(F.lit("item").alias("kind"), F.col("item_id").cast("string").alias("target")))
     named = F.when(F.trim("category") != "", F.struct(F.lit("category").alias("kind"), F.trim("category").alias("target")))
-    rows = timed.select(F.col("user_id").cast("bigint").alias("user_id"), ts, F.explode(F.array_compact(F.array(item, named))).alias("x"),
-                        event_weight("event_type").alias("weight"), epoch_us(ts).alias("at_us"))
-    return rows.select("user_id", "x.kind", "x.target", "weight", "at_us", ts).groupBy("user_id", "kind").transformWithStateInPandas(
-        statefulProcessor=InterestProfile(micros(ttl)), outputStructType=T.StructType.fromDDL(_UPDATE), outputMode="Append", timeMode="EventTime")
+    weight, at = event_weight("event_type"), epoch_us(ts)
+    rows = timed.select(
+        F.col("user_id").cast("bigint").alias("user_id"), ts, F.explode(F.array_compact(F.array(item, named))).alias("x"),
+        F.coalesce(F.log(weight) + (at - F.lit(_LANDMARK_US)) / F.lit(_DECAY_US), F.lit(-math.inf)).alias("log_weight"),
+        F.when(at.isNull(), weight).otherwise(F.lit(0.0)).alias("undated"), F.coalesce(at, F.lit(0)).cast("bigint").alias("at_us"))
+    rows = rows.select("user_id", "x.kind", "x.target", "log_weight", "undated", "at_us", ts)
+    return _apply(rows, ["user_id", "kind"], InterestProfile(micros(ttl)), T.StructType.fromDDL(_UPDATE), "EventTime")
+
+
+def _log_sum(column: str) -> Column:
+    """The logarithm of the sum of a group's numbers given by theirs; a group has no more rows than there are folders to merge."""
+    logs = F.collect_list(column)
+    high = F.array_max(logs)
+    return F.when(high == -math.inf, high).otherwise(
+        high + F.log(F.aggregate(logs, F.lit(0.0), lambda total, x: total + F.exp(x - high))))
 
 
-def _newest(df: DataFrame) -> DataFrame:
-    """The last sums of every target since its profile last expired, and that expiry."""
+def _summed(df: DataFrame) -> DataFrame:
+    """The sums of every target since its profile last expired, and that expiry."""
     gone = df.where("expired").groupBy("user_id", "kind").agg(F.max(BATCH).alias("_gone"), F.max("last_us").alias("_left"))
-    value = F.struct("log_sum", "undated", "last_us")
-    kept = df.where("not expired").groupBy("user_id", "kind", "target").agg(F.max_by(value, BATCH).alias("_v"), F.max(BATCH).alias(BATCH))
-    kept = kept.join(gone, ["user_id", "kind"], "left").where(F.col("_gone").isNull() | (F.col(BATCH) > F.col("_gone")))
+    kept = df.where("not expired").join(gone, ["user_id", "kind"], "left").where(F.col("_gone").isNull() | (F.col(BATCH) > F.col("_gone")))
+    sums = kept.groupBy("user_id", "kind", "target").agg(
+        _log_sum("log_sum").alias("log_sum"), F.sum("undated").alias("undated"), F.max("last_us").alias("last_us"),
+        F.lit(False).alias("expired"), F.max(BATCH).alias(BATCH))
     left = gone.select("user_id", "kind", F.lit(None).cast("string").alias("target"), F.lit(0.0).alias("log_sum"), F.lit(0.0).alias("undated"),
                        F.col("_left").alias("last_us"), F.lit(True).alias("expired"), F.col("_gone").alias(BATCH))
-    return kept.select("user_id", "kind", "target", "_v.*", F.lit(False).alias("expired"), BATCH).unionByName(left)
+    return sums.unionByName(left)
 
 
 def profile_table(spark: SparkSession, path: str, every: int = MERGE_EVERY) -> ServingTable:
-    return ServingTable(spark, path, _UPDATE, _newest, every)
+    return ServingTable(spark, path, _UPDATE, _summed, every)
 
 
 def keep_profiles(updates: DataFrame, path: str, checkpoint: str, every: int = MERGE_EVERY) -> DataStreamWriter:
