@@ -2,7 +2,9 @@
 
 import datetime as dt
 import math
+import random
 
+import pandas as pd
 import pytest
 from conftest import T0, rows
 from pyspark.sql import functions as F
@@ -127,6 +129,93 @@ def test_what_batches_add_to_a_profile_sums_up_in_any_merge(spark, base):
             assert got == pytest.approx(want, rel=1e-12)
 
 
+class _Stores:
+    """The state of one key and its timers, without a stream."""
+
+    def __init__(self):
+        self.timers, self.value, self.log = set(), {}, []
+
+    def getValueState(self, name, schema):
+        return type("Value", (), {"get": lambda _: self.value.get(name), "update": lambda _, v: self.value.__setitem__(name, v),
+                                  "clear": lambda _: self.value.pop(name)})()
+
+    def getListState(self, name, schema):
+        return type("Log", (), {"get": lambda _: iter(self.log), "put": lambda _, v: self.__setattr__("log", list(v)),
+                                "appendList": lambda _, v: self.log.extend(v), "clear": lambda _: self.__setattr__("log", [])})()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def fired(self, processor, key, now):
+        for at in sorted(t for t in self.timers if t <= now):
+            self.timers.remove(at)
+            yield from processor.handleExpiredTimer(key, type("Times", (), {"getCurrentWatermarkInMs": lambda _: now})(), None)
+
+
+def test_a_shard_ends_the_profiles_that_each_would_end_by_itself():
+    rng, ttl = random.Random(7), 50_000
+    stores, single, shard = {}, {}, profiles.ShardOfProfiles(ttl)
+    shard.init(whole := _Stores())
+    ended, longest = 0, 0
+    for now in range(0, 2000, 10):  # milliseconds, the watermark after each batch
+        batch = []
+        for _ in range(rng.choice([0, 1, 5, 12]) if now % 400 < 200 else rng.choice([0, 0, 1])):
+            at = rng.choice([0, (now + rng.randrange(10)) * 1000 + rng.randrange(1000)])
+            batch.append((rng.randrange(1, 15), rng.choice([0, 3, 4]), rng.choice(["a", "b"]), 0.0, 0.0, at))
+        if batch:
+            columns = ["user_id", "item", "category", "log_sum", "undated", "last_us"]
+            frames = [pd.DataFrame(batch[:3], columns=columns), pd.DataFrame(batch[3:], columns=columns)]
+            passed = list(shard.handleInputRows((0,), iter([f for f in frames if len(f)]), None))
+            assert [tuple(r)[:6] for f in passed for r in f.itertuples(index=False)] == batch
+        for kind, column in (("item", 1), ("category", 2)):
+            for user in {r[0] for r in batch if r[column]}:
+                if (user, kind) not in single:
+                    single[user, kind] = profiles.InterestProfile(ttl)
+                    single[user, kind].init(stores.setdefault((user, kind), _Stores()))
+                rows_of = [{"target": r[column], "log_weight": 0.0, "undated": 0.0, "at_us": r[5]} for r in batch if r[0] == user and r[column]]
+                list(single[user, kind].handleInputRows((user, kind), iter(rows_of), None))
+        want = sorted((r["user_id"], r["kind"], r["last_us"]) for key, profile in single.items() for r in stores[key].fired(profile, key, now))
+        got = sorted((r.user_id, r.gone, r.last_us) for f in whole.fired(shard, (0,), now) for r in f.itertuples(index=False))
+        assert got == want
+        living = sum(bool(s.value) for s in stores.values())
+        assert len(whole.timers) == (1 if living else 0)
+        ended, longest = ended + len(got), max(longest, sum(len(users) for _, users, _ in whole.log))
+    assert ended > 100 and longest <= 2 * 28
+
+
+def test_users_share_state_and_a_micro_batch_is_added_up_before_it_is_written(spark, base):
+    schema = "user_id bigint, item_id bigint, category string, event_type string, event_time timestamp_ntz"
+    n = 4000
+    parts = [[(u, 1 + u % 3, "a", "view", T0 + dt.timedelta(days=90 * i)) for u in range(1, n + 1) for i in range(2)]]
+    updates = profiles.profile_updates(_files(spark, base, "signals", parts, schema))
+    query = profiles.keep_profiles(updates, f"{base}/profiles", f"{base}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    first = query.recentProgress[0]
+    # Each user has two profiles; before, each of them had a state and a timer of its own.
+    assert 0 < first.stateOperators[0].numRowsTotal <= 8 * profiles.SHARDS < 2 * 2 * n
+    written = spark.read.parquet(f"{base}/profiles/level0-0-0")
+    assert written.count() == 2 * 2 * n  # ninety days apart: two spans of logarithms
+    now = T0 + dt.timedelta(days=90, hours=4)
+    got = profiles.current_profiles(spark, f"{base}/profiles", now).agg(F.count("*"), F.min("score"), F.max("score")).first()
+    assert got[0] == n and got[1] == pytest.approx(1.5 / math.e) and got[2] == pytest.approx(1.5 / math.e)
+
+
+def test_weights_of_one_target_add_up_over_any_range(spark):
+    logs = [float(x) for x in range(-3000, 3000, 37)] * 3 + [-math.inf, 255.999999, 256.0, -256.0]
+    df = spark.createDataFrame([(1, "item", "7", x, 0.5, 9, False) for x in logs] + [(2, "item", "7", -math.inf, 2.0, 0, False), (2, "item", None, 0.0, 0.0, 5, True)],
+                               "user_id bigint, kind string, target string, log_sum double, undated double, last_us bigint, expired boolean").repartition(5)
+    for _ in range(2):  # what is added up adds up again
+        df = profiles._added_up(df)
+        found = [r for r in df.collect() if r["user_id"] == 1]
+        high = max(r["log_sum"] for r in found)
+        assert high + math.log(sum(math.exp(r["log_sum"] - high) for r in found)) == pytest.approx(max(logs) + math.log(sum(math.exp(x - max(logs)) for x in logs)), rel=1e-14)
+        assert len(found) <= 6000 / 256 + 2 and sum(r["undated"] for r in found) == 0.5 * len(logs)
+    assert sorted((r["log_sum"], r["undated"], r["last_us"], r["expired"]) for r in df.collect() if r["user_id"] == 2) == [(-math.inf, 2.0, 0, False), (0.0, 0.0, 5, True)]
+
+
 def test_late_clicks_are_not_credited_to_earlier_orders(spark, base):
     at = lambda m: T0 + dt.timedelta(minutes=m)
     schema = "kind string, id string, user_id bigint, item_id bigint, event_timestamp timestamp_ntz"
