@@ -198,3 +198,103 @@ def test_rules_read_stored_transactions(spark):
     for name in ("alert_union", "device_sharing_users"):
         plan = all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "get_json_object" not in plan and "props" not in plan
+
+
+def test_cooldowns_of_a_shard_equal_those_of_each_key():
+    import numpy as np
+
+    from tiffinlake.streaming.processors import _greedy
+    r = random.Random(3)
+    # Many short lines and a long one, of which the last steps are walked alone; with and without an instant that passed before.
+    for span, keys in ((400, 60), (2 ** 58, 60), (400, 3)):
+        data = sorted({(0 if r.random() < .3 else r.randrange(keys), r.randrange(span)) for _ in range(1500)})
+        codes, at_us = (np.array(x, dtype="int64") for x in zip(*data))
+        codes = np.unique(codes, return_inverse=True)[1]
+        fresh, last = (np.array([r.random() < .5 for _ in range(codes.max() + 1)]), np.array([r.randrange(-span, span) for _ in range(codes.max() + 1)], dtype="int64"))
+        want = {int(k): None if fresh[k] else int(last[k]) for k in codes}
+        expected = []
+        for i, (k, t) in enumerate(zip(codes.tolist(), at_us.tolist())):
+            if want[k] is None or t > want[k] + span // 20:
+                expected.append(i)
+                want[k] = t
+        assert sorted(_greedy(codes, at_us, fresh, last, span // 20).tolist()) == expected
+
+
+def test_cooldown_by_shards_calls_its_state_once_a_shard(monkeypatch):
+    """However many keys a shard has; what it passes is what each key's own cooldown would."""
+    import pandas as pd
+
+    from tiffinlake.streaming import processors
+
+    class Store:
+        def __init__(self):
+            self.calls, self.state, self.timers = 0, {}, set()
+
+        def of(self, name):
+            def act(kind):
+                def call(*args):
+                    self.calls += 1
+                    held = self.state.get(name)
+                    if kind == "get":
+                        return iter(held or []) if name == "last" else held
+                    self.state[name] = {"put": lambda x: list(x), "update": lambda x: x, "appendList": lambda x: [*(held or []), *x], "clear": lambda: None}[kind](*args)
+                return call
+            return type("Variable", (), {k: staticmethod(act(k)) for k in ("get", "put", "update", "appendList", "clear")})
+
+        def getListState(self, name, schema):
+            return self.of(name)
+
+        getValueState = getListState
+        registerTimer = lambda self, t: self.timers.add(t)
+        deleteTimer = lambda self, t: self.timers.remove(t)
+        watermark = 0
+        getCurrentWatermarkInMs = lambda self: self.watermark
+
+    monkeypatch.setattr(processors.ShardOfCooldowns, "ENTRY", 7)
+    r = random.Random(8)
+    store, rule = Store(), processors.ShardOfCooldowns(50_000, ["cooldown_key", "at_us", "event_id"])
+    rule.init(store)
+    passed = []
+    for part in range(5):
+        rows_ = [(f"k{r.randrange(200)}", 1000 * r.randrange(part * 100, part * 100 + 110), r.choice([None, *map(str, range(9))])) for _ in range(600)]
+        frame = pd.DataFrame(rows_, columns=["cooldown_key", "at_us", "event_id"])
+        store.calls = 0
+        out = pd.concat(rule.handleInputRows((0,), iter([frame[:200], frame[200:]]), store))
+        assert store.calls <= 4
+        sent = sorted(rows_, key=lambda x: (x[1], x[2] is None, x[2]))
+        last = {k: max(t for key, t, _ in passed if key == k) for k in {key for key, _, _ in passed}}
+        want = []
+        for key, t, i in sent:
+            if key not in last or t > last[key] + 50_000:
+                want.append((key, t, i))
+                last[key] = t
+        assert sorted(map(repr, out.itertuples(index=False, name=None))) == sorted(map(repr, want))
+        passed += want
+    # What no row can see any more goes with the timer, the rest stays; then nothing is left.
+    newest = max(t for _, t, _ in passed)
+    for store.watermark, left in ((newest // 1000 + 40, True), (newest // 1000 + 60, False)):
+        store.timers.clear()
+        list(rule.handleExpiredTimer((0,), store, None))
+        held = {k: t for keys, last in (store.state["last"] or []) for k, t in zip(keys, last)}
+        assert bool(held) == left == bool(store.timers) and all(t >= store.watermark * 1000 - 50_000 for t in held.values())
+
+
+def test_cooldown_stream_by_shards_over_several_files(spark, base):
+    """Keys of two columns with nulls, large whole numbers beside nulls, ties, rows without a time."""
+    from tiffinlake.streaming.processors import cooldown_stream
+    r = random.Random(4)
+    big = 2 ** 60 + 1
+    made = [(None if (u := r.randrange(6)) == 5 else u, r.choice([None, "d", "1:d"]), None if i % 3 else big + i, f"e{i:03d}", None if i == 7 else at(r.randrange(200) + 200 * (i // 100)))
+            for i in range(300)]
+    schema = "user_id int, device_id string, amount bigint, event_id string, detected_at timestamp_ntz"
+    for label, shards in (("keys", None), ("shards", 3)):
+        for part in range(3):
+            some = [x for x in made[part * 100:part * 100 + 100] if x[4] is not None or shards]
+            spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(f"{base}/{label}/in")
+        from tiffinlake.sources.streams import file_sink, file_source, run_available
+        stream = file_source(spark, f"{base}/{label}/in", spark.read.parquet(f"{base}/{label}/in").schema, max_files=1)
+        run_available(file_sink(cooldown_stream(stream, ["user_id", "device_id"], period="1 minute", shards=shards), f"{base}/{label}/out", f"{base}/{label}/cp"))
+    by_key, by_shard = (spark.read.parquet(f"{base}/{label}/out") for label in ("keys", "shards"))
+    assert by_key.dtypes == by_shard.dtypes and rows(by_key) == rows(by_shard)
+    assert {x for x in made if x[2] is not None} >= {tuple(x) for x in by_shard.where("amount is not null").collect()}
+    assert 20 < by_shard.count() < 300

@@ -15,8 +15,9 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,6 +28,10 @@ _LONG = T.StructType([T.StructField("v", T.LongType())])
 # How late a row may be against the newest one of its stream.
 DELAY = "10 minutes"
 _MEMBER = T.StructType([T.StructField("member", T.StringType()), T.StructField("t", T.LongType())])
+_PASSED = T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("last", T.ArrayType(T.LongType()))])
+_EXTENT = T.StructType([T.StructField(name, T.LongType()) for name in ("stored", "due_ms")])
+#: Parts of the keys that keep their state together: many times the cores, and far fewer than the keys.
+SHARDS = 512
 
 
 def _timer_ms(at_us: int) -> int:
@@ -111,6 +116,137 @@ class Cooldown(StatefulProcessor):
         pass
 
 
+class ShardOfCooldowns(StatefulProcessor):
+    """The same for all keys of a shard at once, whose rows come as frames with the key's text in ``cooldown_key``.
+
+    A key costs several calls to its state, whatever it brings; here a shard makes them, not each of its keys. The state
+    is a log of the instants that passed last, appended to and written anew when half of it is out of date or some are out of reach.
+    """
+
+    #: Keys of one entry of the log.
+    ENTRY = 50_000
+
+    def __init__(self, period_us: int, columns: list[str]):
+        self._period, self._columns = period_us, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._log = handle.getListState("last", _PASSED)
+        self._extent = handle.getValueState("extent", _EXTENT)
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = _first_of_ties(pd.concat(list(rows), ignore_index=True), ["cooldown_key", "at_us"], "event_id")
+        codes, keys = pd.factorize(batch["cooldown_key"])
+        order = np.lexsort((batch["at_us"].to_numpy(), codes))
+        known = self._stored()
+        last = known.reindex(keys)
+        passed = _greedy(codes[order], batch["at_us"].to_numpy()[order], last.isna().to_numpy(), last.fillna(0).to_numpy("int64"), self._period)
+        out = batch.iloc[order[passed]]
+        self._keep(known, out.groupby("cooldown_key")["at_us"].max())
+        yield out[self._columns]
+
+    def _stored(self) -> pd.Series:
+        """The instant that passed last, by key."""
+        keys, last = [], []
+        for some, of_them in self._log.get():
+            keys += some
+            last += of_them
+        # Of a key the last entry counts: what passes later is later.
+        known = pd.Series(last, index=pd.Index(keys, dtype=object), dtype="int64")
+        return known[~known.index.duplicated(keep="last")]
+
+    def _keep(self, known: pd.Series, fresh: pd.Series) -> None:
+        if not len(fresh):
+            return
+        stored, due = self._extent.get() or (0, None)
+        merged = pd.concat([known[~known.index.isin(fresh.index)], fresh])
+        first = _timer_ms(int(fresh.min()) + self._period)
+        if due is None or first < due:
+            if due is not None:
+                self._handle.deleteTimer(due)
+            self._handle.registerTimer(first)
+            due = first
+        if stored + len(fresh) > 2 * len(merged):
+            self._log.put(self._entries(merged))
+            stored = len(merged)
+        else:
+            self._log.appendList(self._entries(fresh))
+            stored += len(fresh)
+        self._extent.update((stored, due))
+
+    def _entries(self, last: pd.Series) -> list[tuple[list[str], list[int]]]:
+        keys, at = last.index.tolist(), last.tolist()
+        return [(keys[i:i + self.ENTRY], at[i:i + self.ENTRY]) for i in range(0, len(keys), self.ENTRY)]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last = self._stored()
+        kept = last[last >= _reach(timerValues, self._period)]
+        if len(kept):
+            due = _timer_ms(int(kept.min()) + self._period)
+            self._handle.registerTimer(due)
+            self._log.put(self._entries(kept))
+            self._extent.update((len(kept), due))
+        else:
+            self._log.clear()
+            self._extent.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def _first_of_ties(batch: pd.DataFrame, by: list[str], tiebreak: str) -> pd.DataFrame:
+    """One row for each value of ``by``, the least by ``tiebreak``, nulls last."""
+    tied = batch.duplicated(by, keep=False)
+    if not tied.any():
+        return batch
+    least = batch[tied].sort_values(tiebreak, kind="stable", na_position="last").drop_duplicates(by)
+    return pd.concat([batch[~tied], least], ignore_index=True)
+
+
+def _greedy(codes: np.ndarray, at: np.ndarray, fresh: np.ndarray, last: np.ndarray, period: int) -> np.ndarray:
+    """Positions of the rows that pass, of rows sorted by key (numbered from 0) and time, distinct in both.
+
+    ``last`` is each key's instant that passed before, if it is not ``fresh``. All keys go from one row that passes to the next at
+    once, in one search over their time lines laid end to end; the last few keys with a long way to go are walked alone.
+    """
+    few, out = 16, []
+    keys = len(last)
+    ends = np.searchsorted(codes, np.arange(keys), side="right")
+    starts = np.concatenate(([0], ends[:-1]))
+    origin = int(at.min())
+    span = int(at.max()) - origin + 2
+    # Positions on the common line fit into 64 bits for so many keys.
+    together = max(1, 2 ** 62 // span)
+    for low in range(0, keys, together):
+        high = min(keys, low + together)
+        a, b = starts[low], ends[high - 1]
+        line = (codes[a:b] - low) * span + (at[a:b] - origin)
+        active = np.arange(low, high)
+
+        def after(chosen: np.ndarray, instants: np.ndarray) -> np.ndarray:
+            """The first row of each key later than an instant of it."""
+            beyond = np.clip(instants - origin, -1, span - 1)
+            return a + np.searchsorted(line, (chosen - low) * span + beyond, side="right")
+
+        at_row = np.where(fresh[low:high], starts[low:high], after(active, last[low:high] + period))
+        while len(active):
+            onward = at_row < ends[active]
+            active, at_row = active[onward], at_row[onward]
+            out.append(at_row)
+            if len(active) <= few:
+                break
+            at_row = after(active, at[at_row] + period)
+        for one, i in zip(active.tolist(), at_row.tolist()):
+            own = at[starts[one]:ends[one]].tolist()
+            i -= int(starts[one])
+            walked = []
+            while (i := bisect_right(own, own[i] + period)) < len(own):
+                walked.append(i + starts[one])
+            out.append(np.array(walked, dtype="int64"))
+    return np.concatenate(out) if out else np.array([], dtype="int64")
+
+
 class ProcessingTimeCooldown(StatefulProcessor):
     """One row per key and period of processing time, whatever the rows' own times.
 
@@ -359,13 +495,31 @@ def running_count_stream(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     return _apply(timed, keys, RunningCount(), _extended(timed, ("running_count", T.LongType()))).drop("at_us")
 
 
+def _key_text(keys: list[str]) -> Column:
+    """The values of the keys as one text, which differs if one of them does."""
+    text = [F.col(k).cast("string") for k in keys]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
+
+
 def cooldown_stream(alerts: DataFrame, keys: list[str], ts: str = "detected_at", period: str = fraud.COOLDOWN,
-                    clock: str = "event", delay: str = DELAY) -> DataFrame:
-    """Alerts that pass the cooldown, by event time or by processing time."""
+                    clock: str = "event", delay: str = DELAY, shards: int | None = None) -> DataFrame:
+    """Alerts that pass the cooldown, by event time or by processing time.
+
+    With ``shards`` the state of an event-time cooldown is kept by so many parts of the keys, for streams of very many keys;
+    keys are compared by their text, and alerts without a time do not pass. A checkpoint holds for one number of parts.
+    """
     if clock == "processing":
         timed = _timed(alerts, ts)
         return _apply(timed, keys, ProcessingTimeCooldown(micros(period) // 1000), timed.schema, "ProcessingTime").drop("at_us")
     timed = _watermarked(alerts, ts, delay)
+    if shards:
+        # A frame has whole numbers with nulls between them as floating-point numbers, which do not hold all of them.
+        long = [f.name for f in timed.schema if isinstance(f.dataType, T.LongType) and f.name != "at_us"]
+        as_text = timed.where("at_us is not null").withColumns({"cooldown_key": _key_text(keys), **{c: F.col(c).cast("string") for c in long}})
+        rows = as_text.withColumn("cooldown_shard", F.pmod(F.xxhash64("cooldown_key"), F.lit(shards)))
+        fields = as_text.drop("cooldown_key", "at_us").schema
+        out = _apply_frames(rows, ["cooldown_shard"], ShardOfCooldowns(micros(period), fields.names), fields, "EventTime")
+        return _like(out.withColumns({c: F.col(c).cast("bigint") for c in long}) if long else out, alerts, ts)
     return _like(_apply(timed, keys, Cooldown(micros(period)), _extended(timed), "EventTime").drop("at_us"), alerts, ts)
 
 

@@ -260,7 +260,7 @@ def stream_high_value(spark, sf):
 @query("stream_cooldown", cool_sql("SELECT * FROM passed", "1 day"))
 def stream_cooldown(spark, sf):
     alerts = _keyed(all_alerts(spark, sf))
-    out = processors.cooldown_stream(arriving(spark, alerts, "detected_at", "alerts"), ["key"], period="1 day")
+    out = processors.cooldown_stream(arriving(spark, alerts, "detected_at", "alerts"), ["key"], period="1 day", shards=processors.SHARDS)
     return collected(spark, out.drop("key"), "cooldown")
 
 
