@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 from conftest import T0, at, rows
+from pyspark.sql import functions as F
 
 from tiffinlake.operators import alerts, fraud
 
@@ -298,3 +299,21 @@ def test_cooldown_stream_by_shards_over_several_files(spark, base):
     assert by_key.dtypes == by_shard.dtypes and rows(by_key) == rows(by_shard)
     assert {x for x in made if x[2] is not None} >= {tuple(x) for x in by_shard.where("amount is not null").collect()}
     assert 20 < by_shard.count() < 300
+
+
+def test_users_meet_alerts_in_bounded_lists(spark, monkeypatch):
+    """A crowded device: alerts are joined with lists of users, of which those of another time are left whole."""
+    monkeypatch.setattr(fraud, "CROWD", 50)
+    r = random.Random(6)
+    data = [(i, None if i % 50 == 0 else r.randrange(400), None if i % 70 == 0 else "d" if i % 9 else "e", f"o{i}", 1.0, "A", at(r.randrange(1500))) for i in range(1200)]
+    df = spark.createDataFrame(data, SCHEMA)
+    shared = fraud.device_sharing_alerts(df)
+    want = {(str(i), d, str(u)) for i, user, d, _, _, _, t in data if user is not None and d is not None
+            for _, u, e, _, _, _, x in data if u is not None and e == d and 0 <= (t - x).total_seconds() <= 300}
+    alerted = {x.event_id for x in shared.collect()}
+    assert rows(fraud.device_users(shared, df)) == sorted((x for x in want if x[0] in alerted), key=repr)
+    seen = fraud.presence(df.select("device_id", F.col("user_id").cast("string").alias("member"), "event_time"), ["device_id"], "member", "event_time", "5 minutes")
+    lists = fraud._crowds(seen, 300_000_000).select("*", F.size("crowd").alias("n")).collect()
+    assert max(x.n for x in lists) <= 50 and len(lists) < seen.count() / 4
+    # No entry lies outside the instants that its list names.
+    assert all(x.first_us == min(u.us for u in x.crowd) and x.last_us == max(u.us for u in x.crowd) for x in lists)
