@@ -317,3 +317,36 @@ def test_users_meet_alerts_in_bounded_lists(spark, monkeypatch):
     assert max(x.n for x in lists) <= 50 and len(lists) < seen.count() / 4
     # No entry lies outside the instants that its list names.
     assert all(x.first_us == min(u.us for u in x.crowd) and x.last_us == max(u.us for u in x.crowd) for x in lists)
+
+
+@pytest.mark.parametrize("run", [4, 10_000])
+def test_users_as_stretches_become_the_same_lists(spark, base, monkeypatch, run):
+    """Several files, late rows among them, rows of one instant, and a null device, which is a device."""
+    from tiffinlake.streaming import processors
+    monkeypatch.setattr(processors.StretchesOfMembers, "RUN", run)
+    r = random.Random(9)
+    groups = [[(i, None if i % 40 == 0 else r.randrange(30), None if i % 31 == 0 else f"d{r.randrange(3)}", f"o{i}", 1.0, "A", at(r.randrange(k * 300, k * 300 + 500)))
+               for i in range(k * 200, k * 200 + 200)] for k in range(3)]
+    lists = _by_files(spark, f"{base}/lists", groups, lambda df: processors.device_sharing_stream(df))
+    stored = _by_files(spark, f"{base}/stretches", groups, lambda df: processors.device_sharing_stream(df, users="stretches"))
+    got = processors.with_user_lists(stored)
+    assert got.columns == lists.columns and rows(got) == rows(lists) and lists.count() > 300
+    assert stored.where("users is not null").count() == stored.select("run").distinct().count()
+
+
+def test_users_of_a_crowded_device_are_told_once_a_run(monkeypatch):
+    import pandas as pd
+
+    from tiffinlake.streaming.processors import StretchesOfMembers
+    monkeypatch.setattr(StretchesOfMembers, "RUN", 100)
+    held, rule = _Held(), StretchesOfMembers(1000, 3)
+    rule.init(held)
+    frame = pd.DataFrame({"event_id": range(4000), "member": [str(i % 1500) for i in range(4000)], "at_us": range(4000)})
+    out = pd.concat(rule.handleInputRows(("d",), iter([frame[2500:], frame[:2500]]), held))
+    assert out["event_id"].tolist() == list(range(3, 4000)) and out["n"].tolist() == [min(i, 1000) + 1 for i in range(3, 4000)]
+    # As lists they would be millions; each run has at most two windows of them.
+    assert out["users"].dropna().map(len).sum() < 4 * 4000 and out["run"].nunique() == out["users"].notna().sum()
+    for _, part in out.groupby("run"):
+        users, come, gone = (part[c].dropna().iloc[0] for c in ("users", "come", "gone"))
+        for t in part["at_us"]:
+            assert sorted(u for u, a, b in zip(users, come, gone) if a <= t <= b) == sorted({str(i % 1500) for i in range(max(0, t - 1000), t + 1)})

@@ -10,6 +10,7 @@ every key.
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -434,6 +435,66 @@ class LongTrailingMembers(TrailingMembers):
         return out
 
 
+class StretchesOfMembers(LongTrailingMembers):
+    """The same with each member's stretches in place of a list for each row: what rows and members take grows with their number alone.
+
+    A key's rows that pass come in runs of at least ``RUN``. The first row of a run carries the members that any of its rows passes with,
+    each with the instants ``come`` and ``gone`` between which it is in the window; ``run`` names the run in all its rows.
+    """
+
+    RUN = 10_000
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("at_us", kind="stable")
+        came = list(zip(batch["member"], batch["at_us"].tolist()))
+        stored = self._stored()
+        fresh = sorted(set(came) - set(stored), key=lambda x: x[1])
+        if fresh:
+            self._store(stored, fresh, timerValues)
+        stretches = self._stretches(sorted(stored + fresh, key=lambda x: x[1]))
+        counts = self._counts(stretches, batch["at_us"].to_numpy())
+        passed = np.flatnonzero(counts > self._limit)
+        out, n = batch.iloc[passed], counts[passed]
+        # Runs of rows of different instants, at least as many rows as members in their first window.
+        at, first, begin = out["at_us"].to_numpy(), 0, 0
+        held: list[tuple[str, int, int]] = []
+        while first < len(out):
+            last = min(len(out), first + max(self.RUN, int(n[first])))
+            last = int(np.searchsorted(at, at[last - 1], side="right"))
+            low, high = int(at[first]), int(at[last - 1])
+            while begin < len(stretches) and stretches[begin][1] <= high:
+                held.append(stretches[begin])
+                begin += 1
+            held = [x for x in held if x[2] >= low]
+            yield self._run(out.iloc[first:last], n[first:last], held)
+            first = last
+
+    def _stretches(self, line: list[tuple[str, int]]) -> list[tuple[str, int, int]]:
+        """Member, first and last instant of the windows that it is in without a break, by the first instant."""
+        open_, out = {}, []
+        for member, t in line:
+            known = open_.get(member)
+            if known is not None and t <= out[known][2]:
+                out[known][2] = t + self._window
+            else:
+                open_[member] = len(out)
+                out.append([member, t, t + self._window])
+        return [tuple(x) for x in out]
+
+    @staticmethod
+    def _counts(stretches: list[tuple[str, int, int]], at: np.ndarray) -> np.ndarray:
+        come, gone = (np.sort(np.array([x[i] for x in stretches], dtype="int64")) for i in (1, 2))
+        return np.searchsorted(come, at, side="right") - np.searchsorted(gone, at, side="left")
+
+    @staticmethod
+    def _run(rows: pd.DataFrame, n: np.ndarray, members: list[tuple[str, int, int]]) -> pd.DataFrame:
+        out = rows.copy()
+        out["n"], out["run"] = n, uuid.uuid4().hex
+        for name, values in zip(("users", "come", "gone"), map(list, zip(*members))):
+            out[name] = pd.Series([values] + [None] * (len(out) - 1), index=out.index, dtype=object)
+        return out
+
+
 class ArrivalAttribution(_Trailing):
     """Orders with a flag: was there a click of their key in the window before them, among those that have arrived?
 
@@ -546,20 +607,46 @@ def velocity_stream(df: DataFrame, limit: int = fraud.VELOCITY_LIMIT, window: st
     return hits.select(*fraud.alert_columns(fraud.VELOCITY, message, ts, [F.col("n").alias("order_count")]))
 
 
-def _members(df: DataFrame, key: str, member: str, processor: TrailingMembers, ts: str, delay: str, apply=_apply) -> DataFrame:
+def _members(df: DataFrame, key: str, member: str, processor: TrailingMembers, ts: str, delay: str, apply=_apply,
+             told: tuple = (("members", T.ArrayType(T.StringType())),)) -> DataFrame:
     timed = _watermarked(df, ts, delay).withColumn("member", F.col(member).cast("string"))
-    out = _extended(timed, ("members", T.ArrayType(T.StringType())))
+    out = _extended(timed, *told)
     return _like(apply(timed, [key], processor, out, "EventTime"), df, ts)
 
 
+#: Device-sharing alerts with their users as stretches, which :func:`with_user_lists` turns into lists.
+_STRETCHES = (("n", T.LongType()), ("run", T.StringType()), ("users", T.ArrayType(T.StringType())), ("come", T.ArrayType(T.LongType())),
+              ("gone", T.ArrayType(T.LongType())))
+
+
 def device_sharing_stream(df: DataFrame, limit: int = fraud.DEVICE_LIMIT, window: str = fraud.VELOCITY_WINDOW,
-                          ts: str = "event_time", delay: str = DELAY) -> DataFrame:
-    """Device-sharing alerts with the list of users, which the state holds anyway."""
-    hits = _members(df.where("user_id is not null"), "device_id", "user_id", LongTrailingMembers(micros(window), limit), ts, delay, _apply_frames)
-    n = F.size("members")
+                          ts: str = "event_time", delay: str = DELAY, users: str = "lists") -> DataFrame:
+    """Device-sharing alerts with the list of users, which the state holds anyway.
+
+    The lists of a crowded device grow with the square of its rows. With ``users="stretches"`` the alerts carry the same users as
+    stretches of time, each user once for a run of alerts; :func:`with_user_lists` makes lists of them where the alerts are read.
+    """
+    if users not in ("lists", "stretches"):
+        raise ValueError(f"unknown form {users!r}")
+    known, w = df.where("user_id is not null"), micros(window)
+    if users == "lists":
+        hits = _members(known, "device_id", "user_id", LongTrailingMembers(w, limit), ts, delay, _apply_frames)
+        n, told = F.size("members"), [F.col("members").alias("user_ids")]
+    else:
+        hits = _members(known, "device_id", "user_id", StretchesOfMembers(w, limit), ts, delay, _apply_frames, _STRETCHES)
+        n, told = F.col("n"), [F.col(c) for c in ("run", "users", "come", "gone")]
     message = F.format_string(fraud.MESSAGES[fraud.DEVICE_SHARING], F.col("device_id").cast("string"), n.cast("string"))
-    return hits.select(*fraud.alert_columns(
-        fraud.DEVICE_SHARING, message, ts, [n.cast("bigint").alias("unique_users"), F.col("members").alias("user_ids")]))
+    return hits.select(*fraud.alert_columns(fraud.DEVICE_SHARING, message, ts, [n.cast("bigint").alias("unique_users"), *told]))
+
+
+def with_user_lists(alerts: DataFrame) -> DataFrame:
+    """Stored device-sharing alerts whose users came as stretches, with ``user_ids`` as :func:`device_sharing_stream` lists them."""
+    at = epoch_us("detected_at")
+    runs = alerts.where("users is not null").select("run", F.arrays_zip("users", "come", "gone").alias("_members"))
+    there = F.filter("_members", lambda m: (m["come"] <= at) & (at <= m["gone"]))
+    listed = F.array_sort(F.transform(there, lambda m: m["users"])).alias("user_ids")
+    bare = alerts.drop("users", "come", "gone")
+    return bare.join(runs, "run", "left").select(*[c for c in bare.columns if c != "run"], listed)
 
 
 def geo_anomaly_stream(df: DataFrame, window: str = fraud.GEO_WINDOW, ts: str = "event_time", delay: str = DELAY) -> DataFrame:

@@ -244,7 +244,9 @@ def stream_velocity(spark, sf):
 
 @query("stream_device_sharing", tx_sql(f"SELECT {_COMMON}, unique_users FROM ({_DEVICE_SQL})"))
 def stream_device_sharing(spark, sf):
-    return collected(spark, processors.device_sharing_stream(_tx(spark, sf), window=DEVICE_WINDOW), "device").drop("user_ids")
+    """Alerts are stored with their users, each of them once for a run of alerts; lists are made on reading."""
+    alerts = collected(spark, processors.device_sharing_stream(_tx(spark, sf), window=DEVICE_WINDOW, users="stretches"), "device")
+    return processors.with_user_lists(alerts).drop("user_ids")
 
 
 @query("stream_geo_anomaly", tx_sql(_GEO_SQL))
