@@ -244,3 +244,74 @@ def test_partitions_of_a_repeated_delivery_are_named_without_deduplication(spark
     assert tables.append_idempotent(feed, f"{base}/t", "id", ["day"]) == 0
     assert len(asked) == 1 and asked[0] is feed
     assert rows(spark.read.parquet(f"{base}/t").select("id", "day", "v")) == [("a", 1, None), ("b", 2, "x")]
+
+
+def _moved(monkeypatch):
+    """The folder columns of each frame that is brought together by them from now on."""
+    moved = []
+    rebalanced = files.rebalanced
+    monkeypatch.setattr(files, "rebalanced", lambda df, keys: (moved.append(list(keys)), rebalanced(df, keys))[1])
+    return moved
+
+
+def test_stored_rows_of_few_folders_are_not_moved(spark, base, monkeypatch):
+    from tiffinlake.session import materialize
+
+    moved = _moved(monkeypatch)
+    monkeypatch.setattr(files, "FILE_ROWS", 100)
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    made = spark.range(6000).repartition(3).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("year"))
+    stored = materialize(made)
+    for _ in range(2):
+        files.write_gold(stored, f"{base}/few", ["year"])
+    files.write_gold(stored.where("year = 2").withColumn("id", -F.col("id")), f"{base}/few", ["year"])
+    assert moved == [["year"]] and spark.conf.get(setting) == before  # the last frame is not a stored one
+    back = spark.read.parquet(f"{base}/few")
+    assert rows(back.select(F.abs("id"), "year")) == rows(made) and back.where("id < 0").count() == stored.where("year = 2 and id > 0").count()
+    # More folders than a task may write side by side, files too small, nothing at all: as before.
+    monkeypatch.setattr(files, "FEW_FOLDERS", 3)
+    files.write_gold(stored, f"{base}/few", ["year"])
+    monkeypatch.setattr(files, "FILE_ROWS", 1000)
+    files.write_gold(stored, f"{base}/few", ["year"])
+    files.write_gold(materialize(made.limit(0)), f"{base}/few", ["year"])
+    assert len(moved) == 4 and rows(spark.read.parquet(f"{base}/few")) == rows(made)
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    import time
+
+    from tiffinlake.session import materialize
+
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    held = lambda: {n for n in (str(f.getName()) for f in _each(disk.getAllFiles())) if n.startswith("shuffle_")}
+    there = held()
+    made = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    stored = materialize(made)
+    for _ in range(50):
+        if not (left := held() - there):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting, None) == before
+    assert rows(stored) == rows(made) and rows(made) == rows(stored)
+
+
+def _each(seq):
+    it = seq.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
+def test_lines_are_not_moved_by_their_customers(spark):
+    """Orders meet their customers before the lines, of which there are many times more."""
+    from tiffinlake.session import settings
+    from workload.views import delivery_rows
+
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = delivery_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    by_customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert len(by_customer) == 1
+    under = plan[plan.index(by_customer[0]):].splitlines()
+    assert "lineitem" not in next(line for line in under if "FileScan" in line)
