@@ -278,6 +278,20 @@ def test_stored_rows_of_few_folders_are_not_moved(spark, base, monkeypatch):
     assert len(moved) == 4 and rows(spark.read.parquet(f"{base}/few")) == rows(made)
 
 
+def test_hours_of_deliveries_are_not_moved_before_they_are_written(spark, base, monkeypatch):
+    moved = _moved(monkeypatch)
+    events = build_events(deliveries(spark), HOUR + dt.timedelta(minutes=5)).repartition(3)
+    later = events.withColumn("ingestion_time", F.lit((HOUR + dt.timedelta(hours=1)).isoformat()))
+    files.write_bronze_jsonl(events.unionByName(events).unionByName(later), base, hours=2)
+    assert moved == []
+    for _ in range(2):
+        assert delivery_hourly.run(spark, base, HOUR, HOUR) == {"bronze_rows": 80, "silver_rows": 40, "valid_rows": 29, "duplicates": 40}
+        assert delivery_hourly.run(spark, base, HOUR + dt.timedelta(hours=1), HOUR)["bronze_rows"] == 40
+    # The hour's rows are of one folder; only its few metrics are brought together.
+    assert moved and all(keys[-1] == "metric_type" or keys == files.HOUR_KEYS for keys in moved) and len(moved) == 8
+    assert spark.read.parquet(f"{base}/silver").groupBy("hour").count().count() == 2
+
+
 def test_stored_frames_leave_no_shuffle_files(spark):
     import time
 

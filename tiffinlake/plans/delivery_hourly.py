@@ -32,7 +32,7 @@ def run(spark: SparkSession, base: str, hour: dt.datetime, run_ts: dt.datetime)
     stamp = {"year": hour.year, "month": f"{hour.month:02d}", "day": f"{hour.day:02d}", "hour": f"{hour.hour:02d}"}
     stamped = silver.select("*", *[F.lit(v).alias(k) for k, v in stamp.items()])
     metrics, summary, here = f"{base}/gold/delivery_metrics", f"{base}/gold/hourly_summary", [stamp]
-    replace_partition(stamped, f"{base}/silver", HOUR_KEYS, here)
+    replace_partition(stamped, f"{base}/silver", HOUR_KEYS, here, folders=1)
     counts = {"bronze_rows": seen.get["rows"], "silver_rows": kept.get["rows"], "valid_rows": kept.get["valid"]}
     counts["duplicates"] = counts["bronze_rows"] - counts["silver_rows"]
     if counts["silver_rows"] == 0:

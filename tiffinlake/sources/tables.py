@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.dedup import dedup_latest
 from ..session import discard, materialize
-from .files import delete_path, files_by_folder, partition_folder, path_exists, rebalanced
+from .files import delete_path, files_by_folder, in_folders, partition_folder, path_exists, rebalanced
 
 
 def read_table(spark: SparkSession, path: str, date: dt.date | str | None = None, columns: list[str] | None = None,
@@ -31,19 +31,19 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def replace_partition(df: DataFrame, path: str, partition_by: list[str], replaced: list[dict[str, object]] | None = None) -> None:
+def replace_partition(df: DataFrame, path: str, partition_by: list[str], replaced: list[dict[str, object]] | None = None,
+                      folders: int | None = None) -> None:
     """Delete-then-insert of the partitions in ``df``, as one dynamic overwrite.
 
     ``replaced`` names partitions, by all their columns or the leading ones, that belong to the
     replacement even if ``df`` has no row for them: those are emptied, so that a correction to nothing
     leaves nothing behind. ``df`` is computed once: a folder that still holds the files it held before the write got no rows.
+    Rows known to be of few ``folders`` are not moved before they are written.
     """
     spark = df.sparkSession
     before = [files_by_folder(spark, partition_folder(spark, path, partition_by, named)) for named in replaced or []]
-    (
-        rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by).parquet(path)
-    )
+    in_folders(df, partition_by, lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*partition_by).parquet(path), folders)
     for named, held in zip(replaced or [], before):
         now = files_by_folder(spark, partition_folder(spark, path, partition_by, named)) if held else {}
         for folder, names in held.items():
