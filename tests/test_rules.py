@@ -1,5 +1,7 @@
 """Dedup and validation edge rows."""
 
+import random
+
 from conftest import at, rows
 from pyspark.sql import functions as F
 
@@ -87,3 +89,21 @@ def test_order_contract_lists_every_violation(spark):
         "user_id int, item_id int, quantity int, price double, order_type string")
     good, bad = validation.check_contract(df, "order")
     assert good.count() == 2 and len(bad.first()["violations"]) == 5
+
+
+def test_structs_of_text_are_packed_in_their_order(spark):
+    """Nulls, empty texts, prefixes and the marks themselves: the same row is kept, unchanged, as by the struct's own order."""
+    r = random.Random(11)
+    texts = [None, "", " ", "a", "ab", "b", "\u0000", "\u0000a", "\u0001", "\u0001\u0000", "\u0000\u0001", "\u0001\u0002", "\u0002", "a\u0000", "a\u0001", "é", "�", "\U0001f600"]
+    data = [(r.randrange(60), r.choice([None, "1", "2"]), None if r.random() < .05 else tuple(r.choice(texts) for _ in range(4))) for _ in range(1500)]
+    df = spark.createDataFrame(data, "id int, t string, payload struct<p: string, q: string, r: string, s: string>")
+    # The struct's own order, which is the one of max.
+    want = df.groupBy("id").agg(F.max(F.struct("t", "payload")).alias("x")).select("id", "x.*")
+    got = dedup.dedup_latest(df, ["id"], ["t"])
+    assert rows(got) == rows(want) and [f.dataType for f in got.schema] == [f.dataType for f in df.schema]
+    by_tie = dedup.dedup_latest(df.withColumn("n", F.monotonically_increasing_id()), ["id"], ["t"], ["payload", "n"])
+    assert rows(by_tie.drop("n")) == rows(want)
+    # What is moved is one text, not the fields.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchange = plan[plan.index("Exchange hashpartitioning(id"):]
+    assert "max(struct(t, t#" in exchange and "payload, payload#" in exchange and plan.index("split(") < plan.index("Exchange")
