@@ -321,14 +321,15 @@ def test_users_meet_alerts_in_bounded_lists(spark, monkeypatch):
 
 @pytest.mark.parametrize("run", [4, 10_000])
 def test_users_as_stretches_become_the_same_lists(spark, base, monkeypatch, run):
-    """Several files, late rows among them, rows of one instant, and a null device, which is a device."""
+    """Several files, late rows among them, and rows of one instant; rows without a device or a time are on no device."""
     from tiffinlake.streaming import processors
     monkeypatch.setattr(processors.StretchesOfMembers, "RUN", run)
     r = random.Random(9)
-    groups = [[(i, None if i % 40 == 0 else r.randrange(30), None if i % 31 == 0 else f"d{r.randrange(3)}", f"o{i}", 1.0, "A", at(r.randrange(k * 300, k * 300 + 500)))
+    groups = [[(i, None if i % 40 == 0 else r.randrange(30), f"d{r.randrange(3)}", f"o{i}", 1.0, "A", at(r.randrange(k * 300, k * 300 + 500)))
                for i in range(k * 200, k * 200 + 200)] for k in range(3)]
+    nowhere = lambda k: [(i, i % 9, None if i % 2 else "d1", "o", 1.0, "A", at(k * 300 + i % 60) if i % 2 else None) for i in range(1000 + k * 20, 1020 + k * 20)]
     lists = _by_files(spark, f"{base}/lists", groups, lambda df: processors.device_sharing_stream(df))
-    stored = _by_files(spark, f"{base}/stretches", groups, lambda df: processors.device_sharing_stream(df, users="stretches"))
+    stored = _by_files(spark, f"{base}/stretches", [part + nowhere(k) for k, part in enumerate(groups)], lambda df: processors.device_sharing_stream(df, users="stretches"))
     got = processors.with_user_lists(stored)
     assert got.columns == lists.columns and rows(got) == rows(lists) and lists.count() > 300
     assert stored.where("users is not null").count() == stored.select("run").distinct().count()
@@ -350,3 +351,16 @@ def test_users_of_a_crowded_device_are_told_once_a_run(monkeypatch):
         users, come, gone = (part[c].dropna().iloc[0] for c in ("users", "come", "gone"))
         for t in part["at_us"]:
             assert sorted(u for u, a, b in zip(users, come, gone) if a <= t <= b) == sorted({str(i % 1500) for i in range(max(0, t - 1000), t + 1)})
+
+
+def test_numbered_devices_stay_apart_beside_a_null_one(spark, base):
+    from tiffinlake.streaming.processors import device_sharing_stream, with_user_lists
+    df = [(i, i, None if i % 5 == 0 else i % 4, at(i)) for i in range(40)]
+    spark.createDataFrame(df, "event_id int, user_id int, device_id bigint, event_time timestamp_ntz").selectExpr(
+        "*", "'o' as order_id", "1.0D as amount", "'A' as city").coalesce(1).write.parquet(f"{base}/in")
+    from tiffinlake.sources.streams import file_sink, file_source, run_available
+    stream = file_source(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema)
+    run_available(file_sink(device_sharing_stream(stream, users="stretches"), f"{base}/out", f"{base}/cp"))
+    got = {int(x.event_id): x.user_ids for x in with_user_lists(spark.read.parquet(f"{base}/out")).collect()}
+    want = {i: sorted(str(j) for j, _, e, _ in df if e == d and j <= i) for i, _, d, _ in df if d is not None}
+    assert got == {i: users for i, users in want.items() if len(users) > 3} and got

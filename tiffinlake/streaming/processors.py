@@ -625,6 +625,7 @@ def device_sharing_stream(df: DataFrame, limit: int = fraud.DEVICE_LIMIT, window
 
     The lists of a crowded device grow with the square of its rows. With ``users="stretches"`` the alerts carry the same users as
     stretches of time, each user once for a run of alerts; :func:`with_user_lists` makes lists of them where the alerts are read.
+    Then rows without a device or a time are left out, as by the batch rule; lists are not made of rows without a time either.
     """
     if users not in ("lists", "stretches"):
         raise ValueError(f"unknown form {users!r}")
@@ -633,7 +634,7 @@ def device_sharing_stream(df: DataFrame, limit: int = fraud.DEVICE_LIMIT, window
         hits = _members(known, "device_id", "user_id", LongTrailingMembers(w, limit), ts, delay, _apply_frames)
         n, told = F.size("members"), [F.col("members").alias("user_ids")]
     else:
-        hits = _members(known, "device_id", "user_id", StretchesOfMembers(w, limit), ts, delay, _apply_frames, _STRETCHES)
+        hits = _members(known.where(F.col(ts).isNotNull() & F.col("device_id").isNotNull()), "device_id", "user_id", StretchesOfMembers(w, limit), ts, delay, _apply_frames, _STRETCHES)
         n, told = F.col("n"), [F.col(c) for c in ("run", "users", "come", "gone")]
     message = F.format_string(fraud.MESSAGES[fraud.DEVICE_SHARING], F.col("device_id").cast("string"), n.cast("string"))
     return hits.select(*fraud.alert_columns(fraud.DEVICE_SHARING, message, ts, [n.cast("bigint").alias("unique_users"), *told]))
